@@ -71,16 +71,16 @@ def parse_envelope(lines: DataFrame, value_col: str = "value", pattern: str | No
     return df.filter(event_type_match(F.col("_e.Type"), pattern))
 
 
-def _present_map(p: Column) -> Column:
-    """Map path -> present?, over every path of the declared payload schema,
-    so registry-driven required paths are checked without a per-row UDF."""
-    pairs = []
+def _missing_paths(p: Column) -> Column:
+    """Every path of the declared payload schema that is NULL in `p`, in
+    schema order: one null test per path, all inside generated code."""
+    checks = []
     for path in S.schema_paths(S.PAYLOAD):
         c = p
         for part in path.split("."):
             c = c.getField(part)
-        pairs += [F.lit(path), c.isNotNull()]
-    return F.create_map(*pairs)
+        checks.append(F.when(c.isNull(), F.lit(path)))
+    return F.array_compact(F.array(*checks))
 
 
 def decode(lines: DataFrame, registry: DataFrame, *, value_col: str = "value",
@@ -107,6 +107,14 @@ def decode(lines: DataFrame, registry: DataFrame, *, value_col: str = "value",
         f.getField("payload").alias("payload"),
     )
 
+    # The payload is parsed and checked *before* the registry join: a filter
+    # on the routing result (which reads the registry side too) then stays
+    # above the join and sees parsed columns, instead of being pushed down
+    # with the parser inlined into every reference.
+    p = F.from_json(F.col("payload"), S.PAYLOAD_WITH_CORRUPT,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COL})
+    df = df.withColumn("_p", p).withColumn("_missing", _missing_paths(F.col("_p")))
+
     reg, _ = checked_broadcast(registry.select(
         F.col("namespace").alias("document_namespace"),
         F.col("type").alias("document_type"),
@@ -114,29 +122,27 @@ def decode(lines: DataFrame, registry: DataFrame, *, value_col: str = "value",
         F.col("required_paths").alias("_required"),
     ))
     df = df.join(reg, DOC_KEYS, "left")
-
-    p = F.from_json(F.col("payload"), S.PAYLOAD_WITH_CORRUPT,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COL})
-    df = df.withColumn("_p", p)
-    failing = F.filter(F.col("_required"), lambda x: ~F.coalesce(_present_map(F.col("_p"))[x], F.lit(False)))
+    # Required paths (registry order) that are missing in this payload.
+    df = df.withColumn("_failing", F.array_intersect(F.col("_required"), F.col("_missing")))
 
     bad_env = F.col("_no_fields") | F.col("document_namespace").isNull() | F.col("document_type").isNull() \
         | F.col("document_version").isNull() | F.col("document_id").isNull() | F.col("payload").isNull()
     unknown = F.col("_required").isNull()
     bad_json = F.col("_p").isNull() | F.col("_p").getField(S.CORRUPT_COL).isNotNull()
-    missing = F.size(failing) > 0
-    error_type = (F.when(bad_env, "bad_envelope").when(unknown, "unknown_schema")
-                  .when(bad_json, "bad_json").when(missing, "missing_field"))
+    missing = F.size(F.col("_failing")) > 0
+    df = df.withColumn("error_type", F.when(bad_env, "bad_envelope").when(unknown, "unknown_schema")
+                       .when(bad_json, "bad_json").when(missing, "missing_field"))
+    et = F.col("error_type")
     error_message = (
-        F.when(bad_env, F.lit("envelope has no complete Fields"))
-        .when(unknown, F.concat(F.lit("no schema for "), F.concat_ws("/", *[F.coalesce(F.col(k), F.lit("")) for k in DOC_KEYS])))
-        .when(bad_json, F.lit("payload is not a JSON object of the declared schema"))
-        .when(missing, F.concat(F.lit("missing required field: "), F.element_at(failing, 1)))
+        F.when(et == "bad_envelope", F.lit("envelope has no complete Fields"))
+        .when(et == "unknown_schema", F.concat(F.lit("no schema for "), F.concat_ws("/", *[F.coalesce(F.col(k), F.lit("")) for k in DOC_KEYS])))
+        .when(et == "bad_json", F.lit("payload is not a JSON object of the declared schema"))
+        .when(et == "missing_field", F.concat(F.lit("missing required field: "), F.element_at(F.col("_failing"), 1)))
     )
     exc = F.create_map(*[x for k, v in EXCEPTION_CLASS.items() for x in (F.lit(k), F.lit(v))])
 
     pl = F.col("_p")
-    ok = F.when(error_type.isNull(), F.lit(True))
+    ok = et.isNull()
     df = df.select(
         *keep,
         *([received_col] if received_col else []),
@@ -151,7 +157,7 @@ def decode(lines: DataFrame, registry: DataFrame, *, value_col: str = "value",
         F.when(ok, pl.getField("ping_info")).alias("ping_info"),
         F.when(ok, pl.getField("metrics")).alias("metrics"),
         F.when(ok, pl.getField("events")).alias("events"),
-        error_type.alias("error_type"),
+        et,
         error_message.alias("error_message"),
     )
     return df.withColumn("exception_class", exc[F.col("error_type")]) \

@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import decode as D
 from . import event_lines as L
+from ..sinks.files import land
 from .tables import table
 
 
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The `events` table written out as landed log lines (value, event_id)."""
+    return land(L.events_to_log_lines(table(spark, sf_dir, "events", spread=True)), "log-lines")
+
+
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = L.events_to_log_lines(table(spark, sf_dir, "events"))
-    return D.decode(lines, S.registry(spark))
+    return D.decode(log_lines(spark, sf_dir), S.registry(spark))
 
 
 def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,14 +60,14 @@ def decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_regex_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """every record whose tag matches `glean-server-event*`."""
-    lines = L.events_to_log_lines(table(spark, sf_dir, "events"))
+    lines = log_lines(spark, sf_dir)
     r = D.filter_event_records(lines, S.EVENT_LOG_TYPE_PATTERN)
     return r.select("log_type", "logger", "envelope_timestamp")
 
 
 def nested_and_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event bodies nested as objects or as JSON after a prefix."""
-    lines = L.events_to_log_lines(table(spark, sf_dir, "events"))
+    lines = log_lines(spark, sf_dir)
     r = D.filter_event_records(lines, S.EVENT_LOG_TYPE_PATTERN)
     r = r.filter(F.col("log_type") != S.EVENT_LOG_TYPE)
     b = D.event_body(F.col("fields"))
