@@ -69,3 +69,76 @@ SELECT CASE event_id % 50 WHEN 3 THEN 'glean-server-event-from-dict'
        date_trunc('millisecond', ts) AS event_time, event_type AS event_name
 FROM events WHERE event_id % 50 IN (3, 4)
 """
+
+_SSN = r"[0-9]{3}-+[0-9]{2}-+[0-9]{4}"
+_CARD = r"[0-9]{4} *[0-9]{4} *[0-9]{4} *[0-9]{4}"
+_EMAIL = r"[A-Za-z0-9+.\-_]+@[A-Za-z0-9+.\-_]+\.[A-Za-z]{2,}"
+
+ORACLES["mask_documents"] = f"""
+SELECT doc_id,
+       regexp_replace(regexp_replace(regexp_replace(text, '{_SSN}', 'xxx-xx-xxxx', 'g'),
+                      '{_CARD}', 'xxxx xxxx xxxx xxxx', 'g'), '{_EMAIL}', 'user@email.tld', 'g') AS text
+FROM documents
+"""
+
+ORACLES["mask_logger_lines"] = """
+SELECT event_id, event_type || ': ' || CASE event_id % 4
+         WHEN 0 THEN 'error happened with social security number xxx-xx-xxxx'
+         WHEN 1 THEN 'Something happened..with social xxx-xx-xxxx'
+         WHEN 2 THEN 'Processing credit card xxxx xxxx xxxx xxxx'
+         ELSE 'Users email is user@email.tld' END AS log
+FROM events
+"""
+
+# --- text log formats --------------------------------------------------------
+_UA = ("['Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/115.0.0.0 Safari/537.36 Edg/115.0.1901.188',"
+       " 'Mozilla/5.0', 'Mozilla/5.0 (X11; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/115.0',"
+       " 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.5 Safari/605.1.15']")
+_ADDR = "('10.' || (user_id % 30) || '.' || ((event_id // 256) % 256) || '.' || (event_id % 256))"
+_USER = "(CASE WHEN event_id % 6 = 0 THEN '-' ELSE 'u' || user_id END)"
+_CLF = "(strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000')"
+_METHOD = "(['GET','POST','PUT','DELETE'][event_id % 4 + 1])"
+_PATH = ("(CASE WHEN event_id % 10 = 1 THEN '/' || event_type || ' x/' || event_id "
+         "ELSE '/' || event_type || '/' || event_id || '?u=' || user_id END)")
+_PATH2 = "('/' || event_type || '/' || event_id)"
+_CODE = "(['200','301','404','500'][user_id % 4 + 1])"
+_SIZE = "CAST(event_id * 7 % 5000 AS VARCHAR)"
+_REF = "(CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'http://example.com/' || event_type END)"
+_AGENT = f"(CASE WHEN event_id % 5 = 0 THEN NULL ELSE {_UA}[user_id % 4 + 1] END)"
+_VHOST = "('svc' || (user_id % 5) || '.example.com')"
+_PID = "(CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(user_id * 13 % 30000 AS VARCHAR) END)"
+_MSG = "(event_type || ' by user ' || user_id)"
+_SYSTIME = "(strftime(ts, '%b') || ' ' || lpad(CAST(day(ts) AS VARCHAR), 2, ' ') || ' ' || strftime(ts, '%H:%M:%S'))"
+_ERRTIME = "strftime(ts, '%b %d %H:%M:%S %Y')"
+
+
+def _http(path: str, extra: str = "") -> str:
+    return (f"SELECT event_id, {extra}{_ADDR} AS host, {_USER} AS user, {_CLF} AS time, "
+            f"date_trunc('second', ts) AS ts, {_METHOD} AS method, {path} AS path, {_CODE} AS code, "
+            f"{_SIZE} AS size, {_REF} AS referer, {_AGENT} AS agent FROM events")
+
+
+ORACLES["parse_apache"] = _http(_PATH)
+ORACLES["parse_apache2"] = _http(_PATH2)
+ORACLES["parse_nginx"] = (f"SELECT event_id, {_ADDR} AS remote, {_VHOST} AS host, {_USER} AS user, {_CLF} AS time, "
+                          f"date_trunc('second', ts) AS ts, {_METHOD} AS method, {_PATH} AS path, {_CODE} AS code, "
+                          f"{_SIZE} AS size, {_REF} AS referer, {_AGENT} AS agent FROM events")
+ORACLES["parse_apache_error"] = (
+    f"SELECT event_id, {_ERRTIME} AS time, (['error','warn','notice','info'][event_id % 4 + 1]) AS level, "
+    f"{_PID} AS pid, CASE WHEN event_id % 5 = 0 THEN NULL ELSE {_ADDR} END AS client, {_MSG} AS message FROM events")
+ORACLES["parse_syslog"] = (
+    f"SELECT event_id, CAST(event_id % 192 AS VARCHAR) AS pri, {_SYSTIME} AS time, date_trunc('second', ts) AS ts, "
+    f"'node' || (user_id % 10) AS host, 'svc-' || event_type AS ident, {_PID} AS pid, {_MSG} AS message FROM events")
+ORACLES["parse_json"] = (
+    f"SELECT event_id, {_CLF} AS time, date_trunc('second', ts) AS ts, {_USER} AS user, event_type AS event, "
+    f"CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+ORACLES["parse_mixed"] = f"""
+SELECT event_id, fmt AS format,
+  CASE fmt WHEN 'apache' THEN {_ADDR} WHEN 'apache2' THEN {_ADDR} WHEN 'nginx' THEN {_VHOST}
+           WHEN 'syslog' THEN 'node' || (user_id % 10) END AS host,
+  CASE fmt WHEN 'apache_error' THEN {_ERRTIME} WHEN 'syslog' THEN {_SYSTIME} WHEN 'none' THEN NULL
+           ELSE {_CLF} END AS time,
+  CASE WHEN fmt IN ('apache_error', 'none') THEN NULL ELSE date_trunc('second', ts) END AS ts,
+  CASE WHEN fmt IN ('apache_error', 'syslog') THEN {_MSG} END AS message
+FROM (SELECT *, (['apache','apache2','apache_error','nginx','syslog','json','none'][event_id % 7 + 1]) AS fmt FROM events)
+"""

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.mask import mask_text
 from ..operators import decode as D
+from ..sources import textlogs as TL
 from . import event_lines as L
+from . import text_lines as T
 from ..sinks.files import land
 from .tables import table
 
@@ -75,9 +78,96 @@ def nested_and_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     b.getField("event_name").alias("event_name"))
 
 
+# The four lines of the sensitive-data test logger.
+LOGGER_LINES = [
+    "error happened with social security number 111-22-3333",
+    "Something happened..with social 222-33-4444",
+    "Processing credit card 1234 5678 9012 3456",
+    "Users email is john.doe@example.com",
+]
+# End of fixed values.
+
+
+def mask_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M4 over every whole document text."""
+    docs = table(spark, sf_dir, "documents", spread=True)
+    return docs.select("doc_id", mask_text("text").alias("text"))
+
+
+def mask_logger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M4 on test-logger lines: header (event type) + one of four lines."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    line = F.concat(F.col("event_type"), F.lit(": "),
+                    F.element_at(F.array(*[F.lit(x) for x in LOGGER_LINES]), (F.col("event_id") % 4 + 1).cast("int")))
+    return ev.select("event_id", mask_text(line).alias("log"))
+
+
+def _text_lines(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events", spread=True)
+    return land(T.events_to_text_lines(ev, fmt), f"text-{fmt}")
+
+
+_HTTP_COLS = ["event_id", "host", "user", "time", "ts", "method", "path", "code", "size", "referer", "agent"]
+
+
+def parse_apache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apache access lines (path may hold spaces)."""
+    return TL.parse_lines(_text_lines(spark, sf_dir, "apache"), "apache").select(*_HTTP_COLS)
+
+
+def parse_apache2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """apache2 access lines (path without spaces)."""
+    return TL.parse_lines(_text_lines(spark, sf_dir, "apache2"), "apache2").select(*_HTTP_COLS)
+
+
+def parse_nginx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: nginx access lines."""
+    return TL.parse_lines(_text_lines(spark, sf_dir, "nginx"), "nginx").select("remote", *_HTTP_COLS)
+
+
+def parse_apache_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apache error lines, optional pid and client."""
+    return TL.parse_lines(_text_lines(spark, sf_dir, "apache_error"), "apache_error").select(
+        "event_id", "time", "level", "pid", "client", "message")
+
+
+def parse_syslog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syslog lines; the year comes from the line's file date."""
+    df = _text_lines(spark, sf_dir, "syslog")
+    return TL.parse_lines(df, "syslog", year="year").select(
+        "event_id", "pri", "time", "ts", "host", "ident", "pid", "message")
+
+
+def parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: JSON lines with a CLF `time`; fields read from the VARIANT record."""
+    df = TL.parse_lines(_text_lines(spark, sf_dir, "json"), "json")
+    return df.select("event_id", "time", "ts",
+                     F.try_variant_get("record", "$.user", "string").alias("user"),
+                     F.try_variant_get("record", "$.event", "string").alias("event"),
+                     F.try_variant_get("record", "$.props.k", "bigint").alias("k"))
+
+
+def parse_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parser chosen per record by its `format`; unmatched lines kept."""
+    df = _text_lines(spark, sf_dir, "mixed")
+    p = TL.parse_by_format(F.col("value"), F.col("format"), year=F.col("year"))
+    return df.select("event_id", "format", p.getField("host").alias("host"),
+                     p.getField("time").alias("time"), p.getField("ts").alias("ts"),
+                     p.getField("message").alias("message"))
+
+
 REGISTRY = {
     "decode_events": decode_events,
     "decode_errors": decode_errors,
     "event_regex_filter": event_regex_filter,
     "nested_and_prefixed": nested_and_prefixed,
+    "mask_documents": mask_documents,
+    "mask_logger_lines": mask_logger_lines,
+    "parse_apache": parse_apache,
+    "parse_apache2": parse_apache2,
+    "parse_apache_error": parse_apache_error,
+    "parse_nginx": parse_nginx,
+    "parse_syslog": parse_syslog,
+    "parse_json": parse_json,
+    "parse_mixed": parse_mixed,
 }
