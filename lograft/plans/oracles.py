@@ -142,3 +142,54 @@ SELECT event_id, fmt AS format,
   CASE WHEN fmt IN ('apache_error', 'syslog') THEN {_MSG} END AS message
 FROM (SELECT *, (['apache','apache2','apache_error','nginx','syslog','json','none'][event_id % 7 + 1]) AS fmt FROM events)
 """
+
+ORACLES["recombine_lines"] = """
+SELECT doc_id, to_timestamp(1704067200 + doc_id * 60) AT TIME ZONE 'UTC' AS first_time,
+       replace(text, chr(10), ' ') || chr(10) AS message,
+       CAST(greatest(ceil(length(replace(text, chr(10), ' ')) / 100), 1) AS BIGINT) AS parts
+FROM documents
+"""
+
+ORACLES["drop_long_lines"] = """
+SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes
+FROM documents WHERE octet_length(encode(text)) <= 65536
+"""
+
+ORACLES["submit_path"] = f"""
+SELECT event_id,
+       CASE WHEN event_id % 9 = 0 THEN NULL ELSE 'accounts-frontend' END AS document_namespace,
+       CASE WHEN event_id % 9 = 0 THEN NULL ELSE 'events' END AS document_type,
+       CASE WHEN event_id % 9 = 0 THEN NULL ELSE '1' END AS document_version,
+       CASE WHEN event_id % 9 = 0 THEN NULL ELSE {DOC_ID} END AS document_id
+FROM events
+"""
+
+_SERVICE = "(CASE WHEN user_id % 5 = 0 THEN NULL ELSE (['sync','monitor','relay','vpn'][user_id % 4 + 1]) END)"
+
+ORACLES["accounts_events"] = f"""
+SELECT {DOC_ID} AS document_id, 'accounts-events' AS document_type,
+       'accounts_frontend_live.accounts_events_v1' AS destination,
+       sha256(CAST(user_id AS VARCHAR)) AS account_user_id_sha256,
+       event_type AS event_name, {_SERVICE} AS relying_party_service, false AS has_events
+FROM events
+"""
+
+ORACLES["metrics_lookup"] = f"""
+SELECT {DOC_ID} AS document_id, event_type AS event_name, {_SERVICE} AS service,
+       CAST(NULL AS VARCHAR) AS flow_id,
+       CAST(CASE WHEN user_id % 5 = 0 THEN 2 ELSE 3 END AS INTEGER) AS n_string_metrics
+FROM events
+"""
+
+ORACLES["explode_events"] = f"""
+SELECT {DOC_ID} AS document_id,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE {_UA}[user_id % 4 + 1] END AS user_agent,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE {_ADDR} END AS ip_address,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'backend' END AS event_category,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'object_update' END AS event_name,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE epoch_us(ts) // 1000 END AS event_timestamp,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS object_type,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE props END AS object_state,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id % 2 = 0 AS VARCHAR) END AS linking
+FROM events
+"""

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.mask import mask_text
+from ..functions import paths as PT
 from ..operators import decode as D
+from ..operators import encode as E
+from ..operators import flatten as FL
+from ..operators import recombine as RC
+from ..sources import logs as SRC
 from ..sources import textlogs as TL
 from . import event_lines as L
+from . import container_lines as C
 from . import text_lines as T
 from ..sinks.files import land
 from .tables import table
@@ -156,6 +162,95 @@ def parse_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
                      p.getField("message").alias("message"))
 
 
+def recombine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Docker JSON lines of every whole document, rejoined."""
+    docs = table(spark, sf_dir, "documents", spread=True)
+    lines = land(C.documents_to_container_lines(docs), "container-lines")
+    parsed = TL.parse_docker(lines)
+    msgs = RC.recombine_lines(parsed, "file_path", "ts", "log")
+    return msgs.select(
+        F.regexp_extract("file_path", r"/pod-([0-9]+)_", 1).cast("bigint").alias("doc_id"),
+        F.col("first_order").alias("first_time"), "message", F.col("parts").cast("bigint").alias("parts"))
+
+
+MAX_LINE_BYTES = 64 * 1024
+
+
+def drop_long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines longer than the byte limit are skipped (whole documents as lines)."""
+    docs = table(spark, sf_dir, "documents", spread=True)
+    kept = SRC.drop_long_lines(docs, MAX_LINE_BYTES, "text")
+    return kept.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
+
+
+def submit_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20: `/submit/<ns>/<type>/<version>/<id>` -> document keys; malformed
+    paths (every 9th) give NULLs."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    good = PT.submit_path(F.lit(L.APP_ID), F.lit("events"), F.lit("1"), E.document_id_from_key(F.col("event_id")))
+    path = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("/submit/"), F.col("event_type"))).otherwise(good)
+    p = PT.parse_submit_path(path)
+    return ev.select("event_id", p.getField("document_namespace").alias("document_namespace"),
+                     p.getField("document_type").alias("document_type"),
+                     p.getField("document_version").alias("document_version"),
+                     p.getField("document_id").alias("document_id"))
+
+
+_SERVICES = ["sync", "monitor", "relay", "vpn"]
+
+
+def _accounts_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events", spread=True)
+    service = F.when(F.col("user_id") % 5 == 0, F.lit(None).cast("string")).otherwise(
+        F.element_at(F.array(*[F.lit(x) for x in _SERVICES]), (F.col("user_id") % 4 + 1).cast("int")))
+    lines = E.encode_accounts_events_ping(
+        ev, app_id=L.APP_ID, app_version=L.APP_VERSION, channel=L.CHANNEL, ts="ts",
+        user_id="user_id", event_name=F.col("event_type"), service=service,
+        user_agent=L.user_agent_of(F.col("user_id")), ip_address=L.address_of(F.col("user_id"), F.col("event_id")),
+        document_id=E.document_id_from_key(F.col("event_id")), dialect="js", keep=["event_id"])
+    return D.decode(land(lines, "accounts-lines"), S.registry(spark))
+
+
+def accounts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`accounts-events` pings, string metrics as columns."""
+    d = D.decoded(_accounts_routed(spark, sf_dir))
+    d = FL.flatten_metrics(d, {"string": ["account.user_id_sha256", "event.name", "relying_party.service"]})
+    return d.select("document_id", "document_type", "destination", "account_user_id_sha256",
+                    "event_name", "relying_party_service", F.col("events").isNotNull().alias("has_events"))
+
+
+def metrics_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: metric lookup by dotted name, including a name never sent."""
+    d = D.decoded(_accounts_routed(spark, sf_dir))
+    return d.select("document_id",
+                    FL.metric("metrics", "string", "event.name").alias("event_name"),
+                    FL.metric("metrics", "string", "relying_party.service").alias("service"),
+                    FL.metric("metrics", "string", "session.flow_id").alias("flow_id"),
+                    F.size(F.map_keys(F.col("metrics")["string"])).alias("n_string_metrics"))
+
+
+def explode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings with and without user info and with `events: []`,
+    one row per event (one NULL row for an empty array)."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    eid = F.col("event_id")
+    no_user = eid % 3 == 0
+    event = E.object_update_event(F.col("ts"), F.col("event_type"), F.col("props"), (eid % 2 == 0))
+    evs = F.when(eid % 5 == 0, F.array().cast("array<" + S.EVENT.simpleString() + ">")).otherwise(F.array(event))
+    payload = E.payload_json(metrics=E.string_metrics(**{"identifiers.fxa_account_id": F.col("user_id")}),
+                             events=evs, ts=F.col("ts"), dialect=L.dialect_of(eid),
+                             app_version=L.APP_VERSION, channel=L.CHANNEL)
+    fields = E.ping_fields(namespace=L.APP_ID, doc_type="events", doc_id=E.document_id_from_key(eid),
+                           payload=payload, user_agent=F.when(~no_user, L.user_agent_of(F.col("user_id"))),
+                           ip_address=F.when(~no_user, L.address_of(F.col("user_id"), eid)),
+                           dialect=L.dialect_of(eid))
+    lines = ev.select("event_id", E.envelope_line(fields, F.col("ts"), L.dialect_of(eid), app=L.APP_ID).alias("value"))
+    d = D.decoded(D.decode(land(lines, "explode-lines"), S.registry(spark)))
+    x = FL.explode_events(d.select("document_id", "user_agent", "ip_address", "events"),
+                          extras=("object_type", "object_state", "linking"))
+    return x
+
+
 REGISTRY = {
     "decode_events": decode_events,
     "decode_errors": decode_errors,
@@ -170,4 +265,10 @@ REGISTRY = {
     "parse_syslog": parse_syslog,
     "parse_json": parse_json,
     "parse_mixed": parse_mixed,
+    "recombine_lines": recombine_lines,
+    "drop_long_lines": drop_long_lines,
+    "submit_path": submit_path,
+    "accounts_events": accounts_events,
+    "metrics_lookup": metrics_lookup,
+    "explode_events": explode_events,
 }
