@@ -193,3 +193,44 @@ SELECT {DOC_ID} AS document_id,
        CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id % 2 = 0 AS VARCHAR) END AS linking
 FROM events
 """
+
+ORACLES["geo_country"] = """
+WITH e AS (
+  SELECT event_id, user_id,
+         CASE WHEN event_id % 17 = 0 THEN 'empty' WHEN event_id % 11 = 0 THEN 'v6'
+              WHEN event_id % 13 = 0 THEN 'wide' ELSE 'v4' END AS kind
+  FROM events)
+SELECT e.event_id,
+       CASE e.kind WHEN 'v4' THEN n.n_name WHEN 'v6' THEN r6.r_name
+                   WHEN 'wide' THEN rw.r_name || ' WIDE' END AS geo_country,
+       CASE e.kind WHEN 'v4' THEN CASE WHEN n.n_nationkey % 2 = 0 THEN n.n_name || ' CITY' END
+                   WHEN 'v6' THEN r6.r_name || ' CITY' END AS geo_city,
+       CASE WHEN e.kind = 'v4' THEN rn.r_name END AS geo_subdivision1,
+       CAST(NULL AS VARCHAR) AS geo_subdivision2
+FROM e
+LEFT JOIN nation n ON e.kind = 'v4' AND n.n_nationkey = e.user_id % 30
+LEFT JOIN region rn ON rn.r_regionkey = n.n_regionkey
+LEFT JOIN region r6 ON e.kind = 'v6' AND r6.r_regionkey = e.user_id % 7
+LEFT JOIN region rw ON e.kind = 'wide' AND rw.r_regionkey = (e.user_id % 12) // 2
+"""
+
+ORACLES["isp"] = """
+SELECT e.event_id, s.s_name AS isp_name, 'org-' || s.s_nationkey AS isp_organization
+FROM events e LEFT JOIN supplier s ON s.s_suppkey = (e.user_id % 30) * 256 + (e.event_id // 256) % 256
+"""
+
+ORACLES["user_agent"] = f"""
+SELECT {DOC_ID} AS document_id,
+       (['Edge', NULL, 'Firefox', 'Safari'][user_id % 4 + 1]) AS user_agent_browser,
+       (['Windows', NULL, 'Linux', 'Macintosh'][user_id % 4 + 1]) AS user_agent_os,
+       (['115.0.1901.188', NULL, '115.0', '16.5'][user_id % 4 + 1]) AS user_agent_version
+FROM events WHERE event_id % 50 >= 7
+"""
+
+ORACLES["pod_metadata"] = """
+SELECT e.event_id, 'pod-' || (e.user_id % 30) AS pod_name, 'default' AS namespace_name, 'app' AS container_name,
+       n.n_name AS nation_label,
+       CASE WHEN e.event_id % 2 = 0 THEN CAST(json_extract(e.props, '$.k') AS BIGINT) END AS k,
+       'custom-fluentbit' AS k8s_cluster_name
+FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30
+"""

@@ -13,12 +13,14 @@ from ..functions.mask import mask_text
 from ..functions import paths as PT
 from ..operators import decode as D
 from ..operators import encode as E
+from ..operators import enrich as EN
 from ..operators import flatten as FL
 from ..operators import recombine as RC
 from ..sources import logs as SRC
 from ..sources import textlogs as TL
 from . import event_lines as L
 from . import container_lines as C
+from . import lookups as LK
 from . import text_lines as T
 from ..sinks.files import land
 from .tables import table
@@ -251,6 +253,55 @@ def explode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x
 
 
+def geo_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range lookup of every event address (IPv4, IPv6, wide
+    ranges, empty), city kept only when listed, address dropped after."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    x = ev.select("event_id", LK.geo_address(F.col("event_id"), F.col("user_id")).alias("ip_address"))
+    x = EN.enrich_geo(x, LK.geo_ranges(nation, region), cities=LK.city_list(nation, region))
+    return EN.scrub_address(x)
+
+
+def isp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISP name and organisation by address range (supplier ranges)."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    x = ev.select("event_id", L.address_of(F.col("user_id"), F.col("event_id")).alias("ip_address"))
+    return EN.scrub_address(EN.enrich_isp(x, LK.isp_ranges(table(spark, sf_dir, "supplier"))))
+
+
+def user_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Browser / os / version of each decoded ping's user agent."""
+    d = D.decoded(_routed(spark, sf_dir))
+    return EN.enrich_user_agent(d.select("document_id", "user_agent")).select(
+        "document_id", "user_agent_browser", "user_agent_os", "user_agent_version")
+
+
+CLUSTER_LABELS = {"k8s_cluster_name": "custom-fluentbit", "k8s_cluster_location": "us-east1-b"}
+
+
+def pod_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container lines of events -> tag route, pod metadata
+    by file name (nation as pods), JSON logs merged, resource labels."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    eid, uid = F.col("event_id"), F.col("user_id")
+    file_path = F.concat(F.lit("/var/log/containers/pod-"), (uid % 30).cast("string"),
+                         F.lit("_default_app-"), F.md5(eid.cast("string")), F.lit(".log"))
+    log = F.when(eid % 2 == 0, F.col("props")).otherwise(F.concat(F.lit("plain "), F.col("event_type")))
+    line = F.to_json(F.struct(F.concat(log, F.lit("\n")).alias("log"), F.lit("stdout").alias("stream"),
+                              F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time")))
+    lines = land(ev.select("event_id", file_path.alias("file_path"), line.alias("value")), "pod-lines")
+    x = TL.parse_docker(lines).withColumn("tag", EN.tag_of("file_path"))
+    x = EN.route_by_tag(x, "kube.*")
+    x = EN.enrich_pods(x, LK.pods_of(table(spark, sf_dir, "nation")))
+    x = EN.merge_log(x, "log")
+    x = EN.add_labels(x, CLUSTER_LABELS)
+    return x.select("event_id", "pod_name", "namespace_name", "container_name",
+                    F.col("pod_labels")["nation"].alias("nation_label"),
+                    F.try_variant_get("log_processed", "$.k", "bigint").alias("k"),
+                    "k8s_cluster_name")
+
+
 REGISTRY = {
     "decode_events": decode_events,
     "decode_errors": decode_errors,
@@ -271,4 +322,8 @@ REGISTRY = {
     "accounts_events": accounts_events,
     "metrics_lookup": metrics_lookup,
     "explode_events": explode_events,
+    "geo_country": geo_country,
+    "isp": isp,
+    "user_agent": user_agent,
+    "pod_metadata": pod_metadata,
 }
