@@ -107,6 +107,16 @@ def decode(lines: DataFrame, registry: DataFrame, *, value_col: str = "value",
         f.getField("payload").alias("payload"),
     )
 
+    return route_documents(df, registry, keep=keep, received_col=received_col)
+
+
+ROUTE_INPUT = ["raw", "envelope_timestamp", "logger", "log_type", "severity", "pid", "env_version",
+               "_no_fields", *DOC_KEYS, "document_id", "user_agent", "ip_address", "payload"]
+
+
+def route_documents(df: DataFrame, registry: DataFrame, *, keep=(), received_col: str | None = None) -> DataFrame:
+    """Steps 4-6 on split document columns (ROUTE_INPUT): shared by log
+    lines and the batch decoder-input table."""
     # The payload is parsed and checked *before* the registry join: a filter
     # on the routing result (which reads the registry side too) then stays
     # above the join and sees parsed columns, instead of being pushed down

@@ -234,3 +234,60 @@ SELECT e.event_id, 'pod-' || (e.user_id % 30) AS pod_name, 'default' AS namespac
        'custom-fluentbit' AS k8s_cluster_name
 FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30
 """
+
+ORACLES["live_destination"] = f"""
+SELECT 'accounts_frontend_live.events_v1' AS destination, strftime(ts, '%Y-%m-%d') AS date, {DOC_ID} AS document_id
+FROM events WHERE event_id % 50 >= 7
+UNION ALL
+SELECT 'accounts_frontend_live.accounts_events_v1', strftime(ts, '%Y-%m-%d'), {DOC_ID} FROM events
+"""
+
+ORACLES["live_day"] = f"""
+SELECT {DOC_ID} AS document_id, ts AS submission_timestamp
+FROM events WHERE event_id % 50 >= 7 AND CAST(ts AS DATE) = DATE '2024-01-15'
+"""
+
+ORACLES["decoder_input"] = f"""
+SELECT ts AS submission_timestamp,
+       CASE WHEN event_id % 50 = 1 THEN NULL ELSE {DOC_ID} END AS document_id,
+       'accounts-frontend' AS document_namespace,
+       CASE WHEN event_id % 50 = 1 THEN NULL ELSE 'events' END AS document_type,
+       CASE event_id % 50 WHEN 1 THEN NULL WHEN 6 THEN '99' ELSE '1' END AS document_version,
+       CASE WHEN event_id % 50 = 1 THEN NULL ELSE true END AS has_payload,
+       CASE WHEN event_id % 50 IN (0, 1, 5) THEN NULL ELSE 'development' END AS app_channel
+FROM events WHERE event_id % 50 NOT IN (2, 3, 4) AND ts >= TIMESTAMP '2024-01-15 00:00:00'
+"""
+
+ORACLES["batch_decode"] = f"""
+SELECT CASE WHEN event_id % 50 = 1 THEN NULL ELSE {DOC_ID} END AS document_id,
+       ts AS submission_timestamp,
+       CASE event_id % 50 WHEN 0 THEN 'missing_field' WHEN 1 THEN 'bad_envelope' WHEN 5 THEN 'bad_json'
+            WHEN 6 THEN 'unknown_schema' END AS error_type,
+       CASE WHEN event_id % 50 = 1 THEN NULL
+            ELSE 'accounts_frontend_live.events_v' || CASE WHEN event_id % 50 = 6 THEN '99' ELSE '1' END
+       END AS destination
+FROM events WHERE event_id % 50 NOT IN (2, 3, 4) AND ts >= TIMESTAMP '2024-01-15 00:00:00'
+"""
+
+ORACLES["dedup_messages"] = f"""
+SELECT {DOC_ID} AS message_id, CAST(event_id AS VARCHAR) AS event_id FROM events
+"""
+
+ORACLES["gunzip_payload"] = f"""
+SELECT {DOC_ID} AS message_id, 'events' AS document_type, event_id % 10 <> 0 AS is_text,
+       CASE WHEN event_id % 10 = 0 OR event_id % 50 IN (1, 2, 3, 4) THEN NULL ELSE {DOC_ID} END AS document_id
+FROM events
+"""
+
+ORACLES["minute_windows"] = f"""
+SELECT {DOC_ID} AS document_id, date_trunc('minute', ts) AS window_start,
+       date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end
+FROM events WHERE event_id % 50 >= 7
+"""
+
+ORACLES["timestamp_forms"] = """
+SELECT event_id, date_trunc('millisecond', ts) AS js_ts, ts AS py_ts, ts AS ns_ts, ts AS rs_ts,
+       date_trunc('minute', ts) AS minute_ts, CAST(NULL AS TIMESTAMP) AS unknown_ts,
+       CAST(ts AS DATE) AS day_date
+FROM events
+"""

@@ -19,16 +19,23 @@ from ..operators import recombine as RC
 from ..sources import logs as SRC
 from ..sources import textlogs as TL
 from . import event_lines as L
+from . import batch as B
 from . import container_lines as C
 from . import lookups as LK
 from . import text_lines as T
+from ..functions import times
+from ..session import scratch_path
+from ..sinks import live as LV
 from ..sinks.files import land
+from ..sources import queue as Q
 from .tables import table
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `events` table written out as landed log lines (value, event_id)."""
-    return land(L.events_to_log_lines(table(spark, sf_dir, "events", spread=True)), "log-lines")
+    lines = L.events_to_log_lines(table(spark, sf_dir, "events", spread=True),
+                                  keep=("event_id", F.col("ts").alias("received")))
+    return land(lines, "log-lines")
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +208,7 @@ def submit_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SERVICES = ["sync", "monitor", "relay", "vpn"]
 
 
-def _accounts_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _accounts_routed(spark: SparkSession, sf_dir: str, lines_only: bool = False) -> DataFrame:
     ev = table(spark, sf_dir, "events", spread=True)
     service = F.when(F.col("user_id") % 5 == 0, F.lit(None).cast("string")).otherwise(
         F.element_at(F.array(*[F.lit(x) for x in _SERVICES]), (F.col("user_id") % 4 + 1).cast("int")))
@@ -210,7 +217,8 @@ def _accounts_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
         user_id="user_id", event_name=F.col("event_type"), service=service,
         user_agent=L.user_agent_of(F.col("user_id")), ip_address=L.address_of(F.col("user_id"), F.col("event_id")),
         document_id=E.document_id_from_key(F.col("event_id")), dialect="js", keep=["event_id"])
-    return D.decode(land(lines, "accounts-lines"), S.registry(spark))
+    lines = land(lines, "accounts-lines")
+    return lines if lines_only else D.decode(lines, S.registry(spark))
 
 
 def accounts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,6 +310,112 @@ def pod_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "k8s_cluster_name")
 
 
+def _accounts_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _accounts_routed(spark, sf_dir, lines_only=True)
+
+
+def live_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` and `accounts-events` pings routed once and
+    written as day-partitioned live tables per destination plus the error
+    table; the live tables read back whole."""
+    lines = log_lines(spark, sf_dir).select("value").unionByName(_accounts_lines(spark, sf_dir).select("value"))
+    routed = D.decode(lines, S.registry(spark))
+    base = scratch_path(spark, "live")
+    LV.write_routed(routed, f"{base}/decoded", f"{base}/error")
+    live = LV.read_live(spark, f"{base}/decoded")
+    return live.select("destination", F.col("date").cast("string").alias("date"), "document_id")
+
+
+def live_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One destination, one day, from the written live table (the
+    day filter prunes partitions)."""
+    routed = D.decode(log_lines(spark, sf_dir), S.registry(spark))
+    base = scratch_path(spark, "live")
+    LV.write_routed(routed, f"{base}/decoded", f"{base}/error")
+    live = LV.read_live(spark, f"{base}/decoded", "accounts_frontend_live.events_v1", "2024-01-15")
+    return live.select("document_id", "submission_timestamp")
+
+
+DECODER_INPUT_SINCE = "2024-01-15 00:00:00"
+
+
+def decoder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw log table -> decoder input table."""
+    raw = B.raw_log_table(log_lines(spark, sf_dir), "received")
+    inp = B.prepare_decoder_input(raw, DECODER_INPUT_SINCE, namespace_override=L.APP_ID)
+    text = F.decode(F.col("payload"), "UTF-8")
+    return inp.select("submission_timestamp", "document_id", "document_namespace", "document_type",
+                      "document_version", (F.octet_length("payload") > 0).alias("has_payload"),
+                      F.get_json_object(text, "$.client_info.app_channel").alias("app_channel"))
+
+
+def batch_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch decoder over the decoder input table: same routing as lines."""
+    raw = B.raw_log_table(log_lines(spark, sf_dir), "received")
+    inp = land(B.prepare_decoder_input(raw, DECODER_INPUT_SINCE), "decoder-input")
+    routed = B.decode_input_table(inp, S.registry(spark))
+    return routed.select("document_id", "submission_timestamp", "error_type", "destination")
+
+
+def _messages(spark: SparkSession, sf_dir: str, gzip_every: bool) -> DataFrame:
+    lines = log_lines(spark, sf_dir)
+    data = F.col("value").cast("binary")
+    if gzip_every:
+        data = F.when(F.col("event_id") % 10 != 0, Q.gzip_bytes(data)).otherwise(data)
+    return lines.select(E.document_id_from_key(F.col("event_id")).alias("message_id"),
+                        F.col("received").cast("timestamp").alias("publish_time"), data.alias("data"),
+                        F.create_map(F.lit("event_id"), F.col("event_id").cast("string"),
+                                     F.lit("document_type"), F.lit("events")).alias("attributes"))
+
+
+def dedup_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 (batch form): every 97th message delivered twice, one kept."""
+    m = _messages(spark, sf_dir, gzip_every=False)
+    again = m.filter(F.col("attributes")["event_id"].cast("bigint") % 97 == 0) \
+             .withColumn("publish_time", F.col("publish_time") + F.expr("INTERVAL 1 SECOND"))
+    d = Q.dedup_messages(m.unionByName(again), "message_id")
+    return d.select("message_id", Q.attribute("attributes", "event_id").alias("event_id"))
+
+
+def gunzip_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip message bodies decoded to text (every 10th is not gzip:
+    NULL text, row kept); the document id read from the text."""
+    m = land(_messages(spark, sf_dir, gzip_every=True), "messages")
+    t = Q.decode_messages(m)
+    return t.select("message_id", Q.attribute("attributes", "document_type").alias("document_type"),
+                    F.col("value").isNotNull().alias("is_text"),
+                    F.get_json_object("value", "$.Fields.document_id").alias("document_id"))
+
+
+def pull_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pull of at most 10 messages, any 10 (rows-only check)."""
+    return Q.pull(_messages(spark, sf_dir, gzip_every=False).select("message_id"), Q.PULL_MAX)
+
+
+def minute_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-minute tumbling window of each decoded ping."""
+    d = D.decoded(_routed(spark, sf_dir))
+    w = F.window("submission_timestamp", "1 minute")
+    return d.select("document_id", w.getField("start").alias("window_start"), w.getField("end").alias("window_end"))
+
+
+def timestamp_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every producer text form of `ts`, parsed back."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    ts = F.col("ts")
+    forms = ev.select(
+        "event_id",
+        times.iso_millis_z(ts).alias("js"), times.python_isoformat(ts).alias("py"),
+        times.epoch_nanos(ts).cast("string").alias("ns"), times.rfc3339_auto(ts).alias("rs"),
+        times.minute_offset(ts, -5).alias("minute"),
+        F.concat(F.date_format(times.as_instant(ts), "yyyy-MM-dd"), F.lit("+02:00")).alias("day"),
+        F.lit("Unknown").alias("unknown"))
+    forms = land(forms, "time-forms")
+    return forms.select("event_id", *[times.parse_timestamp(c).alias(f"{c}_ts") for c in
+                                      ("js", "py", "ns", "rs", "minute", "unknown")],
+                        times.parse_date("day").alias("day_date"))
+
+
 REGISTRY = {
     "decode_events": decode_events,
     "decode_errors": decode_errors,
@@ -326,4 +440,13 @@ REGISTRY = {
     "isp": isp,
     "user_agent": user_agent,
     "pod_metadata": pod_metadata,
+    "live_destination": live_destination,
+    "live_day": live_day,
+    "decoder_input": decoder_input,
+    "batch_decode": batch_decode,
+    "dedup_messages": dedup_messages,
+    "gunzip_payload": gunzip_payload,
+    "pull_messages": pull_messages,
+    "minute_windows": minute_windows,
+    "timestamp_forms": timestamp_forms,
 }
