@@ -33,3 +33,13 @@ def parse_submit_path(path) -> Column:
     g = lambda i: F.when(ok, F.regexp_extract(p, SUBMIT_PATH_REGEX, i))
     return F.struct(g(1).alias("document_namespace"), g(2).alias("document_type"),
                     g(3).alias("document_version"), g(4).alias("document_id"))
+
+
+def int_or_default(text, default: int) -> Column:
+    """Integer text, or `default` when it is not an integer."""
+    return F.coalesce(_c(text).try_cast("int"), F.lit(default))
+
+
+def prefixed(header, text) -> Column:
+    """Header + text (a NULL header counts as empty)."""
+    return F.concat(F.coalesce(_c(header), F.lit("")), _c(text))

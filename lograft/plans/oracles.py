@@ -291,3 +291,14 @@ SELECT event_id, date_trunc('millisecond', ts) AS js_ts, ts AS py_ts, ts AS ns_t
        CAST(ts AS DATE) AS day_date
 FROM events
 """
+
+ORACLES["logger_settings"] = """
+SELECT event_id,
+       CAST(CASE WHEN event_id % 3 = 0 THEN user_id % 10 ELSE 2 END AS INTEGER) AS interval_s,
+       CASE WHEN event_id % 5 <> 0 THEN event_type || ' ' ELSE '' END || CASE event_id % 4
+         WHEN 0 THEN 'error happened with social security number xxx-xx-xxxx'
+         WHEN 1 THEN 'Something happened..with social xxx-xx-xxxx'
+         WHEN 2 THEN 'Processing credit card xxxx xxxx xxxx xxxx'
+         ELSE 'Users email is user@email.tld' END AS log
+FROM events
+"""

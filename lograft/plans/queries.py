@@ -352,7 +352,9 @@ def decoder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch decoder over the decoder input table: same routing as lines."""
     raw = B.raw_log_table(log_lines(spark, sf_dir), "received")
-    inp = land(B.prepare_decoder_input(raw, DECODER_INPUT_SINCE), "decoder-input")
+    path = scratch_path(spark, "decoder-input")
+    LV.replace_table(B.prepare_decoder_input(raw, DECODER_INPUT_SINCE), path)
+    inp = SRC.read_decoder_input(spark, path, start_date=DECODER_INPUT_SINCE[:10])
     routed = B.decode_input_table(inp, S.registry(spark))
     return routed.select("document_id", "submission_timestamp", "error_type", "destination")
 
@@ -416,6 +418,19 @@ def timestamp_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
                         times.parse_date("day").alias("day_date"))
 
 
+def logger_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test logger's interval setting (integer text or a
+    default of 2) and its header-prefixed line, masked."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    eid = F.col("event_id")
+    setting = (F.when(eid % 3 == 0, (F.col("user_id") % 10).cast("string"))
+               .when(eid % 3 == 1, F.lit("abc")).otherwise(F.lit(None).cast("string")))
+    stmt = F.element_at(F.array(*[F.lit(x) for x in LOGGER_LINES]), (eid % 4 + 1).cast("int"))
+    header = F.when(eid % 5 != 0, F.concat(F.col("event_type"), F.lit(" ")))
+    return ev.select("event_id", PT.int_or_default(setting, 2).alias("interval_s"),
+                     mask_text(PT.prefixed(header, stmt)).alias("log"))
+
+
 REGISTRY = {
     "decode_events": decode_events,
     "decode_errors": decode_errors,
@@ -449,4 +464,5 @@ REGISTRY = {
     "pull_messages": pull_messages,
     "minute_windows": minute_windows,
     "timestamp_forms": timestamp_forms,
+    "logger_settings": logger_settings,
 }
