@@ -50,9 +50,20 @@ def recombine_lines(df: DataFrame, file_col: str, order_col: str, text_col: str
     x = x.join(chunks, ["_file", "_chunk"], "left") \
          .withColumn("_end", F.coalesce("_end_local", "_end_later"))
 
-    parts = F.array_sort(F.collect_list(F.struct("_n", "_text")))
-    return (x.groupBy("_file", "_end")
-            .agg(parts.alias("_parts"), F.min(F.struct("_n", "_order")).getField("_order").alias("first_order"))
-            .select(F.col("_file").alias(file_col), "first_order",
-                    F.array_join(F.transform("_parts", lambda p: p.getField("_text")), "").alias("message"),
-                    F.size("_parts").alias("parts")))
+    # Two-stage concatenation: first inside each (file, message, chunk) -
+    # rows are already clustered by (file, chunk) from the window, so no new
+    # shuffle - then the per-chunk pieces of each message, at most one row
+    # per chunk a message spans (a file that never ends a line cannot pile
+    # all its fragments into one group).
+    pieces = (x.groupBy("_file", "_end", "_chunk")
+              .agg(F.array_sort(F.collect_list(F.struct("_n", "_text"))).alias("_p"),
+                   F.min(F.struct("_n", "_order")).alias("_first"))
+              .select("_file", "_end", "_chunk", "_first", F.size("_p").alias("_cnt"),
+                      F.array_join(F.transform("_p", lambda p: p.getField("_text")), "").alias("_piece")))
+    msgs = (pieces.groupBy("_file", "_end")
+            .agg(F.array_sort(F.collect_list(F.struct("_chunk", "_piece"))).alias("_ps"),
+                 F.min("_first").getField("_order").alias("first_order"),
+                 F.sum("_cnt").alias("parts")))
+    return msgs.select(F.col("_file").alias(file_col), "first_order",
+                       F.array_join(F.transform("_ps", lambda p: p.getField("_piece")), "").alias("message"),
+                       F.col("parts").cast("int").alias("parts"))
