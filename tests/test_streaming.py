@@ -48,3 +48,4 @@ def test_streaming_dedup_within_watermark(spark):
         .queryName("dedup_t").option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(r.message_id for r in spark.table("dedup_t").collect()) == ["m1", "m2"]
+
