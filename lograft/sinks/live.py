@@ -3,8 +3,10 @@
 Decoded rows go to one dataset partitioned by `destination` and `date`
 (one live table per document type, day partitions, clustered by
 `submission_timestamp` inside files); error rows go to the 45-column error
-table partitioned by `date`. Routing is evaluated once: the routed frame is
-persisted for the two writes and released after.
+table partitioned by `date`. Routing is evaluated once for the two writes:
+a batch job lands the routed rows as a table under `spark.checkpoint.dir`
+(durable, survives executor loss, bounded by disk rather than memory); a
+streaming micro-batch is small and is persisted instead, then released.
 
 Streaming micro-batches carry their `batch_id` as a partition column and are
 written with dynamic partition overwrite, so a replayed batch replaces its
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import decode as D
+from .files import land
 
 # Output shards of the streaming decoder.
 DECODED_SHARDS = 200
@@ -38,7 +41,8 @@ def write_routed(routed: DataFrame, decoded_path: str, error_path: str, *,
                  decoded_shards: int | None = None, error_shards: int | None = None,
                  batch_id: int | None = None, mode: str = "append") -> None:
     """V4 + K5 + K6 + K8: both outputs of one routing pass."""
-    routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = batch_id is not None
+    routed = routed.persist(StorageLevel.MEMORY_AND_DISK) if cached else land(routed, "routed")
     try:
         dec = with_day(D.decoded(routed))
         err = D.errors(routed).withColumn("date", F.to_date("submission_timestamp"))
@@ -53,7 +57,8 @@ def write_routed(routed: DataFrame, decoded_path: str, error_path: str, *,
         dec.write.mode(mode).options(**opts).partitionBy(*parts_dec).parquet(decoded_path)
         err.write.mode(mode).options(**opts).partitionBy(*parts_err).parquet(error_path)
     finally:
-        routed.unpersist()
+        if cached:
+            routed.unpersist()
 
 
 def read_live(spark: SparkSession, path: str, destination: str | None = None, day: str | None = None) -> DataFrame:
