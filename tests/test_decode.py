@@ -20,7 +20,7 @@ def envelope(payload, version="1", fields=None, typ="glean-server-event"):
     f = fields if fields is not None else {
         "document_namespace": "accounts-frontend", "document_type": "events", "document_version": version,
         "document_id": "dd99db96-941d-4894-bb97-7a2bcd65bbf5", "payload": payload}
-    return json.dumps({"Timestamp": 1687448048064000000, "Logger": "fxa-oauth-server", "Type": typ,
+    return json.dumps({"Timestamp": 1687448048064000000, "Logger": "demo-app-glean", "Type": typ,
                        "Severity": 6, "Pid": 1, "EnvVersion": "2.0", "Fields": f})
 
 
