@@ -8,10 +8,12 @@ DOC_ID = ("(substr(md5(cast(event_id as varchar)),1,8) || '-' || substr(md5(cast
           " || '-' || substr(md5(cast(event_id as varchar)),13,4) || '-' || substr(md5(cast(event_id as varchar)),17,4)"
           " || '-' || substr(md5(cast(event_id as varchar)),21,12))")
 
+# SDK build text and logger names written by the producers.
 SDK = "glean_parser v15.0.2.dev17+g81fec69a"
 
 LOGGER = ("CASE event_id % 4 WHEN 0 THEN 'accounts-frontend-glean' WHEN 3 THEN NULL "
           "ELSE 'glean' END")
+# End of fixed values.
 
 LINKING = ("CASE WHEN event_id % 4 = 1 THEN NULL WHEN event_id % 4 = 0 AND event_id % 7 = 0 THEN NULL "
            "ELSE event_id % 3 = 0 END")
