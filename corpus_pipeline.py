@@ -7,15 +7,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lograft.llm.common import land, table
+from lograft.llm.simhash_dedup import keep_first
 from lograft.llm.suffix_dedup import dedup_text
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays (3-word shingles, 3 bits)."""
+    return keep_first(docs, shingle=3, max_bits=3)
+
+
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out of the texts."""
     return dedup_text(docs)
 
 
 STAGES = [
+    ("simhash_near_dedup", simhash_stage),
     ("suffix_array_dedup", suffix_stage),
 ]
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .simhash_dedup import op9_simhash_dedup
 from .suffix_dedup import op10_suffix_dedup
 
 REGISTRY = {
+    "op9_simhash_dedup": op9_simhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
