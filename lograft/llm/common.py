@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from ..sinks.files import land
 
 __all__ = ["land", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
-           "membership", "may_hold", "keep_members", "connected_components", "keep_rows", "with_row_key", "SPACE"]
+           "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows", "hash_sample", "SPACE"]
 
 # ASCII white space as the contracts write it: [\x20\x09-\x0D]
 SPACE = r"\x20\x09-\x0D"
@@ -118,18 +119,27 @@ def keep_members(df: DataFrame, col: str, member: tuple[int, np.ndarray]) -> Dat
     return df.filter(may_hold(df, col, member))
 
 
-def with_row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list:
-    """Columns that identify a row of documents for a null-safe join."""
-    return [F.col(id_col).cast("long").alias("__id"), F.xxhash64(F.col(text_col)).alias("__th")]
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> list:
+    """(id, th) of a row of documents: its id and its text's hash."""
+    return [F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th")]
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of `docs` whose (doc_id, text hash) is in `kept` (__id, __th); the
-    columns of `docs` come back unchanged."""
-    k = kept.select(F.col("__id").alias("__kid"), F.col("__th").alias("__kth"))
-    tagged = docs.select("*", *with_row_key(docs))
-    return tagged.join(k, F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__th") == F.col("__kth")), "left_semi") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+def pick_rows(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of `docs` whose (id, th) is in `keys` ("left_semi") or not
+    ("left_anti"), null ids included; columns come back unchanged. Few keys
+    (checked) are broadcast and the texts stay where they are."""
+    on = ["__none", "__id", "__th"]
+    name = lambda id_, th: [id_.isNull().alias(on[0]), F.coalesce(id_, F.lit(0).cast("long")).alias(on[1]), th.alias(on[2])]
+    k = keys.select(*name(F.col("id"), F.col("th")))
+    tagged = docs.select("*", *name(F.col("doc_id").cast("long"), F.xxhash64(F.col("text"))))
+    return lookup_join(tagged, k, on, how).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
+    """At most `n` distinct ids, those with the smallest hash (a bounded sample
+    that reruns repeat)."""
+    ids = df.select(F.col(f"`{id_col}`").cast("long").alias("id")).filter("id is not null").distinct()
+    return ids.orderBy(F.xxhash64("id"), "id").limit(n)
 
 
 def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .common import byte_rows, column_arrays, connected_components, keep_rows, land, parts, spread, table
+from .common import byte_rows, column_arrays, connected_components, land, parts, pick_rows, spread, table
 
 SEED = 42
 SHINGLE = 3
@@ -163,8 +163,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
     kept = found.filter("id is null or id = component")
     first = kept.groupBy("id").agg(F.min("th").alias("th"), F.count(F.lit(1)).alias("n")).filter("id is not null")
-    kept = kept.filter("id is null").select("id", "th").unionByName(first.select("id", "th")).select(F.col("id").alias("__id"), F.col("th").alias("__th"))
-    out = keep_rows(docs, kept)
+    out = pick_rows(docs, kept.filter("id is null").select("id", "th").unionByName(first.select("id", "th")))
     if first.filter("n > 1").isEmpty():
         return out
     with_id, without = out.filter("doc_id is not null"), out.filter("doc_id is null")
