@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from .huffman_tokens import op7_huffman_tokens
+from .language_id import op2_language_id
+from .piece_viterbi import op8_piece_viterbi
 from .simhash_dedup import op9_simhash_dedup
 from .suffix_dedup import op10_suffix_dedup
+from .toxicity import op4_toxicity
 
 REGISTRY = {
+    "op2_language_id": op2_language_id,
+    "op4_toxicity": op4_toxicity,
+    "op7_huffman_tokens": op7_huffman_tokens,
+    "op8_piece_viterbi": op8_piece_viterbi,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
