@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from .huffman_tokens import op7_huffman_tokens
 from .language_id import op2_language_id
+from .mixing import OP3_SQL, op3_source_mix
 from .piece_viterbi import op8_piece_viterbi
 from .simhash_dedup import op9_simhash_dedup
 from .suffix_dedup import op10_suffix_dedup
 from .toxicity import op4_toxicity
+from .warc_zstd import OP5_SQL, op5_warc_zstd
 
 REGISTRY = {
     "op2_language_id": op2_language_id,
+    "op3_source_mix": op3_source_mix,
     "op4_toxicity": op4_toxicity,
+    "op5_warc_zstd": op5_warc_zstd,
     "op7_huffman_tokens": op7_huffman_tokens,
     "op8_piece_viterbi": op8_piece_viterbi,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_source_mix": OP3_SQL,
+    "op5_warc_zstd": OP5_SQL,
+}

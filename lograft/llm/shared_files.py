@@ -25,12 +25,12 @@ def committed(folder: str, name: str) -> Iterator[tuple]:
     stem, dot, ext = name.partition(".")
     final = f"{root}/{stem}-{uuid.uuid4().hex[:12]}{dot}{ext}"
     system.create_dir(root, recursive=True)
-    with system.open_output_stream(final + ".partial") as out:
+    with system.open_output_stream(final + ".partial", compression=None) as out:
         yield out, final.rpartition("/")[2]
     system.move(final + ".partial", final)
 
 
 def read_bytes(folder: str, name: str) -> bytes:
     system, root = resolve(folder)
-    with system.open_input_stream(f"{root}/{name}") as f:
+    with system.open_input_stream(f"{root}/{name}", compression=None) as f:
         return f.read()
