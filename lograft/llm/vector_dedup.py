@@ -266,8 +266,8 @@ def op6_vector_dedup(spark, sf_dir: str) -> DataFrame:
 OP6_SQL = f"""
 WITH RECURSIVE e AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 n AS (SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM e),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
       WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {THRESHOLD}),
