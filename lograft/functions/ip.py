@@ -1,5 +1,4 @@
-"""IP address text -> 16-byte binary (IPv4 mapped into ::ffff:0:0/96), and
-bucket keys for range lookups. Built-in expressions only (no UDF): IPv6
+"""IP address text -> 32 hex digits (IPv4 mapped into ::ffff:0:0/96). Built-in expressions only (no UDF): IPv6
 `::` expansion and an embedded dotted IPv4 tail are string/array work.
 
 The conversion is a DataFrame step (`with_ip_hex`) that stages its
@@ -15,24 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Address text shapes.
-IPV4_REGEX = r"^([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$"
+# Address text shapes.
+IPV4_REGEX = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
 IPV4_TAIL_REGEX = r"([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})$"
 V4_MAPPED_PREFIX = "00000000000000000000ffff"
-# End of fixed values.
 
 _EMPTY = "array<string>"
 
 
-def v4_hex(s: Column) -> Column:
-    """8 hex digits of a dotted IPv4 text column, NULL if malformed."""
-    octets = [F.regexp_extract(s, IPV4_REGEX, i).try_cast("int") for i in range(1, 5)]
-    ok = s.rlike(IPV4_REGEX)
-    for o in octets:
-        ok = ok & (o <= 255)
-    return F.when(ok, F.concat(*[F.lpad(F.lower(F.hex(o)), 2, "0") for o in octets]))
-
-
 def let(value: Column, fn) -> Column:
     """Bind `value` once and use it many times inside `fn` (a one-element
     `transform`): keeps the expression linear in size however often the
@@ -40,6 +29,14 @@ def let(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+def v4_hex(s: Column) -> Column:
+    """8 hex digits of a dotted IPv4 text column, NULL if malformed."""
+    def on_octets(o):
+        ok = F.forall(o, lambda x: x <= 255)
+        return F.when(ok, F.array_join(F.transform(o, lambda x: F.lpad(F.lower(F.hex(x)), 2, "0")), ""))
+    return F.when(s.rlike(IPV4_REGEX), let(F.transform(F.split(s, r"\."), lambda x: x.cast("int")), on_octets))
+
+
 def _v6_groups_hex(s2: Column) -> Column:
     """IPv6 text without a dotted tail -> 32 hex digits or NULL."""
     def on_halves(h):
@@ -84,12 +81,3 @@ def ip_hex(addr) -> Column:
 
 def with_ip_hex(df: DataFrame, addr_col: str, out_col: str) -> DataFrame:
     return df.withColumn(out_col, ip_hex(addr_col))
-
-
-def bucket(hex32: Column, level: int) -> Column:
-    """Bucket key of a 32-hex address column. Level 1: IPv4 /16 or IPv6 /32;
-    level 2: IPv4 /8 or IPv6 /16. IPv4 keys carry the mapped prefix, so the
-    two families never share a key."""
-    is_v4 = hex32.startswith(V4_MAPPED_PREFIX)
-    v4_len, v6_len = (28, 8) if level == 1 else (26, 4)
-    return F.when(is_v4, F.substring(hex32, 1, v4_len)).otherwise(F.substring(hex32, 1, v6_len))

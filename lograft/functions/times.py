@@ -1,7 +1,7 @@
 """Timestamp text forms found in log records, both directions.
 
-Parsing covers every form the producers write: epoch digits (s, ms, us, ns;
-string or JSON number), ISO-8601 / RFC 3339 with fractions of any length and
+Parsing covers every form the producers write: epoch digits (unit named by
+the caller, nanoseconds unless told; string or JSON number), ISO-8601 / RFC 3339 with fractions of any length and
 `Z` or an offset, minute precision with an offset, and CLF / syslog text.
 All built-in expressions, so they stay inside whole-stage codegen.
 """
@@ -11,12 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text patterns of the forms handled here.
 MINUTE_OFFSET_FORMAT = "yyyy-MM-dd'T'HH:mmXXX"
 CLF_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 SYSLOG_FORMAT = "yyyy MMM d HH:mm:ss"
 ISO_MILLIS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-# End of fixed values.
 
 
 def _c(c) -> Column:
@@ -28,33 +26,40 @@ def as_instant(c) -> Column:
     return _c(c).cast("timestamp")
 
 
-def epoch_to_timestamp(digits: Column) -> Column:
-    """Epoch digits of any unit (picked by length) to a timestamp, µs precision."""
-    n = F.length(digits)
-    v = digits.try_cast("decimal(38,0)")
-    micros = (
-        F.when(n >= 18, F.floor(v / 1000))
-        .when(n >= 15, v)
-        .when(n >= 12, v * 1000)
-        .otherwise(v * 1000000)
-    ).try_cast("bigint")
-    return F.timestamp_micros(micros)
+_LAST_MICROS = 253402300799999999     # 9999-12-31T23:59:59.999999Z
 
 
-def parse_timestamp(c) -> Column:
-    """Any producer timestamp text (or number) to TIMESTAMP, NULL if none fits."""
+def epoch_to_timestamp(digits: Column, unit: str = "ns") -> Column:
+    """Epoch digits in the unit the caller names (s, ms, us, ns) to a timestamp
+    with µs precision. More than 19 digits, or a time past the year 9999: NULL."""
+    v = F.when(digits.rlike("^[0-9]{1,19}$"), digits).try_cast("bigint")
+    k = {"s": 1_000_000, "ms": 1_000, "us": 1}
+    micros = F.call_function("div", v, F.lit(1000).cast("bigint")) if unit == "ns" else F.try_multiply(v, F.lit(k[unit]).cast("bigint"))
+    return F.timestamp_micros(F.when(micros <= _LAST_MICROS, micros))
+
+
+def parse_timestamp(c, unit: str = "ns") -> Column:
+    """Any producer timestamp text (or number, in `unit`) to TIMESTAMP; NULL if
+    none fits. Text needs a date part: a bare time of day is not a timestamp."""
     s = F.trim(_c(c).cast("string"))
-    is_digits = s.rlike("^[0-9]+$")
     return (
         F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))
-        .when(is_digits, epoch_to_timestamp(s))
-        .otherwise(F.coalesce(
+        .when(s.rlike("^[0-9]+$"), epoch_to_timestamp(s, unit))
+        .when(s.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), F.coalesce(
             s.try_cast("timestamp"),
             F.try_to_timestamp(s, F.lit(MINUTE_OFFSET_FORMAT)),
         ))
     )
 
 
+def text_nanos(c) -> Column:
+    """Order value of an ISO-8601 text in nanoseconds (bigint): the µs that a
+    TIMESTAMP holds plus the three digits it cuts off. NULL if unparsed."""
+    s = F.trim(_c(c).cast("string"))
+    rest = F.substring(F.rpad(F.regexp_extract(s, r"\.([0-9]{1,9})", 1), 9, "0"), 7, 3).cast("bigint")
+    return F.unix_micros(parse_timestamp(s)) * 1000 + rest
+
+
 def parse_date(c) -> Column:
     """Date text, also with a trailing offset (`2023-06-23+02:00`)."""
     s = F.trim(_c(c).cast("string"))

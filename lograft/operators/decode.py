@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import times
 from ..functions.paths import destination_name
-from .joins import checked_broadcast
+from .joins import Lookup, prepare_lookup
 
-# Error types (precedence order) and their exception classes.
+# Error types in precedence order, and their exception classes.
 ERROR_TYPES = ["bad_envelope", "unknown_schema", "bad_json", "missing_field"]
 EXCEPTION_CLASS = {
     "bad_envelope": "InvalidEnvelopeException",
@@ -38,7 +38,6 @@ EXCEPTION_CLASS = {
     "bad_json": "MalformedPayloadException",
     "missing_field": "ValidationException",
 }
-# End of fixed values.
 
 DOC_KEYS = ["document_namespace", "document_type", "document_version"]
 
@@ -63,12 +62,16 @@ def _pre_filter_text(pattern: str | None) -> str:
 def parse_envelope(lines: DataFrame, value_col: str = "value", pattern: str | None = None,
                    keep=()) -> DataFrame:
     """Steps 1-3: filter and parse the envelope. Non-JSON text, JSON without
-    the tag and other tags never reach decoding and are not errors (F3)."""
+    the tag and other tags never reach decoding and are not errors (F3). A line
+    that opens an object and holds the exact tag but is cut off is an event
+    that was damaged: it stays, without fields, and becomes `bad_envelope`."""
     v = F.col(value_col)
     pre = _pre_filter_text(pattern)
     df = lines.filter(v.contains(pre)) if pre else lines
     df = df.select(*keep, v.alias("raw"), F.from_json(v, S.ENVELOPE).alias("_e"))
-    return df.filter(event_type_match(F.col("_e.Type"), pattern))
+    cut_off = F.col("_e.Type").isNull() & F.col("raw").startswith("{") & F.col("raw").contains(f'"{S.EVENT_LOG_TYPE}"') \
+        & F.try_parse_json(F.col("raw")).isNull()
+    return df.filter(F.coalesce(event_type_match(F.col("_e.Type"), pattern), F.lit(False)) | cut_off)
 
 
 def _missing_paths(p: Column) -> Column:
@@ -83,7 +86,7 @@ def _missing_paths(p: Column) -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def decode(lines: DataFrame, registry: DataFrame, *, value_col: str = "value",
+def decode(lines: DataFrame, registry: DataFrame | Lookup, *, value_col: str = "value",
            pattern: str | None = None, keep=(), received_col: str | None = None) -> DataFrame:
     """Routed rows: decoded columns plus `error_type` / `error_message` /
     `exception_class` (NULL for good rows) and the original line `raw`."""
@@ -114,7 +117,19 @@ ROUTE_INPUT = ["raw", "envelope_timestamp", "logger", "log_type", "severity", "p
                "_no_fields", *DOC_KEYS, "document_id", "user_agent", "ip_address", "payload"]
 
 
-def route_documents(df: DataFrame, registry: DataFrame, *, keep=(), received_col: str | None = None) -> DataFrame:
+def registry_lookup(registry: DataFrame | Lookup) -> Lookup:
+    """The registry as the routing join needs it, its size measured once."""
+    if isinstance(registry, Lookup):
+        return registry
+    return prepare_lookup(registry.select(
+        F.col("namespace").alias("document_namespace"),
+        F.col("type").alias("document_type"),
+        F.col("version").alias("document_version"),
+        F.col("required_paths").alias("_required"),
+    ))
+
+
+def route_documents(df: DataFrame, registry: DataFrame | Lookup, *, keep=(), received_col: str | None = None) -> DataFrame:
     """Steps 4-6 on split document columns (ROUTE_INPUT): shared by log
     lines and the batch decoder-input table."""
     # The payload is parsed and checked *before* the registry join: a filter
@@ -125,13 +140,7 @@ def route_documents(df: DataFrame, registry: DataFrame, *, keep=(), received_col
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COL})
     df = df.withColumn("_p", p).withColumn("_missing", _missing_paths(F.col("_p")))
 
-    reg, _ = checked_broadcast(registry.select(
-        F.col("namespace").alias("document_namespace"),
-        F.col("type").alias("document_type"),
-        F.col("version").alias("document_version"),
-        F.col("required_paths").alias("_required"),
-    ))
-    df = df.join(reg, DOC_KEYS, "left")
+    df = df.join(registry_lookup(registry).side, DOC_KEYS, "left")
     # Required paths (registry order) that are missing in this payload.
     df = df.withColumn("_failing", F.array_intersect(F.col("_required"), F.col("_missing")))
 
@@ -159,8 +168,8 @@ def route_documents(df: DataFrame, registry: DataFrame, *, keep=(), received_col
         "raw", "logger", "log_type", "severity", "pid", "env_version",
         *DOC_KEYS, "document_id", "user_agent", "ip_address", "payload",
         F.coalesce(
+            *([F.col(received_col).cast("timestamp")] if received_col else []),
             times.parse_timestamp(F.col("envelope_timestamp")),
-            *( [F.col(received_col).cast("timestamp")] if received_col else []),
             times.parse_timestamp(pl.getField("ping_info").getField("end_time")),
         ).alias("submission_timestamp"),
         F.when(ok, pl.getField("client_info")).alias("client_info"),
@@ -174,17 +183,31 @@ def route_documents(df: DataFrame, registry: DataFrame, *, keep=(), received_col
              .withColumn("destination", destination_name(*DOC_KEYS))
 
 
-def decoded(routed: DataFrame) -> DataFrame:
-    """Good rows, with normalised ping times; error columns dropped."""
+SOURCE_COLUMNS = ["raw", "payload", "ip_address"]
+
+
+def decoded(routed: DataFrame, keep_source: bool = False) -> DataFrame:
+    """Good rows, with normalised ping times; error columns dropped, and the
+    source text and address with them (J7) unless a caller still enriches."""
     return (routed.filter(F.col("error_type").isNull())
-            .drop("error_type", "error_message", "exception_class")
+            .drop("error_type", "error_message", "exception_class", *([] if keep_source else SOURCE_COLUMNS))
             .withColumn("start_time", times.parse_timestamp(F.col("ping_info.start_time")))
             .withColumn("end_time", times.parse_timestamp(F.col("ping_info.end_time"))))
 
 
+ADDRESS_MEMBER = r'"ip_address"\s*:\s*"([^"]*)'
+
+
+def scrub_text(text, raw, address) -> Column:
+    """`text` without the row's address. In rows whose envelope could not be
+    read, the address is found in the source line by its member name."""
+    known = F.coalesce(F.nullif(address, F.lit("")), F.regexp_extract(raw, ADDRESS_MEMBER, 1))
+    return F.when(F.coalesce(known, F.lit("")) != "", F.replace(text, known, F.lit(""))).otherwise(text)
+
+
 def errors(routed: DataFrame) -> DataFrame:
     """Error rows as the 45-column error table (V5); the original line is kept
-    as bytes in `payload`, unknown columns are NULL."""
+    as bytes in `payload`, less the client's address; unknown columns are NULL."""
     e = routed.filter(F.col("error_type").isNotNull())
     return to_error_table(e)
 
@@ -195,9 +218,9 @@ def to_error_table(e: DataFrame) -> DataFrame:
     for fld in S.ERROR_SCHEMA.fields:
         name = fld.name
         if name == "payload":
-            c = F.col("raw").cast("binary")
+            c = F.col("raw") if dict(e.dtypes)["raw"] == "binary" else scrub_text(F.col("raw"), F.col("raw"), F.col("ip_address")) if "ip_address" in have else F.col("raw")
         elif name == "input_type":
-            c = F.lit("log")
+            c = F.col("input_type") if name in have else F.lit("log")
         elif name == "date":
             c = F.date_format(F.col("submission_timestamp"), "yyyy-MM-dd")
         elif name == "remote_addr":

@@ -7,7 +7,7 @@ built only from `struct` / `map` / `array` / `to_json`: no Python per row.
 
 Dialects of the envelope (the `dialect` column or literal):
 
-* ``js``     - mozlog "heka": Timestamp epoch-ns number, Logger `<app>-glean`,
+* ``js``     - the JSON envelope of the JavaScript server logger: Timestamp epoch-ns number, Logger `<app>-glean`,
                Severity, Pid, EnvVersion; ping times `toISOString`.
 * ``python`` - Timestamp ISO-8601 (aware UTC), Logger `glean`.
 * ``go``     - Timestamp epoch-ns string, Logger `glean`, empty user agent /

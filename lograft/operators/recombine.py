@@ -4,14 +4,18 @@ Rule: a message ends at a fragment whose text ends with a newline; the
 fragments before it (same file, in order) belong to it. A file's trailing
 fragments without a newline form one unterminated message.
 
-The message of a fragment is named by the order value of the first
-terminating fragment at or after it. To keep one very large file from
-landing in one task, the order axis is cut into chunks: each chunk finds its
-own next terminator with a window over `(file, chunk)`; fragments whose
-message ends in a later chunk take the first terminator of the following
-chunks from a per-chunk table (one row per chunk, joined back on the same
-keys, so the big side is not shuffled again). Then one group per message
-concatenates its fragments in order; messages are small, groups are bounded.
+Order is a bigint in nanoseconds (or any unit); fragments that tie are ordered
+by `tie_cols`, then by text. Lines without an order value (their time did not
+parse) cannot take part: each is passed on as a message of its own.
+
+To keep one very large file from landing in one task, the order axis is cut
+into chunks. Inside a chunk, fragments are numbered and a running window from
+the end finds each one's next terminator (linear). Fragments whose message ends
+in a later chunk take the first terminator of the following chunks from a table
+of one row per chunk, made from the same windowed rows (no second scan).
+Concatenation runs per (message, chunk, run of MAX_PARTS fragments), then joins
+runs up to MAX_BYTES: a file that never ends a line comes out as several pieces
+(`piece` 0, 1, ...), with every fragment in one of them.
 """
 
 from __future__ import annotations
@@ -20,6 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_PARTS = 10_000
+MAX_BYTES = 64 << 20
+
 
 def _order_as_long(df: DataFrame, order_col: str):
     dt = df.schema[order_col].dataType
@@ -29,41 +36,59 @@ def _order_as_long(df: DataFrame, order_col: str):
     return c.cast("bigint")
 
 
-def recombine_lines(df: DataFrame, file_col: str, order_col: str, text_col: str = "log",
-                    chunk_width: int = 60_000_000) -> DataFrame:
-    """-> (file, first order value, message, parts). `order_col` must not tie
-    within a file; `chunk_width` is in order units (µs for timestamps)."""
-    n = _order_as_long(df, order_col)
-    x = df.select(F.col(file_col).alias("_file"), F.col(order_col).alias("_order"), n.alias("_n"),
-                  F.col(text_col).alias("_text"))
-    x = x.withColumn("_term", F.col("_text").endswith("\n")) \
-         .withColumn("_chunk", F.floor(F.col("_n") / F.lit(chunk_width)))
-
-    w_local = Window.partitionBy("_file", "_chunk").orderBy("_n").rowsBetween(0, Window.unboundedFollowing)
-    x = x.withColumn("_end_local", F.first(F.when(F.col("_term"), F.col("_n")), ignorenulls=True).over(w_local))
-
-    chunks = x.groupBy("_file", "_chunk").agg(F.min(F.when(F.col("_term"), F.col("_n"))).alias("_first_term"))
-    w_next = Window.partitionBy("_file").orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
-    chunks = chunks.select("_file", "_chunk",
-                           F.first("_first_term", ignorenulls=True).over(w_next).alias("_end_later"))
-
-    x = x.join(chunks, ["_file", "_chunk"], "left") \
-         .withColumn("_end", F.coalesce("_end_local", "_end_later"))
-
-    # Two-stage concatenation: first inside each (file, message, chunk) -
-    # rows are already clustered by (file, chunk) from the window, so no new
-    # shuffle - then the per-chunk pieces of each message, at most one row
-    # per chunk a message spans (a file that never ends a line cannot pile
-    # all its fragments into one group).
-    pieces = (x.groupBy("_file", "_end", "_chunk")
-              .agg(F.array_sort(F.collect_list(F.struct("_n", "_text"))).alias("_p"),
-                   F.min(F.struct("_n", "_order")).alias("_first"))
-              .select("_file", "_end", "_chunk", "_first", F.size("_p").alias("_cnt"),
-                      F.array_join(F.transform("_p", lambda p: p.getField("_text")), "").alias("_piece")))
-    msgs = (pieces.groupBy("_file", "_end")
-            .agg(F.array_sort(F.collect_list(F.struct("_chunk", "_piece"))).alias("_ps"),
-                 F.min("_first").getField("_order").alias("first_order"),
+def _with_end(df: DataFrame, file_col: str, order_col: str, text_col: str, tie_cols, chunk_width: int, *keep: str) -> DataFrame:
+    """Ordered fragments with `_pos` in their chunk and `_end`, the (chunk, pos)
+    of their message's last fragment (NULL: unterminated)."""
+    x = df.select(F.col(file_col).alias("_file"), F.col(order_col).alias("_order"), _order_as_long(df, order_col).alias("_n"),
+                  F.col(text_col).alias("_text"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_cols)], *keep).filter("_n is not null")
+    x = x.withColumn("_chunk", F.floor(F.col("_n") / F.lit(chunk_width)))
+    order = ["_n", *[f"_tie{i}" for i in range(len(tie_cols))], "_text"]
+    part = Window.partitionBy("_file", "_chunk")
+    x = x.withColumn("_pos", F.row_number().over(part.orderBy(*order)))
+    mark = F.when(F.col("_text").endswith("\n"), F.col("_pos"))
+    from_end = part.orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn("_here", F.last(mark, ignorenulls=True).over(from_end))
+    chunks = x.groupBy("_file", "_chunk").agg(F.min(mark).alias("_first"))
+    later = Window.partitionBy("_file").orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select("_file", "_chunk", F.last(F.when(F.col("_first").isNotNull(), F.struct(F.col("_chunk").alias("c"), F.col("_first").alias("p"))),
+                                                     ignorenulls=True).over(later).alias("_later"))
+    here = F.when(F.col("_here").isNotNull(), F.struct(F.col("_chunk").alias("c"), F.col("_here").alias("p")))
+    return x.join(chunks, ["_file", "_chunk"], "left").withColumn("_end", F.coalesce(here, "_later"))
+
+
+def recombine_lines(df: DataFrame, file_col: str, order_col: str, text_col: str = "log", chunk_width: int = 60_000_000_000,
+                    tie_cols=(), max_parts: int = MAX_PARTS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """-> (file, first_order, message, parts, piece). `chunk_width` is in order
+    units (60 s of nanoseconds). NULL text counts as empty."""
+    x = _with_end(df, file_col, order_col, text_col, tie_cols, chunk_width)
+    pieces = (x.withColumn("_run", F.floor((F.col("_pos") - 1) / max_parts))
+              .groupBy("_file", "_end", "_chunk", "_run")
+              .agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_text", F.lit("")).alias("t")))).alias("_p"),
+                   F.min(F.struct("_pos", "_order")).getField("_order").alias("_first"))
+              .select("_file", "_end", "_chunk", "_run", "_first", F.size("_p").alias("_cnt"),
+                      F.array_join(F.transform("_p", lambda p: p.getField("t")), "").alias("_piece")))
+    whole = Window.partitionBy("_file", "_end").orderBy("_chunk", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.octet_length("_piece").cast("bigint")).over(whole), F.lit(0))
+    msgs = (pieces.withColumn("_bin", F.floor(before / max_bytes).cast("int"))
+            .groupBy("_file", "_end", "_bin")
+            .agg(F.array_sort(F.collect_list(F.struct("_chunk", "_run", "_piece"))).alias("_ps"),
+                 F.min(F.struct("_chunk", "_run", "_first")).getField("_first").alias("first_order"),
                  F.sum("_cnt").alias("parts")))
-    return msgs.select(F.col("_file").alias(file_col), "first_order",
-                       F.array_join(F.transform("_ps", lambda p: p.getField("_piece")), "").alias("message"),
-                       F.col("parts").cast("int").alias("parts"))
+    out = msgs.select(F.col("_file").alias(file_col), "first_order",
+                      F.array_join(F.transform("_ps", lambda p: p.getField("_piece")), "").alias("message"),
+                      F.col("parts").cast("int").alias("parts"), F.col("_bin").alias("piece"))
+    return out.unionByName(unordered_lines(df, file_col, order_col, text_col))
+
+
+def unordered_lines(df: DataFrame, file_col: str, order_col: str, text_col: str = "log") -> DataFrame:
+    """Lines whose order value is NULL, each a message of its own."""
+    x = df.filter(_order_as_long(df, order_col).isNull())
+    return x.select(F.col(file_col), F.lit(None).cast(df.schema[order_col].dataType).alias("first_order"),
+                    F.col(text_col).alias("message"), F.lit(1).alias("parts"), F.lit(0).alias("piece"))
+
+
+def unterminated(df: DataFrame, file_col: str, order_col: str, text_col: str = "log", chunk_width: int = 60_000_000_000) -> DataFrame:
+    """Rows of `df` after the last terminator of their file."""
+    rest = [c for c in df.columns if c not in (file_col, order_col, text_col)]
+    x = _with_end(df, file_col, order_col, text_col, (), chunk_width, *rest).filter("_end is null")
+    return x.select(F.col("_file").alias(file_col), F.col("_order").alias(order_col), F.col("_text").alias(text_col), *rest)

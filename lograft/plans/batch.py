@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import times
 from ..operators import decode as D
+from ..operators.joins import Lookup
 
 
 def raw_log_table(lines: DataFrame, received_col: str, value_col: str = "value") -> DataFrame:
@@ -38,11 +38,12 @@ def prepare_decoder_input(raw: DataFrame, since: str, namespace_override: str |
                     f.getField("payload").cast("binary").alias("payload")))
 
 
-def decode_input_table(inp: DataFrame, registry: DataFrame) -> DataFrame:
-    """Routed rows from the decoder input table (batch decoder)."""
-    text = F.decode(F.col("payload"), "UTF-8")
+def decode_input_table(inp: DataFrame, registry: DataFrame | Lookup) -> DataFrame:
+    """Routed rows from the decoder input table (batch decoder). The payload
+    bytes stay as they are; bytes that are not UTF-8 are `bad_json`."""
+    text = F.col("payload").cast("string")
     df = inp.select(
-        text.alias("raw"),
+        F.col("payload").alias("raw"),
         F.col("submission_timestamp").cast("string").alias("envelope_timestamp"),
         *[F.lit(None).cast(t).alias(c) for c, t in
           [("logger", "string"), ("log_type", "string"), ("severity", "bigint"), ("pid", "bigint"),
@@ -51,7 +52,6 @@ def decode_input_table(inp: DataFrame, registry: DataFrame) -> DataFrame:
         *[F.nullif(F.col(k), F.lit("")).alias(k) for k in D.DOC_KEYS],
         F.nullif(F.col("document_id"), F.lit("")).alias("document_id"),
         F.lit(None).cast("string").alias("user_agent"), F.lit(None).cast("string").alias("ip_address"),
-        text.alias("payload"),
+        F.when(F.is_valid_utf8(text), text).when(text.isNotNull(), F.lit("")).alias("payload"),
     )
-    _ = times  # timestamps stay as given by the table
-    return D.route_documents(df, registry)
+    return D.route_documents(df, registry).withColumn("input_type", F.lit("table"))

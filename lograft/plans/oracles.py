@@ -3,17 +3,18 @@ the driver tables, without the JSON round trip under test."""
 
 from __future__ import annotations
 
+from .. import schemas as S
+from ..functions.mask import CARD_MASK, CARD_PATTERN, EMAIL_MASK, EMAIL_PATTERN, SSN_MASK, SSN_PATTERN
+from .event_lines import SAMPLE_USER_AGENTS
+
 # DuckDB expression: md5 of the event id in 8-4-4-4-12 form.
 DOC_ID = ("(substr(md5(cast(event_id as varchar)),1,8) || '-' || substr(md5(cast(event_id as varchar)),9,4)"
           " || '-' || substr(md5(cast(event_id as varchar)),13,4) || '-' || substr(md5(cast(event_id as varchar)),17,4)"
           " || '-' || substr(md5(cast(event_id as varchar)),21,12))")
 
-# SDK build text and logger names written by the producers.
-SDK = "glean_parser v15.0.2.dev17+g81fec69a"
-
-LOGGER = ("CASE event_id % 4 WHEN 0 THEN 'accounts-frontend-glean' WHEN 3 THEN NULL "
-          "ELSE 'glean' END")
-# End of fixed values.
+SDK = S.SDK_BUILD
+LOGGER = (f"CASE event_id % 4 WHEN 0 THEN 'accounts-frontend{S.JS_LOGGER_SUFFIX}' WHEN 3 THEN NULL "
+          f"ELSE '{S.DEFAULT_LOGGER}' END")
 
 LINKING = ("CASE WHEN event_id % 4 = 1 THEN NULL WHEN event_id % 4 = 0 AND event_id % 7 = 0 THEN NULL "
            "ELSE event_id % 3 = 0 END")
@@ -72,30 +73,27 @@ SELECT CASE event_id % 50 WHEN 3 THEN 'glean-server-event-from-dict'
 FROM events WHERE event_id % 50 IN (3, 4)
 """
 
-_SSN = r"[0-9]{3}-+[0-9]{2}-+[0-9]{4}"
-_CARD = r"[0-9]{4} *[0-9]{4} *[0-9]{4} *[0-9]{4}"
-_EMAIL = r"[A-Za-z0-9+.\-_]+@[A-Za-z0-9+.\-_]+\.[A-Za-z]{2,}"
 
-ORACLES["mask_documents"] = f"""
-SELECT doc_id,
-       regexp_replace(regexp_replace(regexp_replace(text, '{_SSN}', 'xxx-xx-xxxx', 'g'),
-                      '{_CARD}', 'xxxx xxxx xxxx xxxx', 'g'), '{_EMAIL}', 'user@email.tld', 'g') AS text
-FROM documents
-"""
 
-ORACLES["mask_logger_lines"] = """
-SELECT event_id, event_type || ': ' || CASE event_id % 4
-         WHEN 0 THEN 'error happened with social security number xxx-xx-xxxx'
-         WHEN 1 THEN 'Something happened..with social xxx-xx-xxxx'
-         WHEN 2 THEN 'Processing credit card xxxx xxxx xxxx xxxx'
-         ELSE 'Users email is user@email.tld' END AS log
-FROM events
-"""
+def _masked(text: str) -> str:
+    return (f"regexp_replace(regexp_replace(regexp_replace({text}, '{SSN_PATTERN}', '{SSN_MASK}', 'g'),"
+            f" '{CARD_PATTERN}', '{CARD_MASK}', 'g'), '{EMAIL_PATTERN}', '{EMAIL_MASK}', 'g')")
+
+
+ORACLES["mask_documents"] = f"SELECT doc_id, {_masked('text')} AS text FROM documents"
+
+# The four lines of the sensitive-data test logger, masked.
+_MASKED_LINES = f"""CASE event_id % 4
+         WHEN 0 THEN 'error happened with social security number {SSN_MASK}'
+         WHEN 1 THEN 'Something happened..with social {SSN_MASK}'
+         WHEN 2 THEN 'Processing credit card {CARD_MASK}'
+         ELSE 'Users email is {EMAIL_MASK}' END"""
+# End of fixed values.
+
+ORACLES["mask_logger_lines"] = f"SELECT event_id, event_type || ': ' || {_MASKED_LINES} AS log FROM events"
 
 # --- text log formats --------------------------------------------------------
-_UA = ("['Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/115.0.0.0 Safari/537.36 Edg/115.0.1901.188',"
-       " 'Mozilla/5.0', 'Mozilla/5.0 (X11; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/115.0',"
-       " 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.5 Safari/605.1.15']")
+_UA = "[" + ", ".join(f"'{u}'" for u in SAMPLE_USER_AGENTS) + "]"
 _ADDR = "('10.' || (user_id % 30) || '.' || ((event_id // 256) % 256) || '.' || (event_id % 256))"
 _USER = "(CASE WHEN event_id % 6 = 0 THEN '-' ELSE 'u' || user_id END)"
 _CLF = "(strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000')"
@@ -150,11 +148,12 @@ SELECT doc_id, to_timestamp(1704067200 + doc_id * 60) AT TIME ZONE 'UTC' AS firs
        replace(text, chr(10), ' ') || chr(10) AS message,
        CAST(greatest(ceil(length(replace(text, chr(10), ' ')) / 100), 1) AS BIGINT) AS parts
 FROM documents
+UNION ALL SELECT doc_id, NULL, 'no record ' || doc_id, 1 FROM documents WHERE doc_id % 10 = 0
 """
 
 ORACLES["drop_long_lines"] = """
 SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes
-FROM documents WHERE octet_length(encode(text)) <= 65536
+FROM documents WHERE octet_length(encode(text)) <= 4096
 """
 
 ORACLES["submit_path"] = f"""
@@ -203,7 +202,7 @@ WITH e AS (
               WHEN event_id % 13 = 0 THEN 'wide' ELSE 'v4' END AS kind
   FROM events)
 SELECT e.event_id,
-       CASE e.kind WHEN 'v4' THEN n.n_name WHEN 'v6' THEN r6.r_name
+       CASE e.kind WHEN 'v4' THEN coalesce(n.n_name, 'TEN') WHEN 'v6' THEN coalesce(r6.r_name, 'SIX')
                    WHEN 'wide' THEN rw.r_name || ' WIDE' END AS geo_country,
        CASE e.kind WHEN 'v4' THEN CASE WHEN n.n_nationkey % 2 = 0 THEN n.n_name || ' CITY' END
                    WHEN 'v6' THEN r6.r_name || ' CITY' END AS geo_city,
@@ -218,7 +217,7 @@ LEFT JOIN region rw ON e.kind = 'wide' AND rw.r_regionkey = (e.user_id % 12) //
 
 ORACLES["isp"] = """
 SELECT e.event_id, s.s_name AS isp_name, 'org-' || s.s_nationkey AS isp_organization
-FROM events e LEFT JOIN supplier s ON s.s_suppkey = (e.user_id % 30) * 256 + (e.event_id // 256) % 256
+FROM events e LEFT JOIN supplier s ON s.s_suppkey < 480 AND s.s_suppkey % 30 = e.user_id % 30 AND s.s_suppkey // 30 = ((e.event_id // 256) % 256) // 16
 """
 
 ORACLES["user_agent"] = f"""
@@ -234,7 +233,7 @@ SELECT e.event_id, 'pod-' || (e.user_id % 30) AS pod_name, 'default' AS namespac
        n.n_name AS nation_label,
        CASE WHEN e.event_id % 2 = 0 THEN CAST(json_extract(e.props, '$.k') AS BIGINT) END AS k,
        'custom-fluentbit' AS k8s_cluster_name
-FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30
+FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30 WHERE e.event_id % 13 <> 0
 """
 
 ORACLES["live_destination"] = f"""
@@ -268,7 +267,7 @@ SELECT CASE WHEN event_id % 50 = 1 THEN NULL ELSE {DOC_ID} END AS document_id,
        CASE WHEN event_id % 50 = 1 THEN NULL
             ELSE 'accounts_frontend_live.events_v' || CASE WHEN event_id % 50 = 6 THEN '99' ELSE '1' END
        END AS destination
-FROM events WHERE event_id % 50 NOT IN (2, 3, 4) AND ts >= TIMESTAMP '2024-01-15 00:00:00'
+FROM events WHERE event_id % 50 NOT IN (2, 3, 4)
 """
 
 ORACLES["dedup_messages"] = f"""
@@ -294,13 +293,86 @@ SELECT event_id, date_trunc('millisecond', ts) AS js_ts, ts AS py_ts, ts AS ns_t
 FROM events
 """
 
-ORACLES["logger_settings"] = """
+ORACLES["logger_settings"] = f"""
 SELECT event_id,
        CAST(CASE WHEN event_id % 3 = 0 THEN user_id % 10 ELSE 2 END AS INTEGER) AS interval_s,
-       CASE WHEN event_id % 5 <> 0 THEN event_type || ' ' ELSE '' END || CASE event_id % 4
-         WHEN 0 THEN 'error happened with social security number xxx-xx-xxxx'
-         WHEN 1 THEN 'Something happened..with social xxx-xx-xxxx'
-         WHEN 2 THEN 'Processing credit card xxxx xxxx xxxx xxxx'
-         ELSE 'Users email is user@email.tld' END AS log
+       CASE WHEN event_id % 5 <> 0 THEN event_type || ' ' ELSE '' END || {_MASKED_LINES} AS log
 FROM events
 """
+
+_ENRICHED = """n.n_name AS geo_country, CASE WHEN n.n_nationkey % 2 = 0 THEN n.n_name || ' CITY' END AS geo_city, r.r_name AS geo_subdivision1,
+       s.s_name AS isp_name, 'org-' || s.s_nationkey AS isp_organization,
+       (['Edge', NULL, 'Firefox', 'Safari'][user_id % 4 + 1]) AS user_agent_browser,
+       (['Windows', NULL, 'Linux', 'Macintosh'][user_id % 4 + 1]) AS user_agent_os,
+       (['115.0.1901.188', NULL, '115.0', '16.5'][user_id % 4 + 1]) AS user_agent_version"""
+_ENRICHMENT = """LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30 LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+LEFT JOIN supplier s ON s.s_suppkey < 480 AND s.s_suppkey % 30 = e.user_id % 30 AND s.s_suppkey // 30 = ((e.event_id // 256) % 256) // 16"""
+
+_COUNTRY = "coalesce(n.n_name, 'TEN') AS geo_country"
+
+ORACLES["decode_enriched"] = f"""
+SELECT {DOC_ID} AS document_id, ts AS submission_timestamp, {_ENRICHED.replace('n.n_name AS geo_country', _COUNTRY)},
+       'accounts_frontend_live.events_v1' AS destination, false AS has_address
+FROM events e {_ENRICHMENT} WHERE event_id % 50 >= 7
+"""
+
+ORACLES["decode_enriched_errors"] = f"""
+WITH x AS (
+  SELECT event_id, ts, {_ENRICHED.replace('n.n_name AS geo_country', _COUNTRY)} FROM events e {_ENRICHMENT} WHERE event_id % 50 IN (0, 5, 6)
+  UNION ALL SELECT event_id, ts, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events WHERE event_id % 50 = 1)
+SELECT CASE WHEN event_id % 50 = 1 THEN NULL ELSE {DOC_ID} END AS document_id,
+       CASE event_id % 50 WHEN 0 THEN 'missing_field' WHEN 1 THEN 'bad_envelope' WHEN 5 THEN 'bad_json' ELSE 'unknown_schema' END AS error_type,
+       ts AS submission_timestamp, strftime(ts, '%Y-%m-%d') AS date,
+       geo_country, geo_city, geo_subdivision1, isp_name, isp_organization, user_agent_browser, user_agent_os, user_agent_version, false AS has_address
+FROM x
+"""
+
+ORACLES["live_errors"] = f"""
+SELECT CASE WHEN event_id % 50 = 1 THEN NULL ELSE {DOC_ID} END AS document_id,
+       CASE event_id % 50 WHEN 0 THEN 'missing_field' WHEN 1 THEN 'bad_envelope' WHEN 5 THEN 'bad_json' ELSE 'unknown_schema' END AS error_type,
+       CASE event_id % 50 WHEN 0 THEN 'ValidationException' WHEN 1 THEN 'InvalidEnvelopeException'
+            WHEN 5 THEN 'MalformedPayloadException' ELSE 'SchemaNotFoundException' END AS exception_class,
+       ts AS submission_timestamp, strftime(ts, '%Y-%m-%d') AS date, 'log' AS input_type, true AS no_address
+FROM events WHERE event_id % 50 IN (0, 1, 5, 6)
+"""
+
+ORACLES["decoder_input_days"] = f"""
+SELECT ts AS submission_timestamp, CASE WHEN event_id % 50 = 1 THEN NULL ELSE {DOC_ID} END AS document_id,
+       event_id % 50 <> 1 AS has_payload
+FROM events WHERE event_id % 50 NOT IN (2, 3, 4) AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+"""
+
+ORACLES["dirty_input"] = """
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a' || event_id WHEN 1 THEN 'a' || event_id || 'b' || event_id END AS text,
+       CASE event_id % 4 WHEN 2 THEN ts WHEN 3 THEN date_trunc('millisecond', ts) END AS parsed,
+       CASE WHEN event_id % 5 = 0 THEN 'bad_json' END AS error_type, CASE WHEN event_id % 5 = 0 THEN '7BFF22' END AS bytes,
+       'bad_envelope' AS cut_off_type, (SELECT count(*) FROM events) AS n_cut_off
+FROM events
+"""
+
+ORACLES["container_logs"] = f"""
+SELECT doc_id AS pod, 'ns-' || (doc_id % 5) AS namespace, {_masked("replace(text, chr(10), ' ')")} || chr(10) AS log,
+       CAST(NULL AS VARCHAR) AS mail, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS nation_label, 'custom-fluentbit' AS k8s_cluster_name
+FROM documents
+UNION ALL
+SELECT user_id % 30, 'default', '{{"id":' || event_id || ',"mail":"{EMAIL_MASK}"}}' || chr(10), '{EMAIL_MASK}', event_id, n.n_name, 'custom-fluentbit'
+FROM events LEFT JOIN nation n ON n.n_nationkey = user_id % 30
+"""
+
+ORACLES["ping_lines"] = f"""
+SELECT {DOC_ID} AS document_id, CAST(user_id AS VARCHAR) AS account, 'accounts_frontend_live.events_v1' AS destination FROM events
+"""
+
+ORACLES["table_like"] = """
+SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users, CAST(0 AS BIGINT) AS n_before FROM events GROUP BY 1
+"""
+
+ORACLES["window_counts"] = """
+SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
+       'accounts_frontend_live.events_v1' AS destination, count(*) AS n
+FROM events WHERE event_id % 50 >= 7 GROUP BY 1, 2
+"""
+
+ORACLES["pull_messages"] = """
+SELECT least(10, count(*)) AS n, least(10, count(*)) AS n_distinct, least(10, count(*)) AS n_known FROM events
+"""

@@ -15,6 +15,8 @@ from ..operators import decode as D
 from ..operators import encode as E
 from ..operators import enrich as EN
 from ..operators import flatten as FL
+from ..operators import container as CT
+from ..operators import pipeline as PL
 from ..operators import recombine as RC
 from ..sources import logs as SRC
 from ..sources import textlogs as TL
@@ -28,6 +30,7 @@ from ..session import scratch_path
 from ..sinks import live as LV
 from ..sinks.files import land
 from ..sources import queue as Q
+from ..streaming import decode_stream as DS
 from .tables import table
 
 
@@ -172,23 +175,25 @@ def parse_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recombine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Docker JSON lines of every whole document, rejoined."""
+    """Docker JSON lines of every whole document, rejoined in order of
+    their nanosecond times; lines that are no record stay messages of their own."""
     docs = table(spark, sf_dir, "documents", spread=True)
     lines = land(C.documents_to_container_lines(docs), "container-lines")
     parsed = TL.parse_docker(lines)
-    msgs = RC.recombine_lines(parsed, "file_path", "ts", "log")
+    msgs = RC.recombine_lines(parsed, "file_path", "n", "log")
     return msgs.select(
         F.regexp_extract("file_path", r"/pod-([0-9]+)_", 1).cast("bigint").alias("doc_id"),
-        F.col("first_order").alias("first_time"), "message", F.col("parts").cast("bigint").alias("parts"))
+        F.timestamp_micros(F.call_function("div", "first_order", F.lit(1000).cast("bigint"))).alias("first_time"),
+        "message", F.col("parts").cast("bigint").alias("parts"))
 
 
-MAX_LINE_BYTES = 64 * 1024
+LINE_LIMIT = 4096      # of the query; the agent's own limit is logs.MAX_LINE_BYTES
 
 
 def drop_long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines longer than the byte limit are skipped (whole documents as lines)."""
     docs = table(spark, sf_dir, "documents", spread=True)
-    kept = SRC.drop_long_lines(docs, MAX_LINE_BYTES, "text")
+    kept = SRC.drop_long_lines(docs, LINE_LIMIT, "text")
     return kept.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
 
 
@@ -255,7 +260,7 @@ def explode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                            ip_address=F.when(~no_user, L.address_of(F.col("user_id"), eid)),
                            dialect=L.dialect_of(eid))
     lines = ev.select("event_id", E.envelope_line(fields, F.col("ts"), L.dialect_of(eid), app=L.APP_ID).alias("value"))
-    d = D.decoded(D.decode(land(lines, "explode-lines"), S.registry(spark)))
+    d = D.decoded(D.decode(land(lines, "explode-lines"), S.registry(spark)), keep_source=True)
     x = FL.explode_events(d.select("document_id", "user_agent", "ip_address", "events"),
                           extras=("object_type", "object_state", "linking"))
     return x
@@ -289,8 +294,9 @@ CLUSTER_LABELS = {"k8s_cluster_name": "custom-fluentbit", "k8s_cluster_location"
 
 
 def pod_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Container lines of events -> tag route, pod metadata
-    by file name (nation as pods), JSON logs merged, resource labels."""
+    """Container lines of events (every 13th from another input,
+    so with another tag) -> tag route, pod metadata by file name (nation as
+    pods), JSON logs merged, resource labels."""
     ev = table(spark, sf_dir, "events", spread=True)
     eid, uid = F.col("event_id"), F.col("user_id")
     file_path = F.concat(F.lit("/var/log/containers/pod-"), (uid % 30).cast("string"),
@@ -299,7 +305,7 @@ def pod_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.to_json(F.struct(F.concat(log, F.lit("\n")).alias("log"), F.lit("stdout").alias("stream"),
                               F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time")))
     lines = land(ev.select("event_id", file_path.alias("file_path"), line.alias("value")), "pod-lines")
-    x = TL.parse_docker(lines).withColumn("tag", EN.tag_of("file_path"))
+    x = TL.parse_docker(lines).withColumn("tag", F.when(F.col("event_id") % 13 == 0, F.lit("host.messages")).otherwise(EN.tag_of("file_path")))
     x = EN.route_by_tag(x, "kube.*")
     x = EN.enrich_pods(x, LK.pods_of(table(spark, sf_dir, "nation")))
     x = EN.merge_log(x, "log")
@@ -341,8 +347,9 @@ DECODER_INPUT_SINCE = "2024-01-15 00:00:00"
 
 def decoder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log table -> decoder input table."""
-    raw = B.raw_log_table(log_lines(spark, sf_dir), "received")
-    inp = B.prepare_decoder_input(raw, DECODER_INPUT_SINCE, namespace_override=L.APP_ID)
+    path = scratch_path(spark, "raw-log")
+    LV.replace_table(B.raw_log_table(log_lines(spark, sf_dir), "received"), path)
+    inp = B.prepare_decoder_input(SRC.read_table(spark, path), DECODER_INPUT_SINCE, namespace_override=L.APP_ID)
     text = F.decode(F.col("payload"), "UTF-8")
     return inp.select("submission_timestamp", "document_id", "document_namespace", "document_type",
                       "document_version", (F.octet_length("payload") > 0).alias("has_payload"),
@@ -350,13 +357,145 @@ def decoder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch decoder over the decoder input table: same routing as lines."""
+    """Batch decoder over the whole decoder input table: same routing as lines."""
+    routed = B.decode_input_table(SRC.read_decoder_input(spark, _decoder_input_table(spark, sf_dir)), S.registry(spark))
+    return routed.select("document_id", "submission_timestamp", "error_type", "destination")
+
+
+def _decoder_input_table(spark: SparkSession, sf_dir: str) -> str:
+    """The decoder input written as a day-partitioned table."""
     raw = B.raw_log_table(log_lines(spark, sf_dir), "received")
     path = scratch_path(spark, "decoder-input")
-    LV.replace_table(B.prepare_decoder_input(raw, DECODER_INPUT_SINCE), path)
-    inp = SRC.read_decoder_input(spark, path, start_date=DECODER_INPUT_SINCE[:10])
-    routed = B.decode_input_table(inp, S.registry(spark))
-    return routed.select("document_id", "submission_timestamp", "error_type", "destination")
+    rows = B.prepare_decoder_input(raw, "1970-01-01 00:00:00")
+    LV.replace_table(rows.withColumn("date", F.to_date("submission_timestamp")), path, ["date"])
+    return path
+
+
+def decoder_input_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decoder input of a day range narrower than the table (partitions
+    pruned at planning)."""
+    inp = SRC.read_decoder_input(spark, _decoder_input_table(spark, sf_dir), "2024-01-10", "2024-01-12")
+    return inp.select("submission_timestamp", "document_id", F.col("payload").isNotNull().alias("has_payload"))
+
+
+def _lookups(spark: SparkSession, sf_dir: str) -> PL.Lookups:
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return PL.prepare(S.registry(spark), geo=LK.geo_ranges(nation, region), isp=LK.isp_ranges(table(spark, sf_dir, "supplier")),
+                      cities=LK.city_list(nation, region))
+
+
+def _pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip queue messages (every 97th delivered twice) through the decoder."""
+    m = _messages(spark, sf_dir, gzip_every=False).withColumn("data", Q.gzip_bytes("data"))
+    again = m.filter(F.col("attributes")["event_id"].cast("bigint") % 97 == 0)
+    lines = Q.read_messages(land(m.unionByName(again), "messages"))
+    return PL.decode_pipeline(lines, _lookups(spark, sf_dir), received_col="received")
+
+
+def _holds_address(df: DataFrame):
+    """Is any address of the input (10.x.y.z) left in any column of the row?"""
+    rows = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) if t == "binary" else F.col(c) for c, t in df.dtypes]))
+    return rows.rlike(r"\b10\.[0-9]+\.[0-9]+\.[0-9]+\b")
+
+
+_ENRICHED = ["geo_country", "geo_city", "geo_subdivision1", "isp_name", "isp_organization", "user_agent_browser", "user_agent_os", "user_agent_version"]
+
+
+def decode_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decoder in one pass (S5, W1, P5-P9, J3-J5, J7, J8, V4): good rows."""
+    d = D.decoded(_pipeline_rows(spark, sf_dir))
+    return d.select("document_id", "submission_timestamp", *_ENRICHED, "destination", _holds_address(d).alias("has_address"))
+
+
+def decode_enriched_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pass: error table rows, enriched as far as the envelope goes."""
+    e = D.errors(_pipeline_rows(spark, sf_dir))
+    return e.select(F.get_json_object(F.col("payload").cast("string"), "$.Fields.document_id").alias("document_id"), "error_type",
+                    "submission_timestamp", "date", *_ENRICHED, _holds_address(e).alias("has_address"))
+
+
+def live_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8, V5, K6: the error table written by day and read back, whole."""
+    routed = PL.decode_pipeline(log_lines(spark, sf_dir), PL.prepare(S.registry(spark)), received_col="received")
+    base = scratch_path(spark, "live")
+    LV.write_routed(routed, f"{base}/decoded", f"{base}/error")
+    return LV.read_errors(spark, f"{base}/error").select(
+        F.get_json_object(F.col("payload").cast("string"), "$.Fields.document_id").alias("document_id"),
+        "error_type", "exception_class", "submission_timestamp", "date", "input_type", F.col("remote_addr").isNull().alias("no_address"))
+
+
+def dirty_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip of two members and of none, bytes that are not UTF-8,
+    38-digit and time-only timestamps, cut-off envelopes: rows, never a failure."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    eid = F.col("event_id")
+    first, second = F.concat(F.lit("a"), eid.cast("string")).cast("binary"), F.concat(F.lit("b"), eid.cast("string")).cast("binary")
+    one = ev.select("event_id", "ts", Q.gzip_bytes(first).alias("m1"), Q.gzip_bytes(second).alias("m2"))
+    data = F.when(eid % 3 == 0, F.col("m1")).when(eid % 3 == 1, F.concat("m1", "m2")).otherwise(first)
+    time = F.when(eid % 4 == 0, F.repeat(F.lit("9"), 38)).when(eid % 4 == 1, F.lit("12:30:00")) \
+        .when(eid % 4 == 2, times.epoch_nanos("ts").cast("string")).otherwise(times.iso_millis_z("ts"))
+    fine = E.payload_json(metrics=E.string_metrics(**{"n": eid}), events=F.array().cast("array<" + S.EVENT.simpleString() + ">"),
+                          ts=F.col("ts"), dialect=F.lit("go"), app_version=L.APP_VERSION, channel=L.CHANNEL)
+    rows = land(one.select(
+        "event_id", data.alias("data"), time.alias("time"), times.as_instant("ts").alias("submission_timestamp"),
+        E.document_id_from_key(eid).alias("document_id"), F.lit(L.APP_ID).alias("document_namespace"),
+        F.lit("events").alias("document_type"), F.lit("1").alias("document_version"),
+        F.when(eid % 5 == 0, F.unhex(F.lit("7BFF22"))).otherwise(fine.cast("binary")).alias("payload")), "dirty")
+    routed = B.decode_input_table(rows, S.registry(spark)).select("document_id", "error_type", F.hex(F.substring("raw", 1, 3)).alias("bytes"))
+    cut = land(rows.select(F.concat(F.lit('{"Type":"glean-server-event","Fields":{"document_id":"'), "document_id").alias("value")), "cut-off")
+    n_cut = D.decode(cut, S.registry(spark)).groupBy("error_type").agg(F.count(F.lit(1)).alias("n_cut_off")).select(F.col("error_type").alias("cut_off_type"), "n_cut_off")
+    return rows.join(routed, "document_id").crossJoin(F.broadcast(n_cut)).select(
+        "event_id", Q.gunzip_text("data").alias("text"), times.parse_timestamp("time").alias("parsed"), "error_type",
+        F.when(F.col("error_type").isNotNull(), F.col("bytes")).alias("bytes"), "cut_off_type", "n_cut_off")
+
+
+def container_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S4, F4, M4, J1, J2, J9 end to end: container files of all documents and
+    of JSON event logs with personal data, written, read back and processed."""
+    docs = C.documents_to_container_lines(table(spark, sf_dir, "documents", spread=True)).filter(~F.col("value").startswith("no record"))
+    ev = table(spark, sf_dir, "events", spread=True)
+    eid = F.col("event_id")
+    path = F.concat(F.lit("/var/log/containers/pod-"), (F.col("user_id") % 30).cast("string"), F.lit("_default_app-"), F.md5(eid.cast("string")), F.lit(".log"))
+    log = F.to_json(F.struct(eid.alias("id"), F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("mail")))
+    line = F.to_json(F.struct(F.concat(log, F.lit("\n")).alias("log"), F.lit("stdout").alias("stream"), times.iso_millis_z("ts").alias("time")))
+    lines = land(docs.unionByName(ev.select(path.alias("file_path"), line.alias("value"))), "container-files")
+    x = CT.container_logs(lines, LK.pods_of(table(spark, sf_dir, "nation")), labels=CLUSTER_LABELS)
+    return x.select(F.regexp_extract("pod_name", r"([0-9]+)$", 1).cast("bigint").alias("pod"), F.col("namespace_name").alias("namespace"),
+                    "log", F.try_variant_get("log_processed", "$.mail", "string").alias("mail"),
+                    F.try_variant_get("log_processed", "$.id", "bigint").alias("event_id"),
+                    F.col("pod_labels")["nation"].alias("nation_label"), "k8s_cluster_name")
+
+
+def ping_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events encoded as pings, written as text files, read back
+    with their path and decoded; each row as one JSON record."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    eid = F.col("event_id")
+    pings = E.encode_events_ping(ev, app_id=L.APP_ID, app_version=L.APP_VERSION, channel=L.CHANNEL, account_id="user_id",
+                                 event=E.object_update_event(F.col("ts"), F.col("event_type"), F.col("props")),
+                                 document_id=E.document_id_from_key(eid), dialect="go")
+    path = scratch_path(spark, "ping-lines")
+    LV.write_lines(pings, path)
+    d = D.decoded(D.decode(SRC.read_logs(spark, f"{path}/*.txt"), S.registry(spark)))
+    rec = LV.json_records(d.select("document_id", F.col("metrics")["string"]["identifiers.fxa_account_id"].alias("account"), "destination"))
+    v = F.from_json("value", "document_id string, account string, destination string")
+    return rec.select(v.alias("v")).select("v.*")
+
+
+def table_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, K5: an empty table with the schema of `events`, then filled."""
+    ev = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events-like")
+    empty = LV.create_table_like(spark, ev, path)
+    before = empty.count()
+    ev.write.mode("append").parquet(path)
+    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users")) \
+        .withColumn("n_before", F.lit(before).cast("bigint"))
+
+
+def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings per destination and one-minute window."""
+    return DS.count_windows(D.decoded(_routed(spark, sf_dir)))
 
 
 def _messages(spark: SparkSession, sf_dir: str, gzip_every: bool) -> DataFrame:
@@ -390,8 +529,12 @@ def gunzip_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pull_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pull of at most 10 messages, any 10 (rows-only check)."""
-    return Q.pull(_messages(spark, sf_dir, gzip_every=False).select("message_id"), Q.PULL_MAX)
+    """One pull of at most 10 messages. Any 10 will do, so the query
+    states what holds for each pull: how many, distinct, known."""
+    m = _messages(spark, sf_dir, gzip_every=False).select("message_id")
+    got = land(Q.pull(m, Q.PULL_MAX), "pulled")
+    known = got.join(m.withColumn("known", F.lit(1)).distinct(), "message_id", "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("message_id").alias("n_distinct"), F.count("known").alias("n_known"))
 
 
 def minute_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,4 +608,13 @@ REGISTRY = {
     "minute_windows": minute_windows,
     "timestamp_forms": timestamp_forms,
     "logger_settings": logger_settings,
+    "decode_enriched": decode_enriched,
+    "decode_enriched_errors": decode_enriched_errors,
+    "live_errors": live_errors,
+    "decoder_input_days": decoder_input_days,
+    "dirty_input": dirty_input,
+    "container_logs": container_logs,
+    "ping_lines": ping_lines,
+    "table_like": table_like,
+    "window_counts": window_counts,
 }

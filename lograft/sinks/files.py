@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
@@ -15,3 +15,9 @@ def land(df: DataFrame, name: str = "landed", fmt: str = "parquet") -> DataFrame
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a landed folder once nothing reads it any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

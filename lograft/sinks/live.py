@@ -1,26 +1,32 @@
 """Live (per document type) tables and the error table.
 
-Decoded rows go to one dataset partitioned by `destination` and `date`
-(one live table per document type, day partitions, clustered by
+Decoded rows go to one dataset partitioned by `date` and `destination` (one
+live table per document type, day partitions, clustered by
 `submission_timestamp` inside files); error rows go to the 45-column error
-table partitioned by `date`. Routing is evaluated once for the two writes:
-a batch job lands the routed rows as a table under `spark.checkpoint.dir`
-(durable, survives executor loss, bounded by disk rather than memory); a
-streaming micro-batch is small and is persisted instead, then released.
-
-Streaming micro-batches carry their `batch_id` as a partition column and are
-written with dynamic partition overwrite, so a replayed batch replaces its
-own output (at-least-once delivery, idempotent sinks).
+table partitioned by `date`. Routing is evaluated once for the two writes: the
+routed rows are landed as a table under `spark.checkpoint.dir` (durable,
+survives executor loss) and removed after both writes.
+
+Rows are rebalanced on the partition columns before a write, so a day of a
+destination is one file or, if large, several of AQE's size. A row without any
+time gets the day of the write.
+
+Streaming micro-batches carry `batch` = stream and batch number as the last
+partition column and are written with dynamic partition overwrite: a replayed
+batch replaces its own output, and a stream with another checkpoint never
+replaces rows of the first.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas as S
 from ..operators import decode as D
-from .files import land
+from ..session import scratch_path
+from .files import remove
 
 # Output shards of the streaming decoder.
 DECODED_SHARDS = 200
@@ -29,49 +35,61 @@ ERROR_SHARDS = 60
 
 
 def with_day(df: DataFrame, ts_col: str = "submission_timestamp") -> DataFrame:
-    return df.withColumn("date", F.to_date(F.col(ts_col)))
+    """The day a row is stored under; a row without a time: today."""
+    return df.withColumn("date", F.date_format(F.coalesce(F.to_date(F.col(ts_col)), F.current_date()), "yyyy-MM-dd"))
 
 
-def shard(df: DataFrame, n: int | None) -> DataFrame:
-    """A fixed number of output shards (None: leave partitioning to AQE)."""
-    return df.repartition(n) if n else df
+def shard(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
+    """A fixed number of output shards; None: rebalanced on `cols`."""
+    if n:
+        return df.repartition(n)
+    return df.hint("rebalance", *cols) if cols else df
 
 
 def write_routed(routed: DataFrame, decoded_path: str, error_path: str, *,
                  decoded_shards: int | None = None, error_shards: int | None = None,
-                 batch_id: int | None = None, mode: str = "append") -> None:
-    """V4 + K5 + K6 + K8: both outputs of one routing pass."""
-    cached = batch_id is not None
-    routed = routed.persist(StorageLevel.MEMORY_AND_DISK) if cached else land(routed, "routed")
+                 batch: str | None = None, mode: str = "append") -> None:
+    """V4 + K5 + K6 + K8: both outputs of one routing pass. `batch` names a
+    streaming batch, whose earlier output this one replaces."""
+    spark = routed.sparkSession
+    path = scratch_path(spark, "routed")
+    routed.write.parquet(path)
     try:
-        dec = with_day(D.decoded(routed))
-        err = D.errors(routed).withColumn("date", F.to_date("submission_timestamp"))
-        parts_dec, parts_err = ["destination", "date"], ["date"]
-        if batch_id is not None:
-            dec = dec.withColumn("batch_id", F.lit(batch_id))
-            err = err.withColumn("batch_id", F.lit(batch_id))
-            parts_dec, parts_err = ["batch_id"] + parts_dec, ["batch_id"] + parts_err
-        dec = shard(dec, decoded_shards).sortWithinPartitions("destination", "date", "submission_timestamp")
-        err = shard(err, error_shards).sortWithinPartitions("date", "submission_timestamp")
-        opts = {"partitionOverwriteMode": "dynamic"} if batch_id is not None else {}
+        rows = spark.read.parquet(path)
+        dec, err = with_day(D.decoded(rows)), with_day(D.errors(rows))
+        parts_dec, parts_err = ["date", "destination"], ["date"]
+        opts = {}
+        if batch is not None:
+            dec, err = dec.withColumn("batch", F.lit(batch)), err.withColumn("batch", F.lit(batch))
+            parts_dec, parts_err, mode = [*parts_dec, "batch"], [*parts_err, "batch"], "overwrite"
+            opts = {"partitionOverwriteMode": "dynamic"}
+        dec = shard(dec, decoded_shards, *parts_dec).sortWithinPartitions(*parts_dec, "submission_timestamp")
+        err = shard(err, error_shards, *parts_err).sortWithinPartitions(*parts_err, "submission_timestamp")
         dec.write.mode(mode).options(**opts).partitionBy(*parts_dec).parquet(decoded_path)
         err.write.mode(mode).options(**opts).partitionBy(*parts_err).parquet(error_path)
     finally:
-        if cached:
-            routed.unpersist()
+        remove(spark, path)
 
 
 def read_live(spark: SparkSession, path: str, destination: str | None = None, day: str | None = None) -> DataFrame:
     """K2 + F6: `SELECT *` of a live table, with day equality on the
     partition column (pruned at planning)."""
     df = spark.read.parquet(path)
-    if destination is not None:
-        df = df.filter(F.col("destination") == destination)
     if day is not None:
         df = df.filter(F.col("date") == F.lit(day).cast("date"))
+    if destination is not None:
+        df = df.filter(F.col("destination") == destination)
     return df
 
 
+def read_errors(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """K8: the error table with its declared schema (`date` is a string)."""
+    df = spark.read.schema(T.StructType([*S.ERROR_SCHEMA.fields, T.StructField("batch", T.StringType())])).parquet(path)
+    if day is not None:
+        df = df.filter(F.col("date") == day)
+    return df.select(*S.ERROR_COLUMNS)
+
+
 def create_table_like(spark: SparkSession, like: DataFrame, path: str) -> DataFrame:
     """K4: an empty table with the schema of another."""
     empty = spark.createDataFrame([], like.schema)

@@ -15,13 +15,13 @@ from .. import schemas as S
 
 # Agent defaults of the tail input.
 MAX_LINE_BYTES = 10240 * 1024
-REFRESH_INTERVAL = "10 seconds"
 # End of fixed values.
 
 
 def read_logs(spark: SparkSession, path_glob: str, *, streaming: bool = False,
               max_files_per_trigger: int | None = None) -> DataFrame:
-    """`(value, file_path)` for every line of the matching files."""
+    """`(value, file_path, received)` for every line of the matching files;
+    a line is received when its file was last written."""
     if streaming:
         r = spark.readStream.format("text")
         if max_files_per_trigger:
@@ -29,7 +29,7 @@ def read_logs(spark: SparkSession, path_glob: str, *, streaming: bool = False,
         df = r.load(path_glob)
     else:
         df = spark.read.format("text").load(path_glob)
-    return df.select("value", F.col("_metadata.file_path").alias("file_path"))
+    return df.select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("received"))
 
 
 def drop_long_lines(df: DataFrame, max_bytes: int = MAX_LINE_BYTES, col: str = "value") -> DataFrame:

@@ -1,10 +1,10 @@
 """Text log formats -> typed columns.
 
-Each regex format is a pattern plus the group number of every named field
-(`regexp_extract` takes numbers only and gives `''` for an absent optional
-group, so fields are guarded with `rlike` and `nullif`). All formats return
-one struct type (the union of their fields) so a per-record choice of parser
-is a single `when` chain. Unmatched lines are kept, with NULL fields.
+Each regex format is a pattern plus the group number of every named field. A
+line is matched once: the match is rewritten to its fields, separated, and split
+(an absent optional group is empty, hence NULL). All formats return one struct
+type (the union of their fields), so a per-record choice of parser picks the
+pattern, not the struct. Unmatched lines are kept, with NULL fields.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import times
+from ..functions.ip import let
 
 # The parser patterns of the log agent configuration.
 APACHE = r'^(?<host>[^ ]*) [^ ]* (?<user>[^ ]*) \[(?<time>[^\]]*)\] "(?<method>\S+)(?: +(?<path>[^\"]*?)(?: +\S*)?)?" (?<code>[^ ]*) (?<size>[^ ]*)(?: "(?<referer>[^\"]*)" "(?<agent>[^\"]*)")?$'
@@ -42,54 +43,59 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _typed_time(fmt: str, text: Column, year: Column | None) -> Column:
-    if fmt in CLF_TIME_FORMATS:
-        return times.parse_clf_time(text)
-    if fmt == "syslog" and year is not None:
-        return times.parse_syslog_time(text, year)
-    return F.lit(None).cast("timestamp")        # apache_error: no time format
+# A matched line is rewritten once to its fields in FIELDS order, each after a
+# separator; an unmatched one comes back as it is and lacks the marker.
+_SEP, _MARK = "\x01", "\x02\x03\x02"
 
 
-def parse_format(line, fmt: str, year=None) -> Column:
-    """Struct of all FIELDS (strings) + `ts` for one regex format; every field
-    NULL when the line does not match."""
-    line = _c(line)
-    y = _c(year) if year is not None else None
-    if fmt == "json":
-        return parse_json_line(line)
+def _rewritten(line: Column, fmt: str) -> Column:
     pattern, groups = FORMATS[fmt]
-    ok = line.rlike(pattern)
-    vals = {name: F.when(ok, F.nullif(F.regexp_extract(line, pattern, idx), F.lit("")))
-            for name, idx in groups.items()}
-    t = vals.get("time", F.lit(None).cast("string"))
-    return F.struct(
-        *[vals.get(n, F.lit(None).cast("string")).alias(n) for n in FIELDS],
-        _typed_time(fmt, t, y).alias("ts"),
-        F.lit(None).cast("variant").alias("record"),
-    )
-
-
-def parse_json_line(line) -> Column:
-    """T5: a JSON record whose `time` is CLF text; the record kept as VARIANT."""
-    v = F.try_parse_json(_c(line))
-    obj = F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
-    t = F.try_variant_get(obj, "$.time", "string")
-    return F.struct(
-        *[(t if n == "time" else F.lit(None).cast("string")).alias(n) for n in FIELDS],
-        times.parse_clf_time(t).alias("ts"),
-        obj.alias("record"),
-    )
+    return F.regexp_replace(line, F.lit(pattern), F.lit(_MARK + "".join(_SEP + (f"${groups[n]}" if n in groups else "") for n in FIELDS)))
+
+
+def _json_object(line: Column) -> Column:
+    v = F.try_parse_json(line)
+    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+
+
+def _fields(rewritten: Column, fmt: Column, year: Column | None, record: Column) -> Column:
+    """Struct of all FIELDS + `ts` + `record` from a rewritten line; the split is
+    bound once."""
+    def on_parts(p):
+        ok = F.element_at(p, 1) == _MARK
+        value = {n: F.when(ok, F.nullif(F.get(p, F.lit(i)), F.lit(""))) for i, n in enumerate(FIELDS, 1)}
+        t = value["time"]
+        ts = F.when(fmt.isin(*sorted(CLF_TIME_FORMATS)), times.parse_clf_time(t))
+        if year is not None:
+            ts = ts.when(fmt == "syslog", times.parse_syslog_time(t, year))
+        return F.struct(*[value[n].alias(n) for n in FIELDS], ts.alias("ts"))     # apache_error: no time format
+
+    parsed = let(F.split(rewritten, _SEP), on_parts)
+    return F.struct(*[parsed.getField(n).alias(n) for n in [*FIELDS, "ts"]], record.alias("record"))
 
 
 def parse_by_format(line, fmt_col, year=None, formats=tuple(FORMATS) + ("json",)) -> Column:
     """Parser chosen per record by a format column; unknown format or no
-    match -> struct of NULLs (the line itself is kept by the caller)."""
-    fc = _c(fmt_col)
-    out = None
+    match -> struct of NULLs (the line itself is kept by the caller). One regex
+    run per line."""
+    line, fmt = _c(line), _c(fmt_col)
+    obj = F.when(fmt == "json", _json_object(line)) if "json" in formats else F.lit(None).cast("variant")
+    out = F.when(F.lit(False), line)
     for f in formats:
-        branch = parse_format(line, f, year)
-        out = F.when(fc == f, branch) if out is None else out.when(fc == f, branch)
-    return out
+        if f == "json":
+            at = FIELDS.index("time")
+            t = F.try_variant_get(obj, "$.time", "string")
+            new = F.when(t.isNotNull(), F.concat(F.lit(_MARK + _SEP * (at + 1)), t, F.lit(_SEP * (len(FIELDS) - at - 1)))).otherwise(F.lit(""))
+        else:
+            new = _rewritten(line, f)
+        out = out.when(fmt == f, new)
+    return _fields(out, fmt, _c(year) if year is not None else None, obj)
+
+
+def parse_format(line, fmt: str, year=None) -> Column:
+    """Struct of all FIELDS (strings) + `ts` for one format; every field NULL
+    when the line does not match. For `json` (T5) the record is kept as VARIANT."""
+    return parse_by_format(line, F.lit(fmt), year, (fmt,))
 
 
 def parse_lines(df: DataFrame, fmt: str, line_col: str = "value", year=None) -> DataFrame:
@@ -99,10 +105,12 @@ def parse_lines(df: DataFrame, fmt: str, line_col: str = "value", year=None) ->
 
 
 def parse_docker(df: DataFrame, line_col: str = "value") -> DataFrame:
-    """Container JSON lines -> `log`, `stream`, `time` (kept as text)
-    and `ts` (parsed)."""
+    """Container JSON lines -> `log`, `stream`, `time` (kept as text),
+    `ts` (parsed) and `n` (order value in ns). A line that is not such a record
+    keeps its text as `log`, without a time."""
     rec = F.from_json(_c(line_col), "log string, stream string, time string")
     return (df.withColumn("_r", rec)
-            .select("*", F.col("_r.log").alias("log"), F.col("_r.stream").alias("stream"),
-                    F.col("_r.time").alias("time"), times.parse_timestamp(F.col("_r.time")).alias("ts"))
+            .select("*", F.when(F.col("_r.log").isNull() & F.col("_r.time").isNull(), _c(line_col)).otherwise(F.col("_r.log")).alias("log"),
+                    F.col("_r.stream").alias("stream"), F.col("_r.time").alias("time"),
+                    times.parse_timestamp(F.col("_r.time")).alias("ts"), times.text_nanos(F.col("_r.time")).alias("n"))
             .drop("_r"))

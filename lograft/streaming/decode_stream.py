@@ -1,19 +1,22 @@
 """Structured Streaming decoder.
 
-The same `decode` as the batch path runs on each micro-batch inside
-`foreachBatch`; both outputs are written per batch with the batch id as a
-partition (dynamic overwrite), so a batch replayed after a failure replaces
-its own output and the checkpoint commits only after both writes
-(acknowledge after processing).
+Each micro-batch runs the same `decode_pipeline` as the batch path inside
+`foreachBatch`; both outputs are written under the stream's and the batch's
+name (dynamic overwrite), so a batch replayed after a failure replaces its own
+output and the checkpoint commits only after both writes (acknowledge after
+processing). Lookup tables are prepared once per stream.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..operators import decode as D
+from ..operators.pipeline import Lookups, decode_pipeline, prepare
 from ..sinks import live as LV
 from ..sources import logs as SRC
 from ..sources import queue as Q
@@ -23,29 +26,35 @@ WINDOW = "1 minute"
 # End of fixed values.
 
 
-def decode_stream(lines: DataFrame, registry: DataFrame, **kw) -> DataFrame:
-    """The routed stream; identical plan to the batch `decode`."""
-    return D.decode(lines, registry, **kw)
-
-
-def dedup_stream(messages: DataFrame, id_col: str = "message_id", time_col: str = "publish_time",
-                 horizon: str = "10 minutes") -> DataFrame:
-    """Repeated deliveries dropped within the watermark horizon."""
-    return Q.dedup_messages(messages, id_col, time_col, horizon)
+def stream_name(checkpoint_location: str) -> str:
+    """A stream is its checkpoint: the name survives restarts, a new checkpoint
+    gets a new one."""
+    return hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:12]
 
 
-def start_decoder(spark: SparkSession, source_glob: str, out_base: str, checkpoint_location: str, *,
-                  registry: DataFrame | None = None, trigger_interval: str | None = WINDOW,
+def start_decoder(spark: SparkSession, source: str | DataFrame, out_base: str, checkpoint_location: str, *,
+                  lookups: Lookups | None = None, trigger_interval: str | None = WINDOW,
                   available_now: bool = False, max_files_per_trigger: int | None = None,
-                  decoded_shards: int | None = None, error_shards: int | None = None) -> StreamingQuery:
-    """Follow landed log files, decode, write live + error outputs per batch."""
-    lines = SRC.read_logs(spark, source_glob, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    reg = registry if registry is not None else S.registry(spark)
+                  decoded_shards: int | None = LV.DECODED_SHARDS, error_shards: int | None = LV.ERROR_SHARDS,
+                  horizon: str = Q.HORIZON) -> StreamingQuery:
+    """Decode a stream into live and error outputs, batch by batch.
+
+    `source` is a glob of landed log files, or a stream of queue messages
+    (message_id, publish_time, data, attributes), which are deduplicated within
+    the watermark horizon and gunzipped. The receive time (file time or publish
+    time) becomes `submission_timestamp`.
+    """
+    if isinstance(source, str):
+        lines = SRC.read_logs(spark, source, streaming=True, max_files_per_trigger=max_files_per_trigger)
+    else:
+        lines = Q.read_messages(source, horizon)
+    tables = lookups or prepare(S.registry(spark))
+    name = stream_name(checkpoint_location)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        routed = D.decode(batch, reg)
-        LV.write_routed(routed, f"{out_base}/decoded", f"{out_base}/error", batch_id=batch_id,
-                        mode="overwrite", decoded_shards=decoded_shards, error_shards=error_shards)
+        routed = decode_pipeline(batch, tables, received_col="received")
+        LV.write_routed(routed, f"{out_base}/decoded", f"{out_base}/error", batch=f"{name}-{batch_id}",
+                        decoded_shards=decoded_shards, error_shards=error_shards)
 
     w = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     if available_now:
@@ -53,3 +62,12 @@ def start_decoder(spark: SparkSession, source_glob: str, out_base: str, checkpoi
     elif trigger_interval:
         w = w.trigger(processingTime=trigger_interval)
     return w.start()
+
+
+def count_windows(rows: DataFrame, time_col: str = "submission_timestamp", window: str = WINDOW, delay: str = "10 minutes") -> DataFrame:
+    """Rows per destination and tumbling window (streaming: with a
+    watermark, so windows close)."""
+    x = rows.withWatermark(time_col, delay) if rows.isStreaming else rows
+    w = F.window(time_col, window)
+    return x.groupBy(w.alias("w"), "destination").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "destination", "n")

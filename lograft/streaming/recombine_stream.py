@@ -1,70 +1,51 @@
 """S4 in streaming: rejoin split container lines across micro-batches.
 
-State per file (key): the fragments after the last newline-terminated one.
-Each micro-batch's fragments of a file are taken in order, messages are
-emitted as soon as their terminating fragment arrives, and the unterminated
-tail is kept in state. A processing-time timeout flushes a tail that never
-sees its newline (the agent's flush), so state stays bounded in time.
-
-Status: experimental. Checked by hand against the batch `recombine_lines`
-(same messages for 100 documents), but a query using it did not terminate
-under `availableNow` / `processAllAvailable` in local tests, so it has no
-automated test yet.
+Each micro-batch is recombined together with the fragments that earlier ones
+left without a terminator. Finished messages go to `<out>/messages`, the new
+tail to `<out>/tails`, both under the batch's number: a replayed batch reads the
+same earlier tail and replaces its own output. A tail whose youngest fragment
+was received longer than `flush_after` before the batch's youngest line is
+emitted as it is (the agent's flush), so the tail stays bounded in time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT_SCHEMA = "file string, first_n long, message string, parts int"
-STATE_SCHEMA = "ns array<long>, texts array<string>"
-
-
-def _emit(file, ns, texts):
-    return {"file": file, "first_n": int(ns[0]), "message": "".join(texts), "parts": len(texts)}
-
-
-def _step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    (file,) = key
-    if state.hasTimedOut:
-        ns, texts = state.get
-        state.remove()
-        if ns:
-            yield pd.DataFrame([_emit(file, list(ns), list(texts))])
-        return
-    ns, texts = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values("_n")
-    out = []
-    for n, t in zip(batch["_n"].tolist(), batch["_text"].tolist()):
-        ns.append(n)
-        texts.append(t if t is not None else "")
-        if t is not None and t.endswith("\n"):
-            out.append(_emit(file, ns, texts))
-            ns, texts = [], []
-    if ns:
-        state.update((ns, texts))
-        state.setTimeoutDuration(_TIMEOUT_MS[0])
-    elif state.exists:
-        state.remove()
-    if out:
-        yield pd.DataFrame(out)
-
-
-_TIMEOUT_MS = [10_000]
-
-
-def recombine_stream(df: DataFrame, file_col: str, order_col: str, text_col: str = "log",
-                     flush_timeout_ms: int = 10_000) -> DataFrame:
-    """Streaming -> (file, first_n, message, parts); `first_n` is the order
-    value as a long (µs for timestamps). Output mode append."""
-    _TIMEOUT_MS[0] = flush_timeout_ms
-    dt = df.schema[order_col].dataType.simpleString()
-    n = F.unix_micros(F.col(order_col).cast("timestamp")) if dt.startswith("timestamp") else F.col(order_col).cast("bigint")
-    x = df.select(F.col(file_col).alias("file"), n.alias("_n"), F.col(text_col).alias("_text"))
-    return x.groupBy("file").applyInPandasWithState(
-        _step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.recombine import recombine_lines, unterminated
+from ..sinks.files import land, remove
+
+TAIL_SCHEMA = "file string, n long, text string, received timestamp"
+
+
+def start_recombine(lines: DataFrame, out_base: str, checkpoint_location: str, *, file_col: str = "file_path", order_col: str = "n",
+                    text_col: str = "log", received_col: str = "received", flush_after: str = "10 seconds",
+                    available_now: bool = False, trigger_interval: str | None = None) -> StreamingQuery:
+    """Start the stream; `order_col` is a bigint (nanoseconds)."""
+    spark = lines.sparkSession
+    x = lines.select(F.col(file_col).alias("file"), F.col(order_col).cast("long").alias("n"),
+                     F.col(text_col).alias("text"), F.col(received_col).cast("timestamp").alias("received"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        before = f"{out_base}/tails/batch={batch_id - 1}"
+        if batch_id > 0:
+            batch = batch.unionByName(spark.read.schema(TAIL_SCHEMA).parquet(before))
+        rows = land(batch, "fragments")
+        last = unterminated(rows, "file", "n", "text")
+        now = rows.agg(F.max("received")).first()[0]
+        young = last.groupBy("file").agg(F.max("received").alias("at")).filter(F.col("at") >= F.lit(now) - F.expr(f"INTERVAL {flush_after}"))
+        tail = land(last.join(young.select("file"), "file", "left_semi").select("file", "n", "text", "received"), "tail")
+        done = rows.select("file", "n", "text").exceptAll(tail.select("file", "n", "text"))
+        recombine_lines(done, "file", "n", "text").write.mode("overwrite").parquet(f"{out_base}/messages/batch={batch_id}")
+        tail.write.mode("overwrite").parquet(f"{out_base}/tails/batch={batch_id}")
+        if batch_id > 1:
+            remove(spark, f"{out_base}/tails/batch={batch_id - 2}")
+
+    w = x.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_interval:
+        w = w.trigger(processingTime=trigger_interval)
+    return w.start()

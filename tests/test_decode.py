@@ -4,23 +4,44 @@ from pyspark.sql import functions as F
 
 from lograft import schemas as S
 from lograft.operators import decode as D
+from lograft.operators import pipeline as PL
 
 GOOD_PAYLOAD = json.dumps({
     "client_info": {"telemetry_sdk_build": "b", "first_run_date": "Unknown", "os": "Unknown",
                     "os_version": "Unknown", "architecture": "Unknown", "app_build": "Unknown",
                     "app_display_version": "0.0.1", "app_channel": "development"},
-    "ping_info": {"seq": 0, "start_time": "2023-06-22T15:34:08.058Z", "end_time": "2023-06-22T15:34:08.058Z"},
+    "ping_info": {"seq": 0, "start_time": "2024-03-05T07:08:09.010Z", "end_time": "2024-03-05T07:08:09.010Z"},
     "metrics": {"string": {"identifiers.fxa_account_id": "abc"}},
-    "events": [{"category": "backend", "name": "object_update", "timestamp": 1687448048058,
+    "events": [{"category": "backend", "name": "object_update", "timestamp": 1709622489010,
                 "extra": {"object_type": "unknown", "object_state": "great", "linking": "undefined"}}],
 })
 
 
+ADDRESS = "203.0.113.77"
+
+
+def test_no_address_in_any_output(spark):
+    fields = {"document_namespace": "accounts-frontend", "document_type": "events", "document_version": "1", "document_id": "d",
+              "ip_address": ADDRESS, "user_agent": f"agent of {ADDRESS}", "payload": GOOD_PAYLOAD}
+    bad = {**fields, "payload": f"not json, sent from {ADDRESS}"}
+    geo = spark.createDataFrame([("203.0.113.0", "203.0.113.255", "Land", "Town", None, None)], "lo string, hi string, country string, city string, subdivision1 string, subdivision2 string")
+    isp = spark.createDataFrame([("203.0.0.0", "203.255.255.255", "Net", "Org")], "lo string, hi string, name string, organization string")
+    routed = PL.decode_pipeline(lines(spark, [envelope(None, fields=fields), envelope(None, fields=bad), envelope(None, fields=fields)[:-3]]),
+                                PL.prepare(S.registry(spark), geo, isp))
+    good, err = D.decoded(routed), D.errors(routed)
+    assert good.first().geo_country == "Land" and good.first().isp_name == "Net"
+    got = {r.error_type: r for r in err.collect()}
+    assert got["bad_json"].geo_city == "Town" and got["bad_json"].isp_organization == "Org"
+    assert ADDRESS.encode() not in bytes(got["bad_json"].payload) and b"not json, sent from" in bytes(got["bad_json"].payload)
+    assert ADDRESS.encode() not in bytes(got["bad_envelope"].payload)
+    assert ADDRESS not in str(good.collect())
+
+
 def envelope(payload, version="1", fields=None, typ="glean-server-event"):
     f = fields if fields is not None else {
         "document_namespace": "accounts-frontend", "document_type": "events", "document_version": version,
-        "document_id": "dd99db96-941d-4894-bb97-7a2bcd65bbf5", "payload": payload}
-    return json.dumps({"Timestamp": 1687448048064000000, "Logger": "demo-app-glean", "Type": typ,
+        "document_id": "00000000-1111-2222-3333-444444444444", "payload": payload}
+    return json.dumps({"Timestamp": 1709622489016000000, "Logger": "demo-app-glean", "Type": typ,
                        "Severity": 6, "Pid": 1, "EnvVersion": "2.0", "Fields": f})
 
 
@@ -42,10 +63,13 @@ def test_routing_fixtures(spark):
         envelope(GOOD_PAYLOAD[: len(GOOD_PAYLOAD) // 2]),
         envelope(GOOD_PAYLOAD, version="99"),
         envelope(GOOD_PAYLOAD),
+        envelope(GOOD_PAYLOAD)[:130],                      # cut off inside the envelope, tag still there
+        '{"note": "about \\"glean-server-event\\" records"}',
     ]
+    assert '"glean-server-event"' in vals[-2]
     routed = D.decode(lines(spark, vals), S.registry(spark))
     got = sorted((r.error_type or "ok") for r in routed.collect())
-    assert got == sorted(["bad_envelope", "missing_field", "bad_envelope", "bad_json", "unknown_schema", "ok"])
+    assert got == sorted(["bad_envelope", "missing_field", "bad_envelope", "bad_json", "unknown_schema", "ok", "bad_envelope"])
     e = D.errors(routed)
     assert len(e.columns) == 45
     assert e.filter(F.col("error_type") == "missing_field").first().error_message == "missing required field: client_info"
@@ -58,7 +82,7 @@ def test_good_row_decodes(spark):
     assert d.metrics["string"]["identifiers.fxa_account_id"] == "abc"
     assert d.events[0].extra["linking"] == "undefined"
     assert d.destination == "accounts_frontend_live.events_v1"
-    assert str(d.submission_timestamp) == "2023-06-22 15:34:08.064000"
+    assert str(d.submission_timestamp) == "2024-03-05 07:08:09.016000"
 
 
 def test_regex_filter_keeps_variants(spark):

@@ -19,4 +19,5 @@ def test_table_helpers(spark):
     LV.write_lines(LV.json_records(df), f"{base}/lines")                # K9
     assert spark.read.text(f"{base}/lines").count() == 2
     assert LV.shard(df, 3).rdd.getNumPartitions() == 3                  # W3
-    assert str(LV.with_day(df.withColumn("submission_timestamp", F.lit("2024-01-02 03:04:05").cast("timestamp"))).first().date) == "2024-01-02"
+    assert LV.with_day(df.withColumn("submission_timestamp", F.lit("2024-01-02 03:04:05").cast("timestamp"))).first().date == "2024-01-02"
+    assert LV.with_day(df.withColumn("submission_timestamp", F.lit(None).cast("timestamp"))).filter("date is null").count() == 0
