@@ -213,7 +213,7 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """`docs` without the documents that language ID rejects."""
-    return pick_rows(docs, identify(docs).filter("not accepted").select("id", "th"), "left_anti")
+    return pick_rows(docs, land(identify(docs).filter("not accepted").select("id", "th"), "rejected"), "left_anti")
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

@@ -163,7 +163,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
     kept = found.filter("id is null or id = component")
     first = kept.groupBy("id").agg(F.min("th").alias("th"), F.count(F.lit(1)).alias("n")).filter("id is not null")
-    out = pick_rows(docs, kept.filter("id is null").select("id", "th").unionByName(first.select("id", "th")))
+    out = pick_rows(docs, land(kept.filter("id is null").select("id", "th").unionByName(first.select("id", "th")), "kept"))
     if first.filter("n > 1").isEmpty():
         return out
     with_id, without = out.filter("doc_id is not null"), out.filter("doc_id is null")
