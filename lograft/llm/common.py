@@ -14,7 +14,8 @@ from ..operators.joins import lookup_join
 from ..sinks.files import land
 
 __all__ = ["land", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
-           "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows", "hash_sample", "SPACE"]
+           "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows", "hash_sample",
+           "Remembered", "SPACE"]
 
 # ASCII white space as the contracts write it: [\x20\x09-\x0D]
 SPACE = r"\x20\x09-\x0D"
@@ -142,6 +143,32 @@ def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("id"), "id").limit(n)
 
 
+class Remembered:
+    """Results by key that a worker keeps between batches, bounded: keys in use
+    move to the young generation, the old one goes when the young is full."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def turn(self) -> dict:
+        """Start a batch; returns the young generation."""
+        if len(self.young) > self.limit // 2:
+            self.old, self.young = self.young, {}
+        return self.young
+
+    def missing(self, keys) -> list:
+        """Keys that are not held; held ones are moved to the young generation."""
+        young, old, out = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                got = old.get(k)
+                if got is None:
+                    out.append(k)
+                else:
+                    young[k] = got
+        return out
+
+
 def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the edges of each batch by the stars of its components."""
     for b in batches:

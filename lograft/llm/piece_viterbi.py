@@ -2,8 +2,9 @@
 
 A text is escaped as the model's normaliser does (identity rule: a mark before
 the text and in place of each space), then cut before every mark, since no
-piece holds a mark after another character. The distinct marked words of a
-slice of documents are sorted, which is the depth-first order of their trie:
+piece holds a mark after another character. Words are also cut at
+other places no piece spans (line ends, a letter before a closing sign). The
+distinct segments of a slice of documents are sorted, which is the depth-first order of their trie:
 walking it, each word keeps the forward states of the prefix it shares with
 the word before and extends only the rest.
 
@@ -20,7 +21,9 @@ per worker up to a fixed number.
 from __future__ import annotations
 
 import heapq
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_rows, spread, table
+from .common import Remembered, byte_rows, spread, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-REMEMBER = 200_000     # words whose ids a worker remembers
+REMEMBER = 500_000     # words, segments and pairs of pieces that a worker remembers
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, BPE = 1, 2, 4, 6, 1, 2   # fixed values of the model file format
 
@@ -65,9 +68,16 @@ class Model:
         self.unk_score = min(self.scores[i] for i in self.ids.values()) - UNKNOWN_PENALTY
         self.raw = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(MARK, " ").encode() if p.type in (NORMAL, USER) else b"" for p in m.pieces]
         self.raw[self.unk] = m.trainer_spec.unk_surface.encode()
+        # merge order, and for each reachable piece the two it was merged from
+        order = sorted(self.ids, key=lambda p: -self.scores[self.ids[p]])
+        self.rank = {p: i for i, p in enumerate(order) if len(p) > 1}
+        self.halves: dict[str, tuple[str, str]] = {}
         self.whole = {p for p in self.ids if len(p) == 1 or not self.bpe or self.merge(p) == [p]}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words, self.segments = Remembered(REMEMBER), Remembered(REMEMBER)
+        inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.tails = frozenset(c for c in ".,;:!?" if not any(q[1] == c and q[0].isalpha() for q in inside))
+        self.lines = not any("\n" in p for p in self.ids)
 
     def merge(self, text: str) -> list[str]:
         """BPE by its definition: join the best-scored adjacent pair, leftmost
@@ -89,6 +99,8 @@ class Model:
             j = after[i]
             if not part[i] or j < 0 or part[i] + part[j] != p:
                 continue
+            if p == text:
+                self.halves[p] = (part[i], part[j])
             part[i], part[j] = p, ""
             after[i] = after[j]
             if after[j] >= 0:
@@ -98,18 +110,34 @@ class Model:
                 offer(before[i])
         return [p for p in part if p]
 
-    def allowed(self, a: str, b: str) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) > REMEMBER:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self.merge(a + b) == [a, b]
+    def stable(self, a: str, b: str) -> bool:
+        """Does encoding a + b give just these two pieces? Undo the merges that
+        formed them at the border, latest first: the pieces then facing each
+        other must not have merged before that moment. On equal rank the merge
+        further left comes first."""
+        rank, halves, limit = self.rank, self.halves, 1 << 60
+        while True:
+            r = rank.get(a + b)
+            if r is not None and r < limit:
+                return False
+            ra, rb = rank.get(a, -1) if len(a) > 1 else -1, rank.get(b, -1) if len(b) > 1 else -1
+            if ra < 0 and rb < 0:
+                return True
+            if ra > rb:
+                limit, a = ra, halves[a][1]
+            else:
+                limit, b = rb + 1, halves[b][0]
+
+    def _allowed(self, pair: tuple[str, str]) -> bool:
+        if len(self.pairs) > REMEMBER:
+            self.pairs.clear()
+        got = self.pairs[pair] = self.stable(*pair)
         return got
 
     def segment(self, words: list[str]) -> Iterator[list[str]]:
-        """Best pieces of each word; words are sorted and start with a mark.
-        An unknown character is a piece of its own."""
-        whole, longest, bpe = self.whole, self.longest, self.bpe
+        """Best pieces of each word (sorted). An unknown character is a piece of
+        its own."""
+        whole, longest, bpe, pairs = self.whole, self.longest, self.bpe, self.pairs
         score, start = [0.0], [0]     # forward state of every prefix of the last word
         last = ""
         for w in words:
@@ -124,10 +152,15 @@ class Model:
                     t = w[j:i]
                     if t in whole:
                         if bpe:
-                            if j == 0 or self.allowed(w[start[j]:j], t):
-                                best, at = 0.0, j
-                                break
-                            continue
+                            if j:
+                                pair = (w[start[j]:j], t)
+                                ok = pairs.get(pair)
+                                if ok is None:
+                                    ok = self._allowed(pair)
+                                if not ok:
+                                    continue
+                            best, at = 0.0, j
+                            break
                         s = self.scores[self.ids[t]]
                     elif i - j == 1:
                         s = self.unk_score
@@ -153,7 +186,20 @@ class Model:
                 out += [self.bytes[x] for x in p.encode()]
             else:
                 out.append(self.unk)
-        return np.array(out, "<i4").tobytes()
+        return array("i", out).tobytes() if sys.byteorder == "little" else np.array(out, "<i4").tobytes()
+
+    def cuts(self, word: str) -> list[str]:
+        """A marked word cut where no piece can reach across: at line ends, and
+        between a letter and a closing sign."""
+        out = []
+        for i, part in enumerate((MARK + word).split("\n") if self.lines else [MARK + word]):
+            if i:
+                out.append("\n")
+            if len(part) > 2 and part[-1] in self.tails and part[-2].isalpha():
+                out += [part[:-1], part[-1]]
+            elif part:
+                out.append(part)
+        return out
 
     def unit(self, marks: int, word: str) -> bytes:
         """A run of several marks and the word after it. Scores of merges inside
@@ -161,7 +207,7 @@ class Model:
         unless the word left it alone."""
         if not word:
             return self.to_ids(self.merge(MARK * marks) if self.bpe else next(self.segment([MARK * marks])))
-        own = self.words[MARK + word]
+        own = self.words.young[word]
         lone = np.array([self.ids[MARK]], "<i4").tobytes()
         if own.startswith(lone):
             return self.unit(marks, "") + own[4:]
@@ -170,29 +216,27 @@ class Model:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian int32."""
         rows = [t.replace(MARK, " ").split(" ") for t in texts]
-        need = {MARK + w for w in set().union(*rows)} - self.words.keys() if rows else set()
-        if len(self.words) + len(need) > REMEMBER:
-            self.words.clear()
-            need = {MARK + w for w in set().union(*rows)}
-        need = sorted(need)
-        for w, pieces in zip(need, self.segment(need)):
-            self.words[w] = self.to_ids(pieces)
-        words, out = self.words, []
+        words, segments = self.words.turn(), self.segments.turn()
+        new = [(w, self.cuts(w)) for w in self.words.missing(set().union(*rows) if rows else ())]
+        need = sorted(self.segments.missing({c for _, cuts in new for c in cuts}))
+        for s, pieces in zip(need, self.segment(need)):
+            segments[s] = self.to_ids(pieces)
+        for w, cuts in new:
+            words[w] = segments[cuts[0]] if len(cuts) == 1 else b"".join([segments[c] for c in cuts])
+        out = []
         for text, row in zip(texts, rows):
             if not text:
                 out.append(b"")
             elif "" not in row:
-                out.append(b"".join([words[MARK + w] for w in row]))
+                out.append(b"".join([words[w] for w in row]))
             else:
                 got, marks = [], 0
                 for w in row:
                     marks += 1
                     if w:
-                        got.append(words[MARK + w] if marks == 1 else self.unit(marks, w))
+                        got.append(words[w] if marks == 1 else self.unit(marks, w))
                         marks = 0
                 out.append(b"".join(got) + (self.unit(marks, "") if marks else b""))
-        if len(words) > REMEMBER:
-            words.clear()
         return out
 
     def decode(self, ids: bytes) -> str:

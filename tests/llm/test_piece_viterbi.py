@@ -35,6 +35,15 @@ def test_ids_equal_the_library():
         assert m.decode(got) == t == sp.decode(ids)
 
 
+def test_stable_pairs_follow_the_merges():
+    m, r = V.Model(PATH), random.Random(0)
+    some = sorted(p for p in m.whole if set(p) != {"▁"})
+    for _ in range(20_000):
+        a, b = r.choice(some), r.choice(some).lstrip("▁") or "a"
+        if b in m.whole:
+            assert m.stable(a, b) == (m.merge(a + b) == [a, b]), (a, b)
+
+
 def test_unigram_scores_equal_the_library(tmp_path):
     p = pb.ModelProto()
     p.ParseFromString(open(PATH, "rb").read())
