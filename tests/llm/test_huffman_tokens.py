@@ -2,6 +2,7 @@ import heapq
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -60,7 +61,7 @@ def run(spark, df):
 
 
 def test_files_match_the_library(spark):
-    texts = ["Hello  World's\n\t it'S  é É x<|endoftext|>y <|startoftext|>  z\x1cq", "", None, " ", "̈a ̈b", "naïve Ünïcode ½ 12345 don't -- ok", "x" * 5000, "ΣΑΣ Σ", "Ａ 中文字 \U0001f600\U0001f600 a\x0bb\x0cc\x85d"]
+    texts = ["Hello  World's\n\t it'S  é É x<|endoftext|>y <|startoftext|>  z\x1cq", "", None, " ", "̈a ̈b", "naïve Ünïcode ½ 12345 don't -- ok", "x" * 5000, "İstanbul İ", "x" * 3000 + "y" * 3000, "<|ENDOFTEXT|> <|endoftext|>", "H\u0331 h\u0331 A\u030a", "  lead and trail  \n", "ΣΑΣ Σ", "a\x01b \x01 c \x01\x01", "it's. 's. don't, é́, a.b. ... x.. ,y", "Ａ 中文字 \U0001f600\U0001f600 a\x0bb\x0cc\x85d"]
     texts += [f"word{i} repeat " * (i % 50) for i in range(120)]
     rows = [((i * 7) % 1000, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -72,3 +73,11 @@ def test_dirty_ids_and_empty(spark):
     df = spark.createDataFrame([(*r, "n") for r in rows], "doc_id long, text string, n string")
     assert run(spark, df) == expected(rows)
     assert run(spark, df.limit(0)) == []
+
+
+def test_cache_generations():
+    t, e = Tokenizer.from_file(PATH), H.ChunkEncoder(PATH, limit=40)
+    for i in range(30):
+        text = " ".join(f"word{(i * j) % 17}, x{j % (i + 2)}." for j in range(20))
+        assert e.encode(pa.array([text]))[0].tolist() == t.encode(text, add_special_tokens=False).ids
+        assert len(e.chunks.young) < 100
