@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The JSON object at the end of a free-text message.
-JSON_SUFFIX_REGEX = r"\{.*\}$"
-# End of fixed values.
+JSON_SUFFIX_REGEX = r"\{.*\}$"     # the JSON object at the end of a free-text message
 
 
 def _c(c) -> Column:
@@ -33,8 +31,3 @@ def json_object_or_null(text) -> Column:
     """VARIANT of the text only when it is a JSON object (J2 keeps objects)."""
     v = as_variant(text)
     return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
-
-
-def nullif_empty(c) -> Column:
-    """Missing and `""` are the same."""
-    return F.nullif(_c(c), F.lit(""))

@@ -94,8 +94,8 @@ PAYLOAD = T.StructType([
 
 PAYLOAD_WITH_CORRUPT = T.StructType(PAYLOAD.fields + [T.StructField(CORRUPT_COL, T.StringType())])
 
-# Error table, in the warehouse column order: 43 strings, `payload` bytes,
-# `submission_timestamp` timestamp.
+# The error table's columns in the warehouse order (43 strings,
+# `payload` bytes, `submission_timestamp` timestamp).
 ERROR_COLUMNS = [
     "args", "client_id", "content_length", "date", "dnt", "document_namespace",
     "document_type", "document_version", "error_message", "error_type",
@@ -109,6 +109,7 @@ ERROR_COLUMNS = [
     "isp_organization", "x_source_tags", "x_telemetry_agent",
     "x_foxsec_ip_reputation", "x_lb_tags",
 ]
+# End of fixed values.
 
 ERROR_SCHEMA = T.StructType([
     T.StructField(
@@ -120,15 +121,6 @@ ERROR_SCHEMA = T.StructType([
     for c in ERROR_COLUMNS
 ])
 
-DECODER_INPUT = T.StructType([
-    T.StructField("submission_timestamp", T.TimestampType()),
-    T.StructField("document_id", T.StringType()),
-    T.StructField("document_namespace", T.StringType()),
-    T.StructField("document_type", T.StringType()),
-    T.StructField("document_version", T.StringType()),
-    T.StructField("payload", T.BinaryType()),
-])
-
 QUEUE_MESSAGE = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("publish_time", T.TimestampType()),

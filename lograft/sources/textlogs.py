@@ -68,10 +68,9 @@ def _fields(rewritten: Column, fmt: Column, year: Column | None, record: Column)
         ts = F.when(fmt.isin(*sorted(CLF_TIME_FORMATS)), times.parse_clf_time(t))
         if year is not None:
             ts = ts.when(fmt == "syslog", times.parse_syslog_time(t, year))
-        return F.struct(*[value[n].alias(n) for n in FIELDS], ts.alias("ts"))     # apache_error: no time format
+        return F.struct(*[value[n].alias(n) for n in FIELDS], ts.alias("ts"), record.alias("record"))     # apache_error: no time format
 
-    parsed = let(F.split(rewritten, _SEP), on_parts)
-    return F.struct(*[parsed.getField(n).alias(n) for n in [*FIELDS, "ts"]], record.alias("record"))
+    return let(F.split(rewritten, _SEP), on_parts)
 
 
 def parse_by_format(line, fmt_col, year=None, formats=tuple(FORMATS) + ("json",)) -> Column:
