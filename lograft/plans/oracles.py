@@ -346,7 +346,7 @@ ORACLES["dirty_input"] = """
 SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a' || event_id WHEN 1 THEN 'a' || event_id || 'b' || event_id END AS text,
        CASE event_id % 4 WHEN 2 THEN ts WHEN 3 THEN date_trunc('millisecond', ts) END AS parsed,
        CASE WHEN event_id % 5 = 0 THEN 'bad_json' END AS error_type, CASE WHEN event_id % 5 = 0 THEN '7BFF22' END AS bytes,
-       'bad_envelope' AS cut_off_type, (SELECT count(*) FROM events) AS n_cut_off
+       'bad_envelope' AS cut_off_type
 FROM events
 """
 

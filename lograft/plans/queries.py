@@ -443,10 +443,11 @@ def dirty_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 5 == 0, F.unhex(F.lit("7BFF22"))).otherwise(fine.cast("binary")).alias("payload")), "dirty")
     routed = B.decode_input_table(rows, S.registry(spark)).select("document_id", "error_type", F.hex(F.substring("raw", 1, 3)).alias("bytes"))
     cut = land(rows.select(F.concat(F.lit('{"Type":"glean-server-event","Fields":{"document_id":"'), "document_id").alias("value")), "cut-off")
-    n_cut = D.decode(cut, S.registry(spark)).groupBy("error_type").agg(F.count(F.lit(1)).alias("n_cut_off")).select(F.col("error_type").alias("cut_off_type"), "n_cut_off")
-    return rows.join(routed, "document_id").crossJoin(F.broadcast(n_cut)).select(
+    damaged = D.decode(cut, S.registry(spark)).select(F.regexp_extract("raw", r'"document_id":"([^"]+)', 1).alias("document_id"),
+                                                      F.col("error_type").alias("cut_off_type"))
+    return rows.join(routed, "document_id").join(damaged, "document_id", "left").select(
         "event_id", Q.gunzip_text("data").alias("text"), times.parse_timestamp("time").alias("parsed"), "error_type",
-        F.when(F.col("error_type").isNotNull(), F.col("bytes")).alias("bytes"), "cut_off_type", "n_cut_off")
+        F.when(F.col("error_type").isNotNull(), F.col("bytes")).alias("bytes"), "cut_off_type")
 
 
 def container_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,14 @@ def land(df: DataFrame, name: str = "landed", fmt: str = "parquet") -> DataFrame
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    out = spark.read.format(fmt).load(path)
+    out._landed = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the folder of a landed DataFrame that nothing reads any more."""
+    remove(df.sparkSession, df._landed)
 
 
 def remove(spark: SparkSession, path: str) -> None:
