@@ -3,7 +3,10 @@ membership filters, landing, and connected components by alternating stars."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from ..sinks.files import land
+from ..sinks.files import drop, land
 
-__all__ = ["land", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
+__all__ = ["drop", "land", "lean", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
            "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows", "hash_sample",
            "Remembered", "SPACE"]
 
@@ -35,13 +38,43 @@ def parts(spark: SparkSession, rows: int = 0, per: int = 400_000) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per))
 
 
+BATCH_BYTES = 8 << 20     # of an Arrow batch of texts
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give row-parallel work over a small input at least the cluster's
-    parallelism; large inputs come with enough splits and stay as they are."""
+    """Prepare a frame for row-parallel Python work: at least the cluster's
+    parallelism (large inputs come with enough splits and stay as they are), and
+    Arrow batches bounded in bytes, however long the texts are."""
+    conf = df.sparkSession.conf
+    if _size(conf.get(_BATCH, "64m")) > BATCH_BYTES:
+        conf.set(_BATCH, str(BATCH_BYTES))
     want = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _size(text: str) -> int:
+    n = text.strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30}.get(n[-1:], 0)
+    return int(float(n[:-1] if unit else n) * (1 << unit))
+
+
+def lean(run: Callable) -> Callable:
+    """A task function that gives memory back when its task ends. Workers are
+    reused by later stages, and freed blocks would otherwise stay with them."""
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):     # no glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+    return task
+
+
 def keyed_rows(df: DataFrame, id_col: str, body_col: str) -> DataFrame:
     """`df` with `__k`, a unique long in (id, body) order.
 

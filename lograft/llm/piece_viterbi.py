@@ -28,14 +28,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, byte_rows, spread, table
+from .common import Remembered, byte_rows, lean, spread, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-REMEMBER = 500_000     # words, segments and pairs of pieces that a worker remembers
+REMEMBER = 200_000     # words that a worker remembers; segments without a mark: a quarter
+PAIRS = 400_000        # pairs of pieces that a worker remembers
+SLICE = 4 << 20        # bytes of text encoded together
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, BPE = 1, 2, 4, 6, 1, 2   # fixed values of the model file format
 
@@ -72,9 +75,13 @@ class Model:
         order = sorted(self.ids, key=lambda p: -self.scores[self.ids[p]])
         self.rank = {p: i for i, p in enumerate(order) if len(p) > 1}
         self.halves: dict[str, tuple[str, str]] = {}
-        self.whole = {p for p in self.ids if len(p) == 1 or not self.bpe or self.merge(p) == [p]}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words, self.segments = Remembered(REMEMBER), Remembered(REMEMBER)
+        self.whole = {p: i for p, i in self.ids.items() if len(p) == 1 or not self.bpe or self.merge(p) == [p]}
+        self.reach: dict[str, int] = {}
+        for p in self.whole:
+            if len(p) > 2:
+                self.reach[p[-3:]] = max(self.reach.get(p[-3:], 2), len(p))
+        self.pairs: dict[int, bool] = {}
+        self.words, self.bare = Remembered(REMEMBER), Remembered(REMEMBER // 4)
         inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.tails = frozenset(c for c in ".,;:!?" if not any(q[1] == c and q[0].isalpha() for q in inside))
         self.lines = not any("\n" in p for p in self.ids)
@@ -128,54 +135,65 @@ class Model:
             else:
                 limit, b = rb + 1, halves[b][0]
 
-    def _allowed(self, pair: tuple[str, str]) -> bool:
-        if len(self.pairs) > REMEMBER:
-            self.pairs.clear()
-        got = self.pairs[pair] = self.stable(*pair)
-        return got
-
     def segment(self, words: list[str]) -> Iterator[list[str]]:
         """Best pieces of each word (sorted). An unknown character is a piece of
         its own."""
-        whole, longest, bpe, pairs = self.whole, self.longest, self.bpe, self.pairs
-        score, start = [0.0], [0]     # forward state of every prefix of the last word
         last = ""
+        start: list[int] = [0]       # forward state of every prefix of the last word:
+        state: list = [-1]           # where its last piece starts, and that piece (BPE) or its score
+        step = self._extend_bpe if self.bpe else self._extend_unigram
+        if not self.bpe:
+            state[0] = 0.0
         for w in words:
             n, keep = len(w), 0
             top = min(n, len(last))
             while keep < top and w[keep] == last[keep]:
                 keep += 1
-            del score[keep + 1:], start[keep + 1:]
-            for i in range(keep + 1, n + 1):
-                best, at = -1e300, -1
-                for j in range(max(0, i - longest), i):
-                    t = w[j:i]
-                    if t in whole:
-                        if bpe:
-                            if j:
-                                pair = (w[start[j]:j], t)
-                                ok = pairs.get(pair)
-                                if ok is None:
-                                    ok = self._allowed(pair)
-                                if not ok:
-                                    continue
-                            best, at = 0.0, j
-                            break
-                        s = self.scores[self.ids[t]]
-                    elif i - j == 1:
-                        s = self.unk_score
-                    else:
-                        continue
-                    if score[j] + s > best:
-                        best, at = score[j] + s, j
-                score.append(best)
-                start.append(at)
+            del start[keep + 1:], state[keep + 1:]
+            step(w, keep, start, state)
             last, out, i = w, [], n
             while i:
                 out.append(w[start[i]:i])
                 i = start[i]
             yield out[::-1]
 
+    def _extend_bpe(self, w: str, keep: int, start: list[int], state: list[int]) -> None:
+        """The one allowed last piece of each further prefix; the longest fits
+        most often. Pieces are tried only up to the length any piece with the
+        same last three characters has."""
+        whole, reach, pairs = self.whole, self.reach, self.pairs
+        if len(pairs) > PAIRS:
+            pairs.clear()
+        for i in range(keep + 1, len(w) + 1):
+            for j in range(max(0, i - (reach.get(w[i - 3:i], 2) if i > 2 else 2)), i):
+                piece = whole.get(w[j:i])
+                if piece is None:
+                    continue
+                before = state[j]
+                if before >= 0:      # neither the word's start nor an unknown character
+                    key = before << 20 | piece
+                    ok = pairs.get(key)
+                    if ok is None:
+                        ok = pairs[key] = self.stable(w[start[j]:j], w[j:i])
+                    if not ok:
+                        continue
+                start.append(j)
+                state.append(piece)
+                break
+            else:
+                start.append(i - 1)
+                state.append(-1)
+
+    def _extend_unigram(self, w: str, keep: int, start: list[int], state: list[float]) -> None:
+        for i in range(keep + 1, len(w) + 1):
+            best, at = state[i - 1] + self.unk_score, i - 1
+            for j in range(max(0, i - self.longest), i):
+                piece = self.whole.get(w[j:i])
+                if piece is not None and state[j] + self.scores[piece] > best:
+                    best, at = state[j] + self.scores[piece], j
+            start.append(at)
+            state.append(best)
+
     def to_ids(self, pieces: list[str]) -> bytes:
         out: list[int] = []
         for p in pieces:
@@ -213,32 +231,56 @@ class Model:
             return self.unit(marks, "") + own[4:]
         return self.unit(marks - 1, "") + own
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts as little-endian int32."""
-        rows = [t.replace(MARK, " ").split(" ") for t in texts]
-        words, segments = self.words.turn(), self.segments.turn()
-        new = [(w, self.cuts(w)) for w in self.words.missing(set().union(*rows) if rows else ())]
-        need = sorted(self.segments.missing({c for _, cuts in new for c in cuts}))
+    def _learn(self, new: list[str]) -> None:
+        """Encode words that are not held: cut, segment what is new in sorted
+        order, join."""
+        words, bare = self.words.young, self.bare.turn()
+        new = [(w, self.cuts(w)) for w in new]
+        marked = self.words.missing({c[1:] for _, cuts in new for c in cuts if c[0] == MARK})
+        plain = self.bare.missing({c for _, cuts in new for c in cuts if c[0] != MARK})
+        need = sorted([MARK + w for w in marked] + plain)
         for s, pieces in zip(need, self.segment(need)):
-            segments[s] = self.to_ids(pieces)
-        for w, cuts in new:
-            words[w] = segments[cuts[0]] if len(cuts) == 1 else b"".join([segments[c] for c in cuts])
-        out = []
-        for text, row in zip(texts, rows):
-            if not text:
-                out.append(b"")
-            elif "" not in row:
-                out.append(b"".join([words[w] for w in row]))
+            if s[0] == MARK:
+                words[s[1:]] = self.to_ids(pieces)
             else:
-                got, marks = [], 0
-                for w in row:
-                    marks += 1
-                    if w:
-                        got.append(words[w] if marks == 1 else self.unit(marks, w))
-                        marks = 0
-                out.append(b"".join(got) + (self.unit(marks, "") if marks else b""))
+                bare[s] = self.to_ids(pieces)
+        for w, cuts in new:
+            if len(cuts) > 1:
+                words[w] = b"".join([words[c[1:]] if c[0] == MARK else bare[c] for c in cuts])
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of whole texts as little-endian int32. Words are found and
+        numbered by Arrow; Python only sees distinct ones."""
+        rows = pc.split_pattern(pc.replace_substring(texts, MARK, " "), " ")
+        flat = rows.flatten().dictionary_encode()
+        code, distinct = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
+        words = self.words.turn()
+        self._learn(self.words.missing(w for w in distinct if w))
+        held = [words[w] if w else b"" for w in distinct]
+        ids = np.frombuffer(b"".join(held), "<i4")
+        size = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        at, n = np.cumsum(size) - size, size[code]
+        end = np.cumsum(n)
+        raw = ids[np.repeat(at[code] - (end - n), n) + np.arange(end[-1] if len(end) else 0)].tobytes()
+        count = pc.list_value_length(rows).to_numpy(zero_copy_only=False)
+        ends = np.r_[0, end][np.cumsum(count)] * 4
+        out = [raw[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        empty = np.flatnonzero(np.array([not w for w in distinct], bool)[code]) if "" in distinct else []
+        for i in np.unique(np.searchsorted(np.cumsum(count), empty, side="right")):   # texts with runs of spaces
+            out[i] = self._spaced(texts[i].as_py())
         return out
 
+    def _spaced(self, text: str) -> bytes:
+        if not text:
+            return b""
+        got, marks = [], 0
+        for w in text.replace(MARK, " ").split(" "):
+            marks += 1
+            if w:
+                got.append(self.words.young[w] if marks == 1 else self.unit(marks, w))
+                marks = 0
+        return b"".join(got) + (self.unit(marks, "") if marks else b"")
+
     def decode(self, ids: bytes) -> str:
         """Text of ids: pieces joined, marks as spaces, without the leading one."""
         raw = self.raw
@@ -255,9 +297,9 @@ def model(path: str) -> Model:
 def _encode(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b, bodies in byte_rows(batches, "body"):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(m.encode([x.decode() for x in bodies]), pa.binary())], ["doc_id", "ids"])
-    return run
+        for b, _ in byte_rows(batches, "body", SLICE):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(m.encode(b.column("body").cast(pa.string())), pa.binary())], ["doc_id", "ids"])
+    return lean(run)
 
 
 def _decode(path: str):
@@ -265,18 +307,17 @@ def _decode(path: str):
         m = model(path)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([m.decode(x) for x in b.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
-    return run
+    return lean(run)
 
 
 def _digest(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b, bodies in byte_rows(batches, "body"):
-            texts = [x.decode() for x in bodies]
-            ids = m.encode(texts)
-            same = [m.decode(i) == t for i, t in zip(ids, texts)]
+        for b, bodies in byte_rows(batches, "body", SLICE):
+            ids = m.encode(b.column("body").cast(pa.string()))
+            same = [m.decode(i).encode() == t for i, t in zip(ids, bodies)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array(same)], ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
-    return run
+    return lean(run)
 
 
 def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
@@ -29,7 +30,7 @@ def test_ids_equal_the_library():
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     m = V.Model(PATH)
     some = HARD + texts(1, 400)
-    for t, got in zip(some, m.encode(some)):
+    for t, got in zip(some, m.encode(pa.array(some))):
         ids = np.frombuffer(got, "<i4").tolist()
         assert ids == sp.encode(t), t[:80]
         assert m.decode(got) == t == sp.decode(ids)
@@ -55,9 +56,9 @@ def test_unigram_scores_equal_the_library(tmp_path):
     sp, m = sentencepiece.SentencePieceProcessor(model_file=str(path)), V.Model(str(path))
     for t in texts(2, 60):
         t = " ".join(t.split())
-        ids = np.frombuffer(m.encode([t])[0], "<i4").tolist()
+        ids = np.frombuffer(m.encode(pa.array([t]))[0], "<i4").tolist()
         score = lambda x: sum(p.pieces[i].score for i in x)
-        assert m.decode(m.encode([t])[0]) == t and score(ids) == pytest.approx(score(sp.encode(t)), abs=1e-3)
+        assert m.decode(m.encode(pa.array([t]))[0]) == t and score(ids) == pytest.approx(score(sp.encode(t)), abs=1e-3)
 
 
 def test_operator(spark):
