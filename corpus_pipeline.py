@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lograft.llm import language_id, mixing, piece_viterbi, simhash_dedup, suffix_dedup
-from lograft.llm.common import land, table
+from lograft.llm.common import drop, land, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = land(stage(spark, docs, sf_dir), name)
+        if before is not None:          # its successor is written
+            drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .common import byte_rows, hash_sample, land, pick_rows, row_key, spread, table
+from .common import byte_rows, hash_sample, land, lean, pick_rows, row_key, spread, table
 
 TRAIN_ROWS = 8_000
 SLOTS = 1 << 16
@@ -121,7 +121,7 @@ def fit_text_model(docs: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str =
 def _likelihoods(model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        for b, bodies in byte_rows(batches, "body"):
+        for b, bodies in byte_rows(batches, "body", 1 << 20):
             ll = TEMPER * m.scores(bodies)
             p = np.exp(ll + np.log([1 - UND_PRIOR] * (len(m.langs) - 1) + [UND_PRIOR]) - ll.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -129,7 +129,7 @@ def _likelihoods(model):
             keep = [i for i, n in enumerate(b.schema.names) if n != "body"]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(letters), pa.array(list(ll), pa.list_(pa.float64())), pa.array(list(p), pa.list_(pa.float64()))],
                                              [*(b.schema.names[i] for i in keep), "letters", "ll", "p"])
-    return run
+    return lean(run)
 
 
 def _sums(rows: DataFrame, key: list[str], name: str, n: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .common import byte_rows, column_arrays, connected_components, land, parts, pick_rows, spread, table
+from .common import byte_rows, column_arrays, connected_components, land, lean, parts, pick_rows, spread, table
 
 SEED = 42
 SHINGLE = 3
@@ -62,7 +62,7 @@ def _fingerprints(shingle: int):
         for b, bodies in byte_rows(batches, "body"):
             fp = np.array([fingerprint(x, shingle) for x in bodies], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(fp)], ["id", "th", "fp"])
-    return run
+    return lean(run)
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -111,7 +111,7 @@ def _link(max_bits: int):
                 yield _pairs(out)
                 out = []
         yield _pairs(out)
-    return run
+    return lean(run)
 
 
 def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:

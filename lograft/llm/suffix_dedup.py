@@ -33,11 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_rows, column_arrays, keep_members, keyed_rows, land, may_hold, membership, ordered_keys, parts, spread, table
+from .common import byte_rows, column_arrays, drop, keep_members, keyed_rows, land, lean, may_hold, membership, ordered_keys, parts, spread, table
 
 LENGTH = 100
 GRAM = 24
-SLICE = 1 << 20            # bytes that one numpy pass works on
+SLICE = 1 << 19            # bytes that one numpy pass works on
 SAMPLE_BYTES = 8_000_000   # expected text in the splitter sample
 HOT = 20_000               # entries of one leading key compared in one task
 _TOP = np.uint64(0x8000000000000000)
@@ -161,7 +161,7 @@ def _map_entries(length: int, splitters):
                 cols = [w0.view(np.int64), w1.view(np.int64), k, pk]
                 bucket = np.zeros(len(k), np.int32) if cuts is None else np.searchsorted(cuts, _composite(w0, w1, k, pk), side="right").astype(np.int32)
                 yield _batch(["w0", "w1", "k", "pk", "bucket"], [*cols, bucket])
-    return run
+    return lean(run)
 
 
 def _sort_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +201,7 @@ def _contexts(length: int):
                     ps.append(s)
                     out.append(body[s:s + n + length - 1])
             yield pa.RecordBatch.from_arrays([pa.array(w0s, pa.int64()), pa.array(ks, pa.int64()), pa.array(ps, pa.int64()), pa.array(out, pa.binary())], ["w0", "k", "s", "part"])
-    return run
+    return lean(run)
 
 
 def _windows(b: pa.RecordBatch, length: int):
@@ -238,7 +238,7 @@ def _compare_windows(length: int):
         o = np.lexsort((s, k, h1, h0))
         again = np.r_[False, (h0[o][1:] == h0[o][:-1]) & (h1[o][1:] == h1[o][:-1])]
         yield from _runs(k[o][again], s[o][again])
-    return run
+    return lean(run)
 
 
 def _emit_windows(length: int):
@@ -247,7 +247,7 @@ def _emit_windows(length: int):
             for x in range(0, b.num_rows, 2000):
                 h0, h1, k, s = _windows(b.slice(x, 2000), length)
                 yield _batch(["h0", "h1", "k", "s"], [h0.view(np.int64), h1.view(np.int64), k, s])
-    return run
+    return lean(run)
 
 
 def _join_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,9 +256,18 @@ def _join_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(keyed: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """(k, pk): runs of window starts whose window also starts earlier, for
-    documents (k long, body binary, never null). pk = start << 8 | windows.
-    Runs of one document may touch but none repeats work of another."""
+    """(k, items): for each document (k long, body binary, never null) with
+    repeats, the runs of window starts whose window also starts earlier, each
+    as start << 8 | windows. Landed; what it was made from is dropped."""
+    found, parts_ = _repeated_runs(keyed, length, hot)
+    lists = land(found.groupBy("k").agg(F.collect_list("pk").alias("items")), "repeats")
+    for p in parts_:
+        drop(p)
+    return lists
+
+
+def _repeated_runs(keyed: DataFrame, length: int, hot: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(k, pk) runs, and the landed tables they are read from."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     spark = keyed.sparkSession
@@ -270,7 +279,7 @@ def repeats(keyed: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame
     cuts = cuts[np.linspace(0, len(cuts), n + 1)[1:-1].astype(int)] if len(cuts) >= n else cuts
     splitters = spark.sparkContext.broadcast(cuts)
     buckets = keyed.mapInArrow(_map_entries(length, splitters), schema).repartitionById(n, "bucket").select(names)
-    sorted_ = land(buckets.mapInArrow(_sort_bucket, "w0 long, w1 long, k long, pk long, kind int"), "suffixes")
+    sorted_ = land(buckets.mapInArrow(lean(_sort_bucket), "w0 long, w1 long, k long, pk long, kind int"), "suffixes")
     # across boundaries
     edge = sorted_.filter("kind = 2").select(names)
     firsts = edge.groupBy("w0", "w1").agg(F.min(F.struct("k", "pk")).alias("first"))
@@ -280,25 +289,27 @@ def repeats(keyed: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame
     plain = sorted_.select("w0", "k", "pk", "kind")
     judged = land(plain.filter("kind < 2").unionByName(
         edge.filter("not is_first or classes > 1").select("w0", "k", "pk", F.when(F.col("is_first"), 1).otherwise(0).alias("kind"))), "judged")
+    drop(sorted_)
     same = judged.filter("kind = 0").select("k", "pk")
     part = judged.filter("kind = 1").select("w0", "k", "pk")
     n_part = part.count()
     if not n_part:
-        return same
+        return same, [judged]
     lists = part.groupBy("k").agg(F.collect_list(F.struct("w0", "pk")).alias("items"))
     held = keep_members(keyed.select("k", "body"), "k", membership(part.select("k").distinct(), "k"))
     shipped = held.join(lists, "k").mapInArrow(_contexts(length), "w0 long, k long, s long, part binary")
     crowded = part.groupBy("w0").count().filter(F.col("count") > hot).select("w0")
     n = parts(spark, n_part, 40_000)
     if crowded.isEmpty():
-        alike = shipped.repartition(n, "w0").mapInArrow(_compare_windows(length), "k long, pk long")
-        return same.unionByName(land(alike, "alike"))
+        alike = land(shipped.repartition(n, "w0").mapInArrow(_compare_windows(length), "k long, pk long"), "alike")
+        return same.unionByName(alike), [judged, alike]
     shipped = land(shipped, "shipped")
     alike = shipped.join(crowded, "w0", "left_anti").repartition(n, "w0").mapInArrow(_compare_windows(length), "k long, pk long")
     wins = shipped.join(crowded, "w0", "left_semi").mapInArrow(_emit_windows(length), "h0 long, h1 long, k long, s long")
     first = wins.groupBy("h0", "h1").agg(F.min(F.struct("k", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     again = wins.join(first, ["h0", "h1"]).filter("k != first.k or s != first.s").select("k", "s").mapInArrow(_join_runs, "k long, pk long")
-    return same.unionByName(land(alike.unionByName(again), "alike"))
+    alike = land(alike.unionByName(again), "alike")
+    return same.unionByName(alike), [judged, shipped, alike]
 
 
 def _spans(items: list[int], length: int) -> list[tuple[int, int]]:
@@ -331,14 +342,13 @@ def _remove(length: int):
                 spans_.append([{"s": s, "e": e} for s, e in spans])
                 kept.append(_cut(body, spans))
             yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(ns, pa.int64()), pa.array(spans_, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(kept, pa.binary())], ["k", "n_removed", "spans", "kept"])
-    return run
+    return lean(run)
 
 
 def removed_bytes(keyed: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(k, n_removed, spans, kept) of the documents that lose bytes: spans are
     the maximal removed [s, e) runs, kept the remaining bytes."""
-    found = repeats(keyed, length, hot)
-    lists = land(found.groupBy("k").agg(F.collect_list("pk").alias("items")), "repeats")
+    lists = repeats(keyed, length, hot)
     held = keep_members(keyed.select("k", "body"), "k", membership(lists.select("k"), "k"))
     return held.join(lists, "k").mapInArrow(_remove(length), "k long, n_removed long, spans array<struct<s:long,e:long>>, kept binary")
 
@@ -370,8 +380,8 @@ def dedup_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = keyed_rows(docs, id_col, text_col)
     body = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
-    found = repeats(spread(rows.select(F.col("__k").alias("k"), body.alias("body"))), length)
-    lists = land(found.groupBy(F.col("k").alias("__lk")).agg(F.collect_list("pk").alias("__items")), "repeats")
+    lists = repeats(spread(rows.select(F.col("__k").alias("k"), body.alias("body"))), length) \
+        .select(F.col("k").alias("__lk"), F.col("items").alias("__items"))
     may = may_hold(rows, "__k", membership(lists, "__lk"))
 
     @F.pandas_udf("string")
