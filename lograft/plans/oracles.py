@@ -367,6 +367,8 @@ ORACLES["table_like"] = """
 SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users, CAST(0 AS BIGINT) AS n_before FROM events GROUP BY 1
 """
 
+ORACLES["random_document_ids"] = "SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_uuid FROM events"
+
 ORACLES["window_counts"] = """
 SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
        'accounts_frontend_live.events_v1' AS destination, count(*) AS n

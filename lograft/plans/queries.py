@@ -483,6 +483,15 @@ def ping_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.select(v.alias("v")).select("v.*")
 
 
+def random_document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings encoded without a given id get a random UUID each."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    pings = land(E.encode_events_ping(ev, app_id=L.APP_ID, app_version=L.APP_VERSION, channel=L.CHANNEL, account_id="user_id", dialect="rust"), "random-ids")
+    d = D.decoded(D.decode(pings, S.registry(spark)))
+    form = F.col("document_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return d.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("document_id").alias("n_distinct"), F.count(F.when(form, 1)).alias("n_uuid"))
+
+
 def table_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4, K5: an empty table with the schema of `events`, then filled."""
     ev = table(spark, sf_dir, "events")
@@ -617,5 +626,6 @@ REGISTRY = {
     "container_logs": container_logs,
     "ping_lines": ping_lines,
     "table_like": table_like,
+    "random_document_ids": random_document_ids,
     "window_counts": window_counts,
 }
