@@ -68,7 +68,8 @@ def write_routed(routed: DataFrame, decoded_path: str, error_path: str, *,
         dec.write.mode(mode).options(**opts).partitionBy(*parts_dec).parquet(decoded_path)
         err.write.mode(mode).options(**opts).partitionBy(*parts_err).parquet(error_path)
     finally:
-        remove(spark, path)
+        for made in [path, *[t._landed for t in getattr(routed, "_made_from", [])]]:
+            remove(spark, made)
 
 
 def read_live(spark: SparkSession, path: str, destination: str | None = None, day: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from lograft.operators import decode as D
 from lograft.operators import pipeline as PL
 from lograft.operators.recombine import recombine_lines
 from lograft.plans.event_lines import events_to_log_lines
+from lograft.session import checkpoint_dir
 from lograft.sinks import live as LV
 from lograft.sources import logs as SRC
 from lograft.sources import queue as Q
@@ -87,9 +88,12 @@ def messages(spark):
 def test_queue_messages_decode_once(spark):
     base = tempfile.mkdtemp(prefix="lograft-queue-")
     m = messages(spark)
+    landed = lambda: {p for p in Path(checkpoint_dir(spark).removeprefix("file:")).parent.rglob("routed-*")}
+    held = landed()
     m.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(S.QUEUE_MESSAGE).parquet(f"{base}/in")
     run(spark, stream, base, f"{base}/ck")
+    assert landed() == held          # nothing of a batch stays behind
     routed = PL.decode_pipeline(Q.read_messages(m), PL.prepare(S.registry(spark)), received_col="received")
     dec, err = outputs(spark, base)
     same(dec.drop("date"), D.decoded(routed))
