@@ -15,7 +15,7 @@ just these two pieces; then every prefix has exactly one allowed state, and
 the path is what the merges give, id for id (tests compare with the library).
 
 The operator is map-only: no shuffle, no skew; words that repeat are remembered
-per worker up to a fixed number.
+within a task up to a fixed number.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ from .common import Remembered, byte_rows, lean, spread, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-REMEMBER = 200_000     # words that a worker remembers; segments without a mark: a quarter
-PAIRS = 400_000        # pairs of pieces that a worker remembers
+REMEMBER = 200_000     # words that a task remembers; segments without a mark: a quarter
+PAIRS = 400_000        # pairs of pieces that a task remembers
 SLICE = 4 << 20        # bytes of text encoded together
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, BPE = 1, 2, 4, 6, 1, 2   # fixed values of the model file format
@@ -281,6 +281,11 @@ class Model:
                 marks = 0
         return b"".join(got) + (self.unit(marks, "") if marks else b"")
 
+    def forget(self) -> None:
+        """Drop what was remembered of a task's words."""
+        self.words, self.bare = Remembered(REMEMBER), Remembered(REMEMBER // 4)
+        self.pairs.clear()
+
     def decode(self, ids: bytes) -> str:
         """Text of ids: pieces joined, marks as spaces, without the leading one."""
         raw = self.raw
@@ -299,6 +304,7 @@ def _encode(path: str):
         m = model(path)
         for b, _ in byte_rows(batches, "body", SLICE):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(m.encode(b.column("body").cast(pa.string())), pa.binary())], ["doc_id", "ids"])
+        m.forget()
     return lean(run)
 
 
@@ -317,6 +323,7 @@ def _digest(path: str):
             ids = m.encode(b.column("body").cast(pa.string()))
             same = [m.decode(i).encode() == t for i, t in zip(ids, bodies)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array(same)], ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
+        m.forget()
     return lean(run)
 
 

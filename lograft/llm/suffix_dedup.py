@@ -231,7 +231,7 @@ def _runs(k: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 def _compare_windows(length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [_windows(b, length) for b in batches if b.num_rows]
+        got = [_windows(b.slice(x, 2000), length) for b in batches for x in range(0, b.num_rows, 2000)]
         if not got:
             return
         h0, h1, k, s = (np.concatenate(x) for x in zip(*got))
@@ -273,7 +273,7 @@ def _repeated_runs(keyed: DataFrame, length: int, hot: int) -> tuple[DataFrame,
     spark = keyed.sparkSession
     names, schema = ["w0", "w1", "k", "pk"], "w0 long, w1 long, k long, pk long, bucket int"
     rows, size = keyed.agg(F.count(F.lit(1)), F.sum(F.length("body"))).first()
-    n = parts(spark, int((size or 0) // 30), 600_000)
+    n = parts(spark, int((size or 0) // 30), 400_000)
     sample = keyed.sample(min(1.0, SAMPLE_BYTES / max(1, size or 0)), seed=7).mapInArrow(_map_entries(length, None), schema).select(names).toPandas()
     cuts = np.sort(_composite(sample["w0"].to_numpy().view(np.uint64), sample["w1"].to_numpy().view(np.uint64), sample["k"].to_numpy(), sample["pk"].to_numpy())) if len(sample) else np.empty(0, "S32")
     cuts = cuts[np.linspace(0, len(cuts), n + 1)[1:-1].astype(int)] if len(cuts) >= n else cuts
@@ -299,7 +299,7 @@ def _repeated_runs(keyed: DataFrame, length: int, hot: int) -> tuple[DataFrame,
     held = keep_members(keyed.select("k", "body"), "k", membership(part.select("k").distinct(), "k"))
     shipped = held.join(lists, "k").mapInArrow(_contexts(length), "w0 long, k long, s long, part binary")
     crowded = part.groupBy("w0").count().filter(F.col("count") > hot).select("w0")
-    n = parts(spark, n_part, 40_000)
+    n = parts(spark, n_part, 10_000)
     if crowded.isEmpty():
         alike = land(shipped.repartition(n, "w0").mapInArrow(_compare_windows(length), "k long, pk long"), "alike")
         return same.unionByName(alike), [judged, alike]
