@@ -44,6 +44,8 @@ def cases(spark, d):
     routed = lambda x: D.decode(x, registry)
     addresses = land(ev.select("event_id", LK.geo_address(F.col("event_id"), F.col("user_id")).alias("ip_address")), "addresses")
     lookups = Q._lookups(spark, d)
+    geo = EN.prepare_ranges(LK.geo_ranges(table(spark, d, "nation"), table(spark, d, "region")), EN.GEO_COLUMNS)
+    isp = EN.prepare_ranges(LK.isp_ranges(table(spark, d, "supplier")), EN.ISP_COLUMNS)
     yield "decode_events", lines, lambda x: D.decoded(routed(x))
     yield "decode_errors", lines, lambda x: D.errors(routed(x))
     yield "decode_enriched", lines, lambda x: D.decoded(PL.decode_pipeline(x, lookups, received_col="received"))
@@ -53,8 +55,8 @@ def cases(spark, d):
     yield "parse_mixed", land(T.events_to_text_lines(ev, "mixed"), "mixed"), \
         lambda x: x.select("event_id", TL.parse_by_format(F.col("value"), F.col("format"), year=F.col("year")).alias("p")).select("event_id", "p.*")
     yield "recombine_lines", land(C.documents_to_container_lines(docs), "container"), lambda x: RC.recombine_lines(TL.parse_docker(x), "file_path", "n", "log")
-    yield "geo_country", addresses, lambda x: EN.scrub_address(EN.enrich_geo(x, lookups.geo, cities=lookups.cities))
-    yield "isp", addresses, lambda x: EN.scrub_address(EN.enrich_isp(x, lookups.isp))
+    yield "geo_country", addresses, lambda x: EN.scrub_address(EN.enrich_geo(x, geo, cities=lookups.cities))
+    yield "isp", addresses, lambda x: EN.scrub_address(EN.enrich_isp(x, isp))
     pods = LK.pods_of(table(spark, d, "nation"))
     files = land(ev.select(C.file_path_of(F.col("event_id")).alias("file_path"), F.col("props").alias("log")), "pod-files")
     yield "pod_metadata", files, lambda x: EN.merge_log(EN.enrich_pods(x, pods), "log")
