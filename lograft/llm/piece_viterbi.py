@@ -37,7 +37,7 @@ from .common import Remembered, byte_rows, lean, spread, table
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 REMEMBER = 200_000     # words that a task remembers; segments without a mark: a quarter
-PAIRS = 400_000        # pairs of pieces that a task remembers
+PAIRS = 300_000        # pairs of pieces that a worker remembers
 SLICE = 4 << 20        # bytes of text encoded together
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, BPE = 1, 2, 4, 6, 1, 2   # fixed values of the model file format
@@ -45,6 +45,10 @@ NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, BPE = 1, 2, 4, 6, 1, 2   # fixed values of
 _models: dict[str, Model] = {}
 
 
+def _int32(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<i4").tobytes()
+
+
 class Model:
     """Pieces of a model file with the tables the passes need."""
 
@@ -135,9 +139,9 @@ class Model:
             else:
                 limit, b = rb + 1, halves[b][0]
 
-    def segment(self, words: list[str]) -> Iterator[list[str]]:
-        """Best pieces of each word (sorted). An unknown character is a piece of
-        its own."""
+    def segment(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word (sorted), as little-endian int32. An unknown character
+        is its bytes' pieces, or the unknown piece."""
         last = ""
         start: list[int] = [0]       # forward state of every prefix of the last word:
         state: list = [-1]           # where its last piece starts, and that piece (BPE) or its score
@@ -153,9 +157,18 @@ class Model:
             step(w, keep, start, state)
             last, out, i = w, [], n
             while i:
-                out.append(w[start[i]:i])
-                i = start[i]
-            yield out[::-1]
+                j = start[i]
+                piece = state[i] if self.bpe else self.whole.get(w[j:i], -1)
+                if piece >= 0:
+                    out.append(piece)
+                else:
+                    out += self._unknown(w[j:i])[::-1]
+                i = j
+            out.reverse()
+            yield _int32(out)
+
+    def _unknown(self, char: str) -> list[int]:
+        return [self.bytes[x] for x in char.encode()] if self.bytes else [self.unk]
 
     def _extend_bpe(self, w: str, keep: int, start: list[int], state: list[int]) -> None:
         """The one allowed last piece of each further prefix; the longest fits
@@ -195,20 +208,13 @@ class Model:
             state.append(best)
 
     def to_ids(self, pieces: list[str]) -> bytes:
-        out: list[int] = []
-        for p in pieces:
-            i = self.ids.get(p)
-            if i is not None:
-                out.append(i)
-            elif self.bytes:
-                out += [self.bytes[x] for x in p.encode()]
-            else:
-                out.append(self.unk)
-        return array("i", out).tobytes() if sys.byteorder == "little" else np.array(out, "<i4").tobytes()
+        return _int32([i for p in pieces for i in ([self.ids[p]] if p in self.ids else self._unknown(p))])
 
     def cuts(self, word: str) -> list[str]:
         """A marked word cut where no piece can reach across: at line ends, and
         between a letter and a closing sign."""
+        if word[-1] not in self.tails and "\n" not in word:
+            return [MARK + word]
         out = []
         for i, part in enumerate((MARK + word).split("\n") if self.lines else [MARK + word]):
             if i:
@@ -224,7 +230,7 @@ class Model:
         the word precede those of runs, so the word's own mark leaves the run
         unless the word left it alone."""
         if not word:
-            return self.to_ids(self.merge(MARK * marks) if self.bpe else next(self.segment([MARK * marks])))
+            return self.to_ids(self.merge(MARK * marks)) if self.bpe else next(self.segment([MARK * marks]))
         own = self.words.young[word]
         lone = np.array([self.ids[MARK]], "<i4").tobytes()
         if own.startswith(lone):
@@ -239,11 +245,11 @@ class Model:
         marked = self.words.missing({c[1:] for _, cuts in new for c in cuts if c[0] == MARK})
         plain = self.bare.missing({c for _, cuts in new for c in cuts if c[0] != MARK})
         need = sorted([MARK + w for w in marked] + plain)
-        for s, pieces in zip(need, self.segment(need)):
+        for s, ids in zip(need, self.segment(need)):
             if s[0] == MARK:
-                words[s[1:]] = self.to_ids(pieces)
+                words[s[1:]] = ids
             else:
-                bare[s] = self.to_ids(pieces)
+                bare[s] = ids
         for w, cuts in new:
             if len(cuts) > 1:
                 words[w] = b"".join([words[c[1:]] if c[0] == MARK else bare[c] for c in cuts])
@@ -282,9 +288,8 @@ class Model:
         return b"".join(got) + (self.unit(marks, "") if marks else b"")
 
     def forget(self) -> None:
-        """Drop what was remembered of a task's words."""
+        """Drop the words of a task (the pairs of pieces stay)."""
         self.words, self.bare = Remembered(REMEMBER), Remembered(REMEMBER // 4)
-        self.pairs.clear()
 
     def decode(self, ids: bytes) -> str:
         """Text of ids: pieces joined, marks as spaces, without the leading one."""
