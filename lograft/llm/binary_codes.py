@@ -42,11 +42,42 @@ def sample_matrix(rows: DataFrame, n: int = SAMPLE) -> np.ndarray:
     return matrix(got.column("v").combine_chunks()) if got.num_rows else np.zeros((0, 1))
 
 
+def leaders(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Of unit vectors those that are not within `cosine` of an earlier one kept."""
+    kept = np.empty((0, x.shape[1]))
+    for s in range(0, len(x), 256):
+        b = x[s:s + 256]
+        b = b[~(b @ kept.T >= cosine).any(axis=1)] if len(kept) else b
+        near, mine = b @ b.T >= cosine, []
+        for i in range(len(b)):
+            if not near[i, mine].any():
+                mine.append(i)
+        kept = np.concatenate([kept, b[mine]])
+    return kept
+
+
+def quiet_cuts(lead: np.ndarray, every: np.ndarray, width: float) -> np.ndarray:
+    """A cut per column near the median of `lead`, moved to where fewest of
+    `every` are within `width` if that halves their number."""
+    n = len(lead)
+    out, reach = np.median(lead, axis=0), min(0.5, 0.1 + 1 / np.sqrt(n))
+    low = np.quantile(lead, 0.5 - reach, axis=0) - 4 * width / n
+    high = np.quantile(lead, 0.5 + reach, axis=0) + 4 * width / n
+    for j, col in enumerate(np.sort(every, axis=0).T):
+        at = np.r_[out[j], np.linspace(low[j], high[j], 65)]
+        dense = np.searchsorted(col, at + width) - np.searchsorted(col, at - width)
+        best = np.lexsort((abs(at - out[j]), dense))[0]
+        if 2 * dense[best] <= dense[0]:
+            out[j] = at[best]
+    return out
+
+
 class Codes:
     """`words` * 64 bits a vector. Each learned rotation of the leading principal
-    directions gives at most 64 balanced bits; several are stacked."""
+    directions gives at most 64 balanced bits; several are stacked. With `every`
+    the cuts keep clear of where those rows crowd (see quiet_cuts)."""
 
-    def __init__(self, x: np.ndarray, words: int = 1, rounds: int = ROUNDS, seed: int = SEED):
+    def __init__(self, x: np.ndarray, words: int = 1, rounds: int = ROUNDS, seed: int = SEED, every: np.ndarray | None = None, width: float = 0.0):
         rng = np.random.default_rng(seed)
         self.words = words
         self.mean = x.mean(axis=0)
@@ -64,7 +95,10 @@ class Codes:
                 r = wt.T @ u.T
             cols.append(p @ r)
         self.project = np.concatenate(cols, axis=1)[:, :64 * words]
-        self.cut = np.median(c @ self.project, axis=0)     # balanced bits
+        if every is None:
+            self.cut = np.median(c @ self.project, axis=0)     # balanced bits
+        else:
+            self.cut = quiet_cuts(c @ self.project, (every - self.mean) @ self.project, width)
 
     def encode(self, x: np.ndarray) -> np.ndarray:
         bits = (x - self.mean) @ self.project > self.cut

@@ -1,17 +1,21 @@
 """Embedding near-dedup: ITQ codes, multi-index Hamming tables, exact rerank.
 
 1. Identical vectors of a label collapse to one class with a size.
-2. A rotation learned by iterative quantisation gives each class a balanced
-   64-bit code. Two vectors at cosine 0.98 differ in 4 bits on average; codes
-   within RADIUS bits are retrieved (recall is measured in the tests).
-3. The code is cut into m substrings. Two codes within RADIUS bits have a
+2. Rotations learned by iterative quantisation give each class 64-bit codes.
+   Two vectors at cosine 0.98 differ in 4 bits on average; what is within RADIUS
+   bits in any of the codes is retrieved. A dense group must not set the cuts:
+   rotations are fitted to sample rows of which none is near another, and cuts
+   keep clear of crowds. There are as many codes as the sample's own pairs need
+   (at least 2); if MOST do not find RECALL of them, codes cannot tell these
+   vectors apart and each label is compared pair by pair.
+3. Each code is cut into m substrings. Two codes within RADIUS bits have a
    substring within r = RADIUS // m bits (pigeonhole): each class is indexed
    under its m substrings and probes the keys within r bits. Every layout
    (m, r) retrieves the same pairs; the one with the least estimated work for
    the label sizes at hand is used.
 4. In a table's bucket, candidates within RADIUS bits are reranked by cosine in
-   double precision. A pair counts in its first matching table only, so only
-   link counts per class and a spanning forest leave the task, never pairs.
+   double precision. A pair counts in its first matching table of its first
+   matching code only, so only link counts per class and a spanning forest leave the task, never pairs.
    Buckets over `crowd` classes are dealt into chunks compared pair by pair.
 5. Components by alternating stars.
 """
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .binary_codes import Codes, matrix, sample_matrix, usable
+from .binary_codes import SEED, Codes, leaders, matrix, sample_matrix, usable
 from .common import connected_components, land, parts, table
 
 THRESHOLD = 0.98
@@ -35,6 +39,10 @@ RADIUS = 11
 CROWD = 4096
 LAYOUTS = (12, 6, 4)       # numbers of substrings
 ROW_COST = 400.0           # moving a class once, in code comparisons
+APART = 0.95               # cosine from which a sample row adds nothing to the fit
+MOST = 6                   # codes of a class
+RECALL = 0.999             # of the sample's pairs that the codes must find
+PROBED = 500               # sample rows whose pairs are looked at
 
 
 def substrings(m: int) -> list[tuple[int, int]]:
@@ -57,14 +65,38 @@ def layout(sizes: list[int], radius: int = RADIUS) -> int:
     return min(LAYOUTS, key=work)
 
 
+def fit_codes(x: np.ndarray, threshold: float = THRESHOLD, radius: int = RADIUS) -> tuple[list[Codes], bool]:
+    """Codes fitted to sample rows `x` (unit vectors), and whether they find
+    RECALL of the linked pairs: of the sample's, and of pairs made to be just
+    linked (a sample of a large table may hold no pairs)."""
+    lead, width = leaders(x, APART), np.sqrt(2 * (1 - threshold) / x.shape[1])
+    off = np.random.default_rng(SEED).normal(size=x.shape)
+    off -= (off * x).sum(axis=1, keepdims=True) * x
+    off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-300)
+    made = threshold * x + np.sqrt(1 - threshold * threshold) * off
+    i, j = np.nonzero(x[:PROBED] @ x.T >= threshold)
+    i, j = i[i != j], j[i != j]
+    lost, lost_made, out = np.ones(len(i), bool), np.ones(len(x), bool), []
+    while len(out) < MOST:
+        out.append(Codes(lead, seed=SEED + len(out), every=x, width=width))
+        mine, other = out[-1].encode(x)[:, 0], out[-1].encode(made)[:, 0]
+        lost &= np.bitwise_count(mine[i] ^ mine[j]) > radius
+        lost_made &= np.bitwise_count(mine ^ other) > radius
+        good = lost.sum() <= (1 - RECALL) * len(lost) and lost_made.sum() <= (1 - RECALL) * len(lost_made)
+        if good and len(out) >= 2:
+            return out, True
+    return out, False
+
+
 def _encode(codes):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 x = matrix(b.column("v"))
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                code = codes.value.encode(x)[:, 0].astype(np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code)], [*b.schema.names, "code"])
+                code = np.stack([c.encode(x)[:, 0] for c in codes.value], axis=1).astype(np.uint64).view(np.int64)
+                code = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * code.shape[1], pa.array(code.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*b.columns, code], [*b.schema.names, "code"])
     return run
 
 
@@ -77,6 +109,16 @@ def _first_table(near: np.ndarray, tables: list[tuple[int, int]], r: int, t: int
     return ok
 
 
+def _first(a: np.ndarray, b: np.ndarray, tables: list[tuple[int, int]], r: int, radius: int, t: int) -> np.ndarray:
+    """Of the codes of a x b: is t (tables of the first code, then of the next,
+    ...) the first that holds the pair?"""
+    c, t = divmod(t, len(tables))
+    ok = _first_table(a[:, c, None] ^ b[None, :, c], tables, r, t)
+    for s in range(c):
+        ok &= np.bitwise_count(a[:, s, None] ^ b[None, :, s]) > radius
+    return ok
+
+
 def _links(ca: np.ndarray, xa: np.ndarray, cb: np.ndarray, xb: np.ndarray, radius: int, threshold: float) -> np.ndarray:
     """Candidates by code, verified by cosine: boolean matrix a x b."""
     out = np.bitwise_count(ca[:, None] ^ cb[None, :]) <= radius
@@ -124,9 +166,10 @@ class _Out:
 
 
 def _compare(m: int, radius: int, threshold: float, step: int = 1024):
-    tables, r = substrings(m), radius // m
+    tables, r, radius = _tables(m, radius)
 
     def bucket(out: _Out, t: int, i: int, j: int, kind, chunk, ids, sizes, code, x) -> Iterator[pa.RecordBatch]:
+        own = code[:, t // len(tables)]
         if i != j:      # two chunks of a crowded bucket: only across
             a, b = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
         else:
@@ -134,11 +177,11 @@ def _compare(m: int, radius: int, threshold: float, step: int = 1024):
         full = np.zeros((len(a), len(b)), bool)
         for s in range(0, len(a), step):
             rows = a[s:s + step]
-            link = _links(code[rows], x[rows], code[b], x[b], radius, threshold)
+            link = _links(own[rows], x[rows], own[b], x[b], radius, threshold)
             if i == j:
                 link &= rows[:, None] != b[None, :]
             full[s:s + step] = link
-            counted = link & _first_table(code[rows][:, None] ^ code[b][None, :], tables, r, t) if link.any() else link
+            counted = link & _first(code[rows], code[b], tables, r, radius, t) if link.any() else link
             out.count(ids[rows], sizes[b], counted)
             if i != j:
                 out.count(ids[b], sizes[rows], counted.T)
@@ -155,9 +198,9 @@ def _compare(m: int, radius: int, threshold: float, step: int = 1024):
         probes = np.flatnonzero(kind == 1)
         for s in range(0, len(probes), step):
             p = probes[s:s + step]
-            link = _links(code[p], x[p], code[a], x[a], radius, threshold) & (ids[p][:, None] < ids[a][None, :])
+            link = _links(own[p], x[p], own[a], x[a], radius, threshold) & (ids[p][:, None] < ids[a][None, :])
             if link.any():
-                link &= _first_table(code[p][:, None] ^ code[a][None, :], tables, r, t)
+                link &= _first(code[p], code[a], tables, r, radius, t)
                 out.count(ids[p], sizes[a], link)
                 out.count(ids[a], sizes[p], link.T)
                 q, c = np.nonzero(link)
@@ -168,21 +211,22 @@ def _compare(m: int, radius: int, threshold: float, step: int = 1024):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held, at = _Out(), [], None
-        names = ["label", "t", "key", "i", "j", "kind", "chunk", "id", "size", "code"]
+        names = ["label", "t", "key", "i", "j", "kind", "chunk", "id", "size"]
 
         def close() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            cols = [np.concatenate([h[c] for h in held]) for c in range(len(names) + 1)]
+            cols = [np.concatenate([h[c] for h in held]) for c in range(len(names) + 2)]
             g = {n: cols[k] for k, n in enumerate(names)}
             if len(g["id"]) > 1:
-                yield from bucket(out, int(g["t"][0]), int(g["i"][0]), int(g["j"][0]), g["kind"], g["chunk"], g["id"], g["size"], g["code"].view(np.uint64), cols[-1])
+                yield from bucket(out, int(g["t"][0]), int(g["i"][0]), int(g["j"][0]), g["kind"], g["chunk"], g["id"], g["size"], cols[-2], cols[-1])
             held.clear()
 
         for b in batches:                       # sorted by bucket: one bucket at a time is held
             if not b.num_rows:
                 continue
             cols = [b.column(n).to_numpy(zero_copy_only=False) for n in names]
+            code = b.column("code").flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1)
             x = matrix(b.column("v"))
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             cut = np.zeros(b.num_rows, bool)
@@ -194,29 +238,36 @@ def _compare(m: int, radius: int, threshold: float, step: int = 1024):
                 if key != at:
                     yield from close()
                     at = key
-                held.append([c[lo:hi] for c in cols] + [x[lo:hi]])
+                held.append([c[lo:hi] for c in cols] + [code[lo:hi], x[lo:hi]])
         yield from close()
         yield out.batch()
     return run
 
 
-def class_links(classes: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS, crowd: int = CROWD, m: int | None = None) -> DataFrame:
+def _tables(m: int, radius: int) -> tuple[list[tuple[int, int]], int, int]:
+    """Substrings, bits a substring may differ in, radius; m = 0 is every pair."""
+    return (substrings(m), radius // m, radius) if m else ([(0, 0)], 0, 64)
+
+
+def class_links(classes: DataFrame, codes: int, threshold: float = THRESHOLD, radius: int = RADIUS, crowd: int = CROWD, m: int | None = None) -> DataFrame:
     """Partial results (id, n) - linked sizes - and (a, b) - spanning links - of
-    classes (id long, label long, size long, code long, v)."""
+    classes (id long, label long, size long, code array<long> of `codes`, v).
+    With m = 0 every pair of a label is compared."""
     spark = classes.sparkSession
     if m is None:
         # labels are few; were they many, the largest decide
         sizes = [r["count"] for r in classes.groupBy("label").count().orderBy(F.desc("count")).limit(1000).collect()]
         m = layout(sizes, radius)
-    tables, r = substrings(m), radius // m
+    tables, r, _ = _tables(m, radius)
+    each = [(c * len(tables) + t, F.shiftrightunsigned(F.col("code")[c], first).bitwiseAND((1 << bits) - 1), bits)
+            for c in range(codes if m else 1) for t, (first, bits) in enumerate(tables)]
     keys = []
-    for t, (first, bits) in enumerate(tables):
-        own = F.shiftrightunsigned("code", first).bitwiseAND((1 << bits) - 1)
+    for t, own, bits in each:
         for mask in [0, *flips(bits, r)]:
             keys.append(F.struct(F.lit(t).alias("t"), own.bitwiseXOR(F.lit(mask).cast("long")).alias("key"), F.lit(int(mask > 0)).alias("kind")))
     rows = classes.withColumn("k", F.explode(F.array(*keys))).select("label", "k.t", "k.key", "k.kind", "id", "size", "code", "v")
     on = ["label", "t", "key"]
-    own = F.array(*[F.struct(F.lit(t).alias("t"), F.shiftrightunsigned("code", first).bitwiseAND((1 << bits) - 1).alias("key")) for t, (first, bits) in enumerate(tables)])
+    own = F.array(*[F.struct(F.lit(t).alias("t"), own.alias("key")) for t, own, _ in each])
     full = land(classes.select("label", F.explode(own).alias("k")).select("label", "k.t", "k.key").groupBy(*on).count().filter(F.col("count") > crowd).select(*on, F.ceil(F.col("count") / crowd).cast("int").alias("chunks")), "crowded")
     rows = lookup_join(rows, full, on).withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     rows = rows.withColumn("chunk", F.when(F.col("kind") == 0, F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).otherwise(-1))
@@ -225,7 +276,7 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD, radius: int =
                     " transform(sequence(0, chunks - 1), y -> struct(y as i, y as j)))")
     rows = rows.withColumn("g", F.explode(groups)).select("label", "t", "key", F.col("g.i").alias("i"), F.col("g.j").alias("j"), "kind", "chunk", "id", "size", "code", "v")
     by = ["label", "t", "key", "i", "j"]
-    n = parts(spark, classes.count() * sum(1 + len(flips(b, r)) for _, b in tables), 50_000)
+    n = parts(spark, classes.count() * len(keys), 50_000)
     return rows.repartition(n, *by).sortWithinPartitions(*by).mapInArrow(_compare(m, radius, threshold), "id long, n long, a long, b long")
 
 
@@ -245,10 +296,13 @@ def vector_dedup(vectors: DataFrame, threshold: float = THRESHOLD, radius: int =
     if rows.isEmpty():
         return alone
     x = sample_matrix(rows)
-    codes = spark.sparkContext.broadcast(Codes(x / np.linalg.norm(x, axis=1, keepdims=True)))
+    fitted, enough = fit_codes(x / np.linalg.norm(x, axis=1, keepdims=True), threshold, radius)
+    if m is None and not enough:
+        m = 0
+    codes = spark.sparkContext.broadcast(fitted)
     classes = rows.withColumn("label", F.col("label").cast("long")).groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("size"))
-    classes = land(classes.select("id", "label", "size", "v").mapInArrow(_encode(codes), f"id long, label long, size long, v {classes.schema['v'].dataType.simpleString()}, code long"), "codes")
-    found = land(class_links(classes, threshold, radius, crowd, m), "links")
+    classes = land(classes.select("id", "label", "size", "v").mapInArrow(_encode(codes), f"id long, label long, size long, v {classes.schema['v'].dataType.simpleString()}, code array<long>"), "codes")
+    found = land(class_links(classes, len(fitted), threshold, radius, crowd, m), "links")
     counts = found.filter("id is not null").groupBy("id").agg(F.sum("n").alias("n"))
     comps = connected_components(found.filter("a is not null").select("a", "b"))
     result = classes.join(counts, "id", "left").join(comps, classes["id"] == comps["node"], "left") \

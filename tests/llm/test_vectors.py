@@ -54,6 +54,22 @@ def test_dedup_matches_brute_force(spark, m, crowd):
     assert [(by[i].n_links, by[i].component_id) for i in (9000, 9020, 9040, 9060, 9080, 9100, 9200)] == [(0, i) for i in (9000, 9020, 9040, 9060, 9080, 9100, 9200)]
 
 
+@pytest.mark.parametrize("groups,mean", [([0.25] * 3, 1.0), ([1 / 3] * 3, 0.0), ([0.5], 0.0), ([0.25] * 3, 3.0)])
+def test_links_of_hot_groups_are_found(spark, groups, mean):
+    """Near copies that dominate, also around a common mean direction."""
+    r = np.random.default_rng(4)
+    x, at = r.normal(size=(900, 64)), 0
+    for g in groups:
+        n = int(900 * g)
+        x[at:at + n] = x[at] + r.normal(size=(n, 64)) * 0.11
+        at += n
+    x = ((x + mean * r.normal(size=64))[r.permutation(900)]).astype(np.float32)
+    links, comp = brute_links(x, np.zeros(900, int))
+    got = {r.vec_id: r for r in V.vector_dedup(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")).collect()}
+    assert sum(got[i].n_links for i in range(900)) >= 0.999 * links.sum() and all(got[i].n_links <= links[i] for i in range(900))
+    assert np.mean([got[i].component_id == comp[i] for i in range(900)]) >= 0.999
+
+
 def test_every_pair_within_the_radius_is_retrieved():
     """Pigeonhole: within RADIUS bits some substring is within RADIUS // m."""
     r = np.random.default_rng(1)
