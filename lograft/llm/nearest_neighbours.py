@@ -10,8 +10,10 @@ reranks them by inner product in double precision on the original vectors.
 
 Queries meet every block (a stated query set against all rows, in blocks): a
 task holds one block and streams queries past it. Per query and block only the
-best `k` leave the task. Inner products become angles by one more component
-that lifts all vectors to the largest norm.
+best `k` leave the task. Codes are of directions; the rows of a block have norms
+within a factor of NORM_STEP of each other, so that in a block the order by
+angle is nearly that by inner product. Neither blocks nor balls depend on the
+cluster, and the same share of every block is reranked.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ from .binary_codes import Codes, matrix, sample_matrix, usable
 from .common import land, table
 
 CODE_WORDS = 4           # 256 bits
-BLOCK = 16_384           # rows indexed by one task at a time
+BLOCK = 8_192            # most rows indexed by one task at a time
 LEAST = 128              # codes that a ball must hold in each block
-SHARE = 64               # and one in so many of the block's rows
+SHARE = 16               # and one in so many of the block's rows
+NORM_STEP = 1.1
+NORM_CLASSES = 64        # the last takes all smaller norms
 QUERIES = 32             # queries probed together
 
 
@@ -65,16 +69,14 @@ class Index:
             yield np.flatnonzero(row <= radius)
 
 
-def _search(codes_b, k: int, lift: float):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, index, held, at = codes_b.value, None, [], None
+def _directions(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-        def lifted(x: np.ndarray, data: bool) -> np.ndarray:
-            norm = np.linalg.norm(x, axis=1, keepdims=True)
-            if not data:
-                return np.hstack([x / norm, np.zeros_like(norm)])
-            return np.hstack([x, np.sqrt(np.maximum(0.0, lift * lift - norm * norm))]) / lift
 
+def _search(codes_b, k: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, index, held, at = codes_b.value, None, [], None
         for b in batches:
             if not b.num_rows:
                 continue
@@ -91,10 +93,10 @@ def _search(codes_b, k: int, lift: float):
                     if not held:
                         continue
                     rows, own = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-                    index, held = Index(rows, own, codes.encode(lifted(own, True))), [(None, None)]
+                    index, held = Index(rows, own, codes.encode(_directions(own))), [(None, None)]
                 for s in range(lo, hi, QUERIES):
                     e = min(hi, s + QUERIES)
-                    yield _answers(index, ids[s:e], x[s:e], codes.encode(lifted(x[s:e], False)), k)
+                    yield _answers(index, ids[s:e], x[s:e], codes.encode(_directions(x[s:e])), k)
     return run
 
 
@@ -121,19 +123,27 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, block: int = BLOCK
     spark = vectors.sparkSession
     rows = land(usable(vectors), "vectors")
     schema = "query_id long, vec_id long, score double"
-    n, lift = rows.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)))).first()
-    if not n:
+    # scaled by the largest component first: squares of finite doubles may overflow
+    most = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    size = F.log(most) + 0.5 * F.log(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x.cast("double") / most) * (x.cast("double") / most)))
+    rows = land(rows.withColumn("size", size), "norms")
+    top = rows.agg(F.max("size")).first()[0]
+    if top is None:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
-    sample = sample_matrix(rows)
-    norm = np.linalg.norm(sample, axis=1, keepdims=True)
-    sample = np.hstack([sample, np.sqrt(np.maximum(0.0, lift * lift - norm * norm))]) / lift
-    codes = spark.sparkContext.broadcast(Codes(sample, CODE_WORDS))
-    blocks = max(1, -(-n // block), min(2 * spark.sparkContext.defaultParallelism, n // 2048))
-    data = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
+    codes = spark.sparkContext.broadcast(Codes(_directions(sample_matrix(rows)), CODE_WORDS))
+    rows = rows.withColumn("norm", F.least(F.lit(NORM_CLASSES - 1), F.floor((F.lit(top) - F.col("size")) / float(np.log(NORM_STEP)) + 1e-6)).cast("int"))
+    dealt_to, blocks = [], 0       # by norm class: first block, number of blocks
+    sizes = {r["norm"]: r["count"] for r in rows.groupBy("norm").count().collect()}      # at most NORM_CLASSES
+    for c in range(NORM_CLASSES):
+        own = -(-sizes.get(c, 0) // block)
+        dealt_to.append(F.struct(F.lit(blocks).alias("first"), F.lit(max(1, own)).alias("own")))
+        blocks += own
+    to = F.array(*dealt_to)[F.col("norm")]
+    data = rows.select((to["first"] + F.pmod(F.xxhash64("vec_id"), to["own"])).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
     queries = rows.filter(F.col("vec_id") % every == 0) \
         .select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
     dealt = data.unionByName(queries).repartitionById(blocks, "block").sortWithinPartitions("block", "kind")
-    found = dealt.mapInArrow(_search(codes, k, float(lift)), schema)
+    found = dealt.mapInArrow(_search(codes, k), schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

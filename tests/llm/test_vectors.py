@@ -105,6 +105,23 @@ def test_nearest_recall_and_scores(spark):
     assert hit / (20 * len(got)) >= 0.95
 
 
+@pytest.mark.parametrize("n", [3000, 12000])
+def test_nearest_recall_with_skewed_norms(spark, n):
+    """Lognormal norms, random directions; the share reranked does not shrink."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(n, 64)) / 8 * np.exp(r.normal(size=(n, 1)))
+    every = n // 100
+    got = {}
+    for q in N.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4), every=every).collect():
+        got.setdefault(q.query_id, set()).add(q.vec_id)
+    hit = 0
+    for q, ids in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(ids & set(np.argsort(-s)[:20].tolist()))
+    assert len(got) == 100 and hit / 2000 >= 0.98
+
+
 def test_nearest_small_and_empty(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 42)], "vec_id long, embedding array<double>")
     got = N.nearest(df).orderBy("query_id", "rank").collect()
