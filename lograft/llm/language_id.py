@@ -14,7 +14,8 @@ labels) and that towards the whole corpus, with the row's own part taken out.
 Missing evidence says nothing. An extra class `und` explains bytes evenly, so
 texts of no known language, or without letters, are rejected.
 
-The trigram tables are fitted on at most TRAIN_ROWS labelled rows.
+The trigram tables are fitted on at most TRAIN_ROWS labelled rows a language,
+so that a rare language has its table however large the corpus is.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .common import byte_rows, hash_sample, land, lean, pick_rows, row_key, spread, table
+from .common import byte_rows, land, lean, pick_rows, row_key, spread, table
 
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 8_000       # of each language
 SLOTS = 1 << 16
 TEMPER = 0.2
 SHRINK = 20.0            # rows that a parent level weighs
@@ -98,14 +99,27 @@ class TextModel:
         return out
 
 
+def _sample(rows: DataFrame, n: int) -> DataFrame:
+    """(id, lang) of at most `n` ids a language, those with the smallest hash."""
+    counts = {r["lang"]: r["count"] for r in rows.filter("id is not null").groupBy("lang").count().collect()}
+    own = rows.filter("id is not null").select("id", "lang", F.xxhash64("id").alias("h"))
+    # twice as many as needed by hash alone, so that little is ranked
+    large = {lang: int(-2.0**63 + 2.0**64 * 2 * n / c) for lang, c in counts.items() if c > 4 * n + 1000}
+    if large:
+        upto = F.create_map(*[F.lit(x) for item in large.items() for x in item])
+        own = own.filter(F.col("h") <= F.coalesce(upto[F.col("lang")], F.lit(2**63 - 1)))
+    order = Window.partitionBy("lang").orderBy("h", "id")
+    return own.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select("id", "lang", F.lit(True).alias("chosen"))
+
+
 def fit_text_model(docs: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Trigram tables from a bounded sample of labelled rows. Languages are the
+    """Trigram tables from a bounded sample of each language's labelled rows. Languages are the
     primary subtags of the labels; rows without label or text take no part."""
     code = F.lower(F.regexp_extract(F.col(f"`{lang_col}`"), r"^\s*([A-Za-z]{2,8})", 1))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), code.alias("lang"), F.col(f"`{text_col}`").cast("binary").alias("body")) \
         .filter(f"lang != '' and lang != '{UND}' and body is not null")
-    some = hash_sample(rows, "id", train_rows)
-    got = rows.join(F.broadcast(some), "id").select("lang", "body").mapInArrow(_counts, "lang string, slot int, n long") \
+    some = land(_sample(rows, train_rows), "chosen")
+    got = lookup_join(rows, some, ["id", "lang"]).filter("chosen").select("lang", "body").mapInArrow(_counts, "lang string, slot int, n long") \
         .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()      # at most SLOTS rows a language
     langs = sorted(set(got["lang"]))
     out = np.full((SLOTS, len(langs) + 1), -np.log(SLOTS), np.float32)

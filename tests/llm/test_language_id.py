@@ -31,6 +31,19 @@ def test_scores_match_plain_sum():
         assert got == pytest.approx(t[slots].astype(float).sum(axis=0), rel=1e-4, abs=1e-3)
 
 
+def test_rare_language_has_a_table(spark):
+    """20 labelled rows among 3,000 are learned from, however small the sample."""
+    r = random.Random(2)
+    rows = [(i, text(r, "en", 20), "en") for i in range(3000)] + [(i, text(r, "es", 20), "es") for i in range(3000, 3020)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit_text_model(df, 40)
+    assert model.langs == ["en", "es", "und"]
+    fresh = [text(r, "es", 20).encode() for _ in range(20)]
+    assert (model.scores(fresh).argmax(axis=1) == 1).all()
+    kept = L._sample(df.selectExpr("doc_id as id", "lang"), 40).groupBy("lang").count().collect()
+    assert {x["lang"]: x["count"] for x in kept} == {"en": 40, "es": 20}
+
+
 def test_documents(spark):
     rows = corpus()
     odd = [(900, None, "en", "src0"), (901, "", "en", None), (902, "123 !!", None, "src1"), (903, "漢字仮名交じり文の文章です" * 8, None, "src1"), (None, text(random.Random(3), "es", 30), "es", "src2"), (3, rows[3][1], rows[3][2], "src3")]
