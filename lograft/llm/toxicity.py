@@ -5,7 +5,8 @@ Folding lower-cases, drops marks and zero-width characters, maps homoglyphs
 each, and turns everything else into spaces. Look-alikes of l (i, 1, !, |)
 share one class.
 
-The lexicon is learned from labelled rows: word beginnings whose documents are
+The lexicon is learned from labelled rows: word beginnings, and whole words of
+under MIN_LEN letters, whose documents are
 toxic far more often than not, weighted by their log odds. Exception phrases
 are learned too: a longer word or a word pair that holds an entry but is not
 itself evidence cancels it. The score of a text is its summed weight divided by
@@ -13,7 +14,7 @@ the root of its length in words, scaled so that the cut that separates the
 labelled rows best is 0.5.
 
 Labels are learned from at most TRAIN_ROWS labelled rows (smallest hash of the
-id first) outside the held-out fold; near copies among them (equal sketch)
+id first) outside the held-out fold, up to half of them for the rarer label; near copies among them (equal sketch)
 count once, so words of a much-copied text are not mistaken for evidence.
 Scoring is map-only: one pass over whole texts.
 """
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import byte_rows, land, spread, table
 
 TRAIN_ROWS = 20_000
-MIN_DOCS = 8          # toxic documents that must hold an entry
+MIN_DOCS = 8          # toxic documents that must hold an entry: a quarter of them, 2 to MIN_DOCS
 MIN_WEIGHT = 2.5      # log odds of an entry
 MIN_LEN, MAX_LEN = 4, 16
 MAX_ENTRIES = 5_000
@@ -80,12 +81,22 @@ def _sketch(text: str) -> int:
     return min((xxhash.xxh3_64_intdigest(" ".join(w[i:i + 5])) for i in range(max(1, len(w) - 4))), default=0) >> 1
 
 
+def support(n_pos: int) -> int:
+    """Toxic documents that must hold an entry, of `n_pos` learned from."""
+    return max(2, min(MIN_DOCS, -(-n_pos // 4)))
+
+
+def _heads(word: str) -> list[str]:
+    """Beginnings of a word; a short word is whole, with the space behind it."""
+    return [word[:n] for n in range(MIN_LEN, min(len(word), MAX_LEN) + 1)] if len(word) >= MIN_LEN else [word + " "]
+
+
 def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per beginning of their words, by label, counted per slice."""
     for b, bodies in byte_rows(batches, "body", 16 << 20):
         hits: tuple[Counter, Counter] = (Counter(), Counter())
         for body, toxic in zip(bodies, b.column("toxic").to_pylist()):
-            heads = {w[:n] for w in set(fold(body.decode()).split()) for n in range(MIN_LEN, min(len(w), MAX_LEN) + 1)}
+            heads = {h for w in set(fold(body.decode()).split()) for h in _heads(w)}
             hits[toxic].update(heads)
         heads = list(hits[0].keys() | hits[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array([hits[1][h] for h in heads], pa.int64()), pa.array([hits[0][h] for h in heads], pa.int64())], ["head", "pos", "neg"])
@@ -148,7 +159,7 @@ def choose_entries(rows: list[tuple[str, int, int]], n_pos: int, n_neg: int) ->
     """From (head, toxic, clean documents): heads with enough weight; of nested
     heads the shortest, lengthened while one longer head holds nearly as many."""
     good = {h: (p, log((p + 0.5) / (n_pos + 1)) - log((n + 0.5) / (n_neg + 1))) for h, p, n in rows}
-    good = {h: x for h, x in good.items() if x[0] >= MIN_DOCS and x[1] >= MIN_WEIGHT}
+    good = {h: x for h, x in good.items() if x[0] >= support(n_pos) and x[1] >= MIN_WEIGHT}
     best: dict[str, str] = {}      # longer heads by their parent
     for h in good:
         if len(h) > MIN_LEN and (h[:-1] not in best or good[h][0] > good[best[h[:-1]]][0]):
@@ -188,8 +199,9 @@ def _densities(lex):
     return run
 
 
-def best_cut(d: np.ndarray, toxic: np.ndarray) -> float:
-    """The cut with the best F1; halfway between neighbouring values (on a
+def best_cut(d: np.ndarray, toxic: np.ndarray, weights: tuple[float, float] = (1.0, 1.0)) -> float:
+    """The cut with the best F1, a clean and a toxic row standing for as many as
+    `weights` says; halfway between neighbouring values (on a
     ratio scale), the lowest on ties."""
     v = np.unique(d)
     if not toxic.any() or v[-1] <= 0:
@@ -198,20 +210,32 @@ def best_cut(d: np.ndarray, toxic: np.ndarray) -> float:
     o = np.sort(d[toxic == 1])
     c = np.sort(d[toxic == 0])
     tp, fp = len(o) - np.searchsorted(o, cuts), len(c) - np.searchsorted(c, cuts)
-    return float(cuts[np.argmax(2 * tp / np.maximum(1, tp + fp + len(o)))])
+    tp, fp, pos = tp * weights[1], fp * weights[0], len(o) * weights[1]
+    return float(cuts[np.argmax(2 * tp / np.maximum(1, tp + fp + pos))])
 
 
 def held_out(col) -> F.Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def shares(clean: int, toxic: int, n: int) -> tuple[int, int]:
+    """How many clean and toxic of the labelled rows make a sample of `n`: half
+    each, and what one label does not fill goes to the other."""
+    t = min(toxic, max(n // 2, n - clean))
+    return min(clean, n - t), t
+
+
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Lexicon:
     """Learn a lexicon; the driver only gets entries and a bounded sample's
     scores. No usable label gives an empty lexicon (all scores 0)."""
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")) \
         .filter("id is not null and toxic in (0, 1)").filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    some = known.orderBy(F.xxhash64("id"), "id").limit(train_rows)     # bounds what is broadcast
+    known = land(known, "known")
+    have = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    take = shares(have.get(0, 0), have.get(1, 0), train_rows)
+    some = known.filter("toxic = 0").orderBy(F.xxhash64("id"), "id").limit(take[0]) \
+        .unionByName(known.filter("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(take[1]))     # bounds what is broadcast
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("body")).filter("body is not null")
     train = texts.join(F.broadcast(some), "id").select("id", "toxic", "body") \
         .mapInArrow(_sketches, "id long, toxic int, sketch long, body binary")
@@ -222,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> L
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
     weight = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
     heads = train.mapInArrow(_vocabulary, "head string, pos long, neg long").groupBy("head").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")) \
-        .filter((F.col("pos") >= MIN_DOCS) & (weight >= MIN_WEIGHT)).orderBy(F.desc("pos"), "head").limit(20 * MAX_ENTRIES)
+        .filter((F.col("pos") >= support(n_pos)) & (weight >= MIN_WEIGHT)).orderBy(F.desc("pos"), "head").limit(20 * MAX_ENTRIES)
     entries = choose_entries([tuple(r) for r in heads.collect()], n_pos, n_neg)
     entries = dict(sorted(entries.items(), key=lambda x: -x[1])[:MAX_ENTRIES])
     lex = spark.sparkContext.broadcast(Lexicon(entries, []))
@@ -231,7 +255,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> L
     lex = Lexicon(entries, [r["phrase"] for r in phrases.collect()])
     held = spark.sparkContext.broadcast(lex)
     d = train.select("body", "toxic").mapInArrow(_densities(held), "d double, toxic int").toPandas()   # at most train_rows
-    lex.scale = best_cut(d["d"].to_numpy(), d["toxic"].to_numpy()) if len(d) else 1.0
+    lex.scale = best_cut(d["d"].to_numpy(), d["toxic"].to_numpy(), tuple(have.get(i, 0) / max(1, take[i]) for i in (0, 1))) if len(d) else 1.0
     return lex
 
 

@@ -59,3 +59,16 @@ def test_empty(spark):
     lab = spark.createDataFrame([], "doc_id long, toxic int")
     lex = T.learn(docs, lab)
     assert lex.entries == {} and T.score_texts(docs, lex).count() == 0
+
+
+def test_few_toxic_documents_short_words_and_rare_labels(spark):
+    """Ten toxic documents, each word in four of them, one of three letters; the
+    sample holds every toxic row among many clean ones."""
+    assert T.support(10) == 3 and T.support(1000) == T.MIN_DOCS and T.shares(1000, 10, 100) == (90, 10) and T.shares(10, 1000, 100) == (10, 90)
+    toxic = [f"{'zug' if i < 4 else 'vorbel'} filler{i} plain words number{i}" for i in range(10)]
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % T.FOLDS]
+    rows = [(k, toxic[n] if n < 10 else f"filler{k} plain words number{k}", int(n < 10)) for n, k in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lex = T.learn(df, df.select("doc_id", "toxic"), 200)
+    assert "zug " in lex.entries and lex.score("the zug here") >= 0.5 and lex.score("the vorbel here") >= 0.5
+    assert lex.score("the zugar here") == 0 and lex.score("plain words here") == 0
