@@ -6,6 +6,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,8 +18,8 @@ from ..operators.joins import lookup_join
 from ..sinks.files import drop, land
 
 __all__ = ["drop", "land", "lean", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
-           "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows", "hash_sample",
-           "Remembered", "SPACE"]
+           "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows",
+           "Remembered", "SPACE", "byte_slices"]
 
 # ASCII white space as the contracts write it: [\x20\x09-\x0D]
 SPACE = r"\x20\x09-\x0D"
@@ -107,8 +108,14 @@ def column_arrays(batches: Iterable[pa.RecordBatch], names: list[str]) -> dict[s
 
 
 def byte_rows(batches: Iterable[pa.RecordBatch], body: str, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of batches with at most about `limit` bytes of the binary column
-    (one row at least), each with that column as a list of bytes."""
+    """The slices of :func:`byte_slices`, each with its `body` as a list of bytes."""
+    for s in byte_slices(batches, body, limit):
+        yield s, s.column(body).to_pylist()
+
+
+def byte_slices(batches: Iterable[pa.RecordBatch], body: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with at most about `limit` bytes of the text or binary
+    column `body` (one row at least)."""
     for b in batches:
         if not b.num_rows:
             continue
@@ -117,8 +124,7 @@ def byte_rows(batches: Iterable[pa.RecordBatch], body: str, limit: int = 4 << 20
         group = np.cumsum(sizes) // limit
         cut = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), b.num_rows]
         for lo, hi in zip(cut, cut[1:]):
-            s = b.slice(lo, hi - lo)
-            yield s, s.column(body).to_pylist()
+            yield b.slice(lo, hi - lo)
 
 
 def membership(df: DataFrame, col: str) -> tuple[int, np.ndarray]:
@@ -169,24 +175,24 @@ def pick_rows(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataF
     return lookup_join(tagged, k, on, how).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
-    """At most `n` distinct ids, those with the smallest hash (a bounded sample
-    that reruns repeat)."""
-    ids = df.select(F.col(f"`{id_col}`").cast("long").alias("id")).filter("id is not null").distinct()
-    return ids.orderBy(F.xxhash64("id"), "id").limit(n)
-
-
 class Remembered:
-    """Results by key that a worker keeps between batches, bounded: keys in use
-    move to the young generation, the old one goes when the young is full."""
+    """Results by key (text to bytes) that a task keeps between batches, within
+    about `limit` bytes beside what the current batch adds: keys in use move to
+    the young generation, the old one goes when the young has half of that."""
+
+    ENTRY = 200     # bytes of two objects' heads and a place in a dict
 
     def __init__(self, limit: int):
         self.limit, self.young, self.old = limit, {}, {}
+        self.size = self.counted = 0
 
     def turn(self) -> dict:
         """Start a batch; returns the young generation."""
-        if len(self.young) > self.limit // 2:
-            self.old, self.young = self.young, {}
+        for k, v in itertools.islice(self.young.items(), self.counted, None):
+            self.size += len(k) + len(v) + self.ENTRY
+        self.counted = len(self.young)
+        if self.size > self.limit // 2:
+            self.old, self.young, self.size, self.counted = self.young, {}, 0, 0
         return self.young
 
     def missing(self, keys) -> list:

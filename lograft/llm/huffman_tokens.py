@@ -24,49 +24,46 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import Remembered, byte_rows, land, ordered_keys, parts, spread, table
+from .common import Remembered, byte_rows, byte_slices, land, ordered_keys, parts, spread, table
 from .shared_files import committed, read_bytes
+from .word_chunks import PLAIN_LETTERS, chunk_ids, load
 
 MAGIC = b"HUFFTOK1"
 MAX_LEN = 18
 BLOCK = 1 << 16
 CHECKPOINT = 256
 FILE_TOKENS = 8_000_000
-CACHE = 1_000_000   # white-space chunks whose ids a worker remembers
+CACHE = 96 << 20    # bytes of white-space chunks and their ids that a worker remembers
 SLICE = 8 << 20     # bytes of text encoded together
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
 SEPARATOR = "\x01"  # a sign of one id; chunks that hold it are encoded alone
-TAILS = frozenset(".,;:!?")
 
 
 class ChunkEncoder:
-    """Ids of texts through the ids of their white-space chunks. The tokenizer
-    drops white space and never merges across it, so a text's ids are those of
-    its chunks in a row; chunks are remembered."""
+    """Ids of texts through the ids of their white-space chunks, as the library
+    gives them. The tokenizer drops white space and never merges across it, so a
+    text's ids are those of its chunks in a row; chunks are remembered."""
 
     def __init__(self, path: str, limit: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.chunks = Tokenizer.from_file(path), Remembered(limit)
+        spec, self.tokenizer = load(path)
+        self.chunks = Remembered(limit)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
         sep = self._ids(SEPARATOR)
-        self.sep = sep[0] if len(sep) == 1 else None
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = None
-        if suffix and self.sep is not None:
-            vocab = self.tokenizer.get_vocab()
-            self.ends = np.zeros(max(vocab.values()) + 1, bool)
-            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        if len(sep) != 1:
+            raise ValueError("the separator needs an id of its own")
+        self.sep = sep[0]
+        vocab, suffix = self.tokenizer.get_vocab(), spec["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -75,21 +72,20 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _encode(self, chunks: list[str]) -> None:
-        """Encode many chunks in few calls. Runs of letters are one word to the
+        """Encode many chunks in few calls. Plain letters are one word to the
         tokenizer, so their ids are cut after each id that ends a word. Others
         are joined by a separator that has an id of its own."""
         alone, plain, mixed = [], [], []
         for c in chunks:
-            (plain if c.isalpha() and self.ends is not None else alone if self.sep is None or SEPARATOR in c or len(c) > 1000 else mixed).append(c)
+            (plain if PLAIN_LETTERS.fullmatch(c) else alone if SEPARATOR in c or len(c) > 1000 else mixed).append(c)
         for x in range(0, len(plain), 10_000):
             group = plain[x:x + 10_000]
             ids = self._many(" ".join(group))
             cut = (np.flatnonzero(self.ends[ids]) + 1) * self.width
-            if len(cut) == len(group):
-                raw = ids.tobytes()
-                self.chunks.young.update(zip(group, [raw[i:j] for i, j in zip([0, *cut[:-1].tolist()], cut.tolist())]))
-            else:                   # a letter whose lower case is more than a letter
-                mixed += group
+            if len(cut) != len(group):
+                raise ValueError("a run of letters is not one word")
+            raw = ids.tobytes()
+            self.chunks.young.update(zip(group, [raw[i:j] for i, j in zip([0, *cut[:-1].tolist()], cut.tolist())]))
         for x in range(0, len(mixed), 10_000):
             group = mixed[x:x + 10_000]
             ids = self._many(f" {SEPARATOR} ".join(group))
@@ -105,35 +101,13 @@ class ChunkEncoder:
         """Ids of each of the distinct `words`."""
         # lower case changes nothing for plain ASCII, but the special strings
         keys = [w.lower() if w.isascii() and "<|" not in w else w for w in words]
-        young, need, later = self.chunks.turn(), set(), []
-        for c in self.chunks.missing(keys):
-            if c and c[-1] in TAILS and c[:-1].isalpha():
-                later.append(c)          # letters and one sign: two runs to the tokenizer
-                need |= {c[:-1], c[-1]}
-            else:
-                need.add(c)
-        self._encode(self.chunks.missing(need))
-        for c in later:
-            young[c] = young[c[:-1]] + young[c[-1]]
+        young = self.chunks.turn()
+        self._encode(self.chunks.missing(dict.fromkeys(keys)))
         return [young[c] for c in keys]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text). Chunks are
-        found and numbered by Arrow; Python only sees distinct ones."""
-        for sign in ("\n", "\t", "\r"):
-            texts = pc.replace_substring(texts, sign, " ")
-        rows = pc.split_pattern(texts, " ")
-        words = rows.flatten().dictionary_encode()
-        code = words.indices.to_numpy(zero_copy_only=False)
-        held = self._held(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(held), self.kind)
-        size = np.fromiter(map(len, held), np.int64, len(held)) // self.width
-        at = np.cumsum(size) - size
-        n = size[code]
-        end = np.cumsum(n)
-        ids = flat[np.repeat(at[code] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
-        ends = np.r_[0, end][np.cumsum(pc.list_value_length(rows).to_numpy(zero_copy_only=False))]
-        return ids, np.diff(np.r_[0, ends])
+        """(ids of all texts in a row, number of ids of each text)."""
+        return chunk_ids(texts, self._held, self.kind)
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -149,8 +123,8 @@ def _encode(path: str, end_id: int | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         end = b"" if end_id is None else np.array([end_id], e.kind).tobytes()
-        for b, _ in byte_rows(batches, "body", SLICE):
-            ids, n = e.encode(b.column("body").cast(pa.string()))
+        for b in byte_slices(batches, "body", SLICE):
+            ids, n = e.encode(b.column("body"))
             raw, cut = ids.tobytes(), np.r_[0, np.cumsum(n)] * e.width
             rows = [raw[x:y] + end for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
             yield pa.RecordBatch.from_arrays([b.column("k"), b.column("id"), pa.array([len(x) // e.width for x in rows], pa.int64()), pa.array(rows, pa.binary())], ["k", "id", "n", "ids"])
@@ -356,7 +330,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
     order, rows without id come last. An empty table writes no file.
     """
     spark = docs.sparkSession
-    keyed = ordered_keys(docs, id_col, text_col).select("k", "id", F.coalesce("body", F.lit("")).cast("binary").alias("body"))
+    keyed = ordered_keys(docs, id_col, text_col).select("k", "id", F.coalesce(F.col("body").cast("string"), F.lit("")).alias("body"))
     kind = encoder(tokenizer_path).kind
     path = scratch_path(spark, "token-ids")
     spread(keyed).mapInArrow(_encode(tokenizer_path, end_id), "k long, id long, n long, ids binary") \

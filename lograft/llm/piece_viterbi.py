@@ -36,9 +36,9 @@ from .common import Remembered, byte_rows, lean, spread, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-REMEMBER = 200_000     # words that a task remembers; segments without a mark: a quarter
-PAIRS = 300_000        # pairs of pieces that a worker remembers
-SLICE = 4 << 20        # bytes of text encoded together
+REMEMBER = 40 << 20    # bytes of words that a task remembers; segments without a mark: a quarter
+PAIRS = 300_000        # pairs of pieces that a task remembers
+SLICE = 2 << 20        # bytes of text encoded together
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, BPE = 1, 2, 4, 6, 1, 2   # fixed values of the model file format
 
@@ -288,8 +288,8 @@ class Model:
         return b"".join(got) + (self.unit(marks, "") if marks else b"")
 
     def forget(self) -> None:
-        """Drop the words of a task (the pairs of pieces stay)."""
-        self.words, self.bare = Remembered(REMEMBER), Remembered(REMEMBER // 4)
+        """Drop what a task has remembered."""
+        self.words, self.bare, self.pairs = Remembered(REMEMBER), Remembered(REMEMBER // 4), {}
 
     def decode(self, ids: bytes) -> str:
         """Text of ids: pieces joined, marks as spaces, without the leading one."""

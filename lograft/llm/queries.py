@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bpe_backtrack import op12_bpe_backtrack
 from .huffman_tokens import op7_huffman_tokens
 from .language_id import op2_language_id
 from .mixing import OP3_SQL, op3_source_mix
@@ -24,6 +25,7 @@ REGISTRY = {
     "op8_piece_viterbi": op8_piece_viterbi,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_bpe_backtrack": op12_bpe_backtrack,
 }
 
 ORACLES: dict[str, str] = {

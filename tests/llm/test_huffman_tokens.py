@@ -1,4 +1,5 @@
 import heapq
+import random
 import zlib
 
 import numpy as np
@@ -81,3 +82,35 @@ def test_cache_generations():
         text = " ".join(f"word{(i * j) % 17}, x{j % (i + 2)}." for j in range(20))
         assert e.encode(pa.array([text]))[0].tolist() == t.encode(text, add_special_tokens=False).ids
         assert len(e.chunks.young) < 100
+
+
+def same_ids(texts):
+    e, t = H.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    for x in range(0, len(texts), 2000):
+        some = texts[x:x + 2000]
+        ids, n = e.encode(pa.array(some, pa.string()))
+        cut = np.r_[0, np.cumsum(n)]
+        assert [ids[a:b].tolist() for a, b in zip(cut, cut[1:])] == [g.ids for g in t.encode_batch(some, add_special_tokens=False)]
+
+
+def test_letters_that_are_more_than_letters_in_lower_case():
+    """Every letter of the lower planes before signs, controls and letters."""
+    letters = [chr(c) for c in range(0x80, 0x3100) if chr(c).isalpha()]
+    same_ids([f"{c}{s} x{c}{s} {c}" for c in letters for s in (".", "!", "\x01", "́")])
+
+
+def test_ids_equal_the_library_on_random_texts():
+    r = random.Random(8)
+    some = ["a", "The", "İ", "क़", "ড়", "é", "é", "ᄀ", "ᅡ", "Σ", "1", "½", "'s", "'", "<|endoftext|>", "<|", " ", "\n", "　", "\x0b", "\x01", "\x00", ".", "!?", ",", "漢", "😀"]
+    same_ids(["".join(r.choice(some) for _ in range(r.randrange(20))) for _ in range(10_000)])
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        H.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_a_text_longer_than_a_slice(spark):
+    rows = [(2, "short one"), (1, "Straße, İ! " * 1_000_000), (3, None)]
+    assert len(rows[1][1].encode()) > H.SLICE
+    assert run(spark, spark.createDataFrame(rows, "doc_id long, text string")) == expected(rows)
