@@ -18,7 +18,7 @@ from ..operators.joins import lookup_join
 from ..sinks.files import drop, land
 
 __all__ = ["drop", "land", "lean", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
-           "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows",
+           "bitmap", "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows",
            "Remembered", "SPACE", "byte_slices"]
 
 # ASCII white space as the contracts write it: [\x20\x09-\x0D]
@@ -128,15 +128,20 @@ def byte_slices(batches: Iterable[pa.RecordBatch], body: str, limit: int = 4 <<
 
 
 def membership(df: DataFrame, col: str) -> tuple[int, np.ndarray]:
-    """A bitmap of hashed `col` values: (bits, words). Its size follows the
-    number of values up to FILTER_BITS; built by partial aggregation."""
+    """A bitmap of hashed `col` values (longs): (bits, words)."""
+    return bitmap(df, F.xxhash64(F.col(col).cast("long")))
+
+
+def bitmap(df: DataFrame, hashed, limit: int = FILTER_BITS) -> tuple[int, np.ndarray]:
+    """A bitmap of a hash: (bits, words of 32). Its size follows the number of
+    rows up to `limit`; built by partial aggregation."""
     n = max(1, df.count())
-    bits = min(FILTER_BITS, 1 << max(10, (8 * n - 1).bit_length()))
-    slot = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(bits))
+    bits = min(limit, 1 << max(10, (8 * n - 1).bit_length()))
+    slot = F.pmod(hashed, F.lit(bits))
     words = (df.select(slot.alias("s")).groupBy(F.shiftright("s", 5).cast("int").alias("w"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 as int)))").alias("b")).toPandas())
     out = np.zeros(bits // 32, np.uint32)
-    out[words["w"].to_numpy()] = words["b"].to_numpy().astype(np.uint32)
+    out[words["w"].to_numpy(int)] = words["b"].to_numpy(np.int64).astype(np.uint32)
     return bits, out
 
 
