@@ -159,14 +159,14 @@ class BacktrackBpe:
 
     def _cut(self, chunk: str) -> list[str | int]:
         """Words of a chunk in the byte alphabet; special strings as their ids."""
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
+        if chunk.isascii() and chunk.isalpha():     # in lower case already
+            return [chunk]
         if chunk.isalpha():
             word = chunk.translate(self.letters)
             if "\0" not in word:
                 return [word]
         elif PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            return ASCII_WORDS.findall(chunk.lower())
+            return ASCII_WORDS.findall(chunk)
         out: list[str | int] = []
         for part in self.specials.split(chunk):
             if part in self.special:

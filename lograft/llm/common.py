@@ -19,7 +19,7 @@ from ..sinks.files import drop, land
 
 __all__ = ["drop", "land", "lean", "table", "parts", "spread", "keyed_rows", "ordered_keys", "column_arrays", "byte_rows",
            "bitmap", "membership", "may_hold", "keep_members", "connected_components", "row_key", "pick_rows",
-           "Remembered", "SPACE", "byte_slices"]
+           "Remembered", "SPACE", "byte_slices", "spaced"]
 
 # ASCII white space as the contracts write it: [\x20\x09-\x0D]
 SPACE = r"\x20\x09-\x0D"
@@ -127,6 +127,17 @@ def byte_slices(batches: Iterable[pa.RecordBatch], body: str, limit: int = 4 <<
             yield b.slice(lo, hi - lo)
 
 
+def spaced(texts: pa.Array, signs: bytes) -> pa.Array:
+    """Texts (none null) with every one of the ASCII `signs` turned into a space."""
+    n = len(texts)
+    if not n:
+        return texts
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + n + 1]
+    data = texts.buffers()[2]
+    raw = bytes(memoryview(data)[at[0]:at[-1]]) if data is not None else b""
+    return pa.StringArray.from_buffers(n, pa.py_buffer((at - at[0]).tobytes()), pa.py_buffer(raw.translate(bytes.maketrans(signs, b" " * len(signs)))))
+
+
 def membership(df: DataFrame, col: str) -> tuple[int, np.ndarray]:
     """A bitmap of hashed `col` values (longs): (bits, words)."""
     return bitmap(df, F.xxhash64(F.col(col).cast("long")))

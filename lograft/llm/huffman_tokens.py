@@ -99,11 +99,9 @@ class ChunkEncoder:
 
     def _held(self, words: list[str]) -> list[bytes]:
         """Ids of each of the distinct `words`."""
-        # lower case changes nothing for plain ASCII, but the special strings
-        keys = [w.lower() if w.isascii() and "<|" not in w else w for w in words]
         young = self.chunks.turn()
-        self._encode(self.chunks.missing(dict.fromkeys(keys)))
-        return [young[c] for c in keys]
+        self._encode(self.chunks.missing(words))
+        return [young[c] for c in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""

@@ -259,7 +259,7 @@ class Model:
         numbered by Arrow; Python only sees distinct ones."""
         rows = pc.split_pattern(pc.replace_substring(texts, MARK, " "), " ")
         flat = rows.flatten().dictionary_encode()
-        code, distinct = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
+        code, distinct = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         words = self.words.turn()
         self._learn(self.words.missing(w for w in distinct if w))
         held = [words[w] if w else b"" for w in distinct]

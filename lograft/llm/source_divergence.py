@@ -3,16 +3,16 @@
 How far the word use of each source lies from every other source of its
 language, and from the language as a whole.
 
-1. White-space chunks are counted per document; counts of occurrences and of
-   documents are summed per (lang, source, chunk), first within a slice, then
-   within a task, then by key.
+1. White-space chunks are counted per document: how many documents of a
+   language hold each, summed within a slice, within a task, then by key.
 2. Every globally distinct chunk is cut into terms once, and its terms are
-   joined back to the chunk's counts.
-3. A term's documents number at least those of its most frequent chunk and at
-   most the sum over its chunks. Where both bounds lie on one side of the
-   threshold they decide. For the terms between, and only for them, the chunks
-   of each document are gathered once more and distinct (document, term) pairs
-   counted: exact, and far fewer rows than all chunks of all documents.
+   joined back to the chunk's counts. A term's documents number at least those of
+   its most frequent chunk and at most the sum over its chunks.
+3. The documents are read again for the chunks of terms that can reach the
+   threshold (a filter of bounded size first, an exact join then); occurrences
+   are summed per source. Where the bounds of a term leave it open, its chunks
+   come with their document, and distinct documents are counted: exact, and far
+   fewer rows than all chunks of all documents.
 4. Divergence sums over pairs of sources run block by block: sources in blocks
    of BLOCK, terms in buckets of about BUCKET rows. A task holds one block pair
    of one bucket as a matrix and returns one partial sum a pair of sources.
@@ -33,79 +33,106 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .common import bitmap, byte_slices, drop, land, lean, spread, table
+from .common import bitmap, byte_slices, land, lean, spaced, spread, table
 
 MIN_DOCS = 10        # documents of a language a kept term is in
 TOP = 10             # terms reported per source
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SLICE = 2 << 20      # bytes of text whose chunks are counted together
+SPACES = b"\t\n\x0b\x0c\r"
+SLICE = 8 << 20      # bytes of text whose chunks are counted together
 BLOCK = 128          # sources compared in one matrix
 BUCKET = 200_000     # rows of a bucket of terms, about
 TERMS = 2_000        # terms of a matrix
-FILTER_BITS = 1 << 27   # at most, of the filter of chunks looked for a second time (16 MB)
+FILTER_BITS = 1 << 27   # at most, of each filter of chunks (16 MB)
 SEED = 42            # fixed value: seed of Spark's xxhash64
 
 
 def _chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(row, number of the chunk) of every chunk, and the distinct chunks."""
-    for sign in "\t\n\x0b\x0c\r":
-        texts = pc.replace_substring(texts, sign, " ")
-    rows = pc.split_pattern(texts, " ")
+    rows = pc.split_pattern(spaced(texts, SPACES), " ")
     words = rows.flatten().dictionary_encode()
     per = pc.list_value_length(rows).to_numpy(zero_copy_only=False)
     return np.repeat(np.arange(len(texts)), per), words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
 
 
+def _codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of each row's value, and the distinct values."""
+    d = column.dictionary_encode()
+    return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, chunk, n, docs) of each slice; a group without any chunk
-    has the empty one."""
+    """(lang, chunk, docs) of each slice."""
     for b in byte_slices(batches, "text", SLICE):
         row, code, chunks = _chunks(b.column("text"))
-        langs, sources = b.column("lang").dictionary_encode(), b.column("source").dictionary_encode()
-        lang, source = [x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (langs, sources)]
-        group = lang * len(sources.dictionary) + source
-        held, n = np.unique(row * len(chunks) + code, return_counts=True)
-        row, code = np.divmod(held, len(chunks))
-        keys, at = np.unique(group[row] * len(chunks) + code, return_inverse=True)
-        group, code = np.divmod(keys, len(chunks))
-        yield pa.RecordBatch.from_arrays([
-            langs.dictionary.take(pa.array(group // len(sources.dictionary))), sources.dictionary.take(pa.array(group % len(sources.dictionary))),
-            chunks.take(pa.array(code)), pa.array(np.bincount(at, n, len(keys)).astype(np.int64)), pa.array(np.bincount(at, minlength=len(keys)))],
-            ["lang", "source", "chunk", "n", "docs"])
-
-
-def _look(words, bits: int):
-    """(row, lang, chunk) of every document's distinct chunks that may be in the
-    filter (its bits, as words of 32)."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
+        lang, langs = _codes(b.column("lang"))
+        row, code = np.divmod(np.unique(row * len(chunks) + code), len(chunks))
+        keys, docs = np.unique(lang[row] * len(chunks) + code, return_counts=True)
+        lang, code = np.divmod(keys, len(chunks))
+        yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), chunks.take(pa.array(code)), pa.array(docs)], ["lang", "chunk", "docs"])
+
+
+def _slots(chunks: pa.Array) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    return np.fromiter((xxh64_intdigest(c.encode(), SEED) for c in chunks.to_numpy(zero_copy_only=False)), np.uint64, len(chunks))
 
-        held = words.value
+
+def _held(slots: np.ndarray, member: tuple[int, np.ndarray]) -> np.ndarray:
+    bits, words = member
+    s = slots & np.uint64(bits - 1)
+    return ((words[(s >> np.uint64(5)).astype(np.int64)] >> (s & np.uint64(31)).astype(np.uint32)) & 1).astype(bool)
+
+
+def _look(filters):
+    """(row, lang, source, chunk, n) of the chunks that may be in one of two
+    filters: those of the first summed over the slice's documents (row null),
+    those of the second for each document."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "lang", "source", "chunk", "n"]
         for b in byte_slices(batches, "text", SLICE):
             row, code, chunks = _chunks(b.column("text"))
-            slot = np.fromiter((xxh64_intdigest(c.encode(), SEED) for c in chunks.to_pylist()), np.uint64, len(chunks)) & np.uint64(bits - 1)
-            may = ((held[(slot >> np.uint64(5)).astype(np.int64)] >> (slot & np.uint64(31)).astype(np.uint32)) & 1).astype(bool)
-            hit = np.unique((row * len(chunks) + code)[may[code]])
-            row, code = np.divmod(hit, len(chunks))
-            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(row)), b.column("lang").take(pa.array(row)), chunks.take(pa.array(code))], ["row", "lang", "chunk"])
+            (lang, langs), (source, sources) = _codes(b.column("lang")), _codes(b.column("source"))
+            slots = _slots(chunks)
+            sure, open_ = (_held(slots, f) for f in filters.value)
+            group = lang * len(sources) + source
+            some = sure[code] & ~open_[code]
+            keys, n = np.unique(group[row[some]] * len(chunks) + code[some], return_counts=True)
+            at, c = np.divmod(keys, len(chunks))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), langs.take(pa.array(at // len(sources))), sources.take(pa.array(at % len(sources))),
+                                              chunks.take(pa.array(c)), pa.array(n)], names)
+            some = open_[code]
+            keys, n = np.unique(row[some] * len(chunks) + code[some], return_counts=True)
+            at, c = np.divmod(keys, len(chunks))
+            at, c = pa.array(at), pa.array(c)
+            yield pa.RecordBatch.from_arrays([b.column("row").take(at), b.column("lang").take(at), b.column("source").take(at), chunks.take(c), pa.array(n)], names)
     return lean(run)
 
 
-def _kept(docs: DataFrame, counted: DataFrame, terms: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, term) of terms in at least `min_docs` documents of the language."""
-    per = counted.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
-    of = per.join(terms, "chunk").select("lang", "chunk", "docs", F.explode(F.array_distinct("terms")).alias("term"))
-    bounds = land(of.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= min_docs), "term-bounds")
-    sure = bounds.filter(F.col("low") >= min_docs).select("lang", "term")
-    open_ = bounds.filter(F.col("low") < min_docs).select("lang", "term")
-    again = land(lookup_join(of.filter(F.col("docs") < min_docs), open_, ["lang", "term"], "left_semi").select("lang", "chunk", "term"), "open-chunks")
-    bits, words = bitmap(again, F.xxhash64("chunk"), FILTER_BITS)
-    if not words.any():
-        return sure
-    found = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_look(docs.sparkSession.sparkContext.broadcast(words), bits), "row long, lang string, chunk string")
-    pairs = lookup_join(found, again, ["lang", "chunk"], "inner").select("lang", "term", "row").distinct()
-    return sure.unionByName(pairs.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term"))
+def _occurrences(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, source, term, n) of the terms in at least `min_docs` documents of
+    the language."""
+    spark = docs.sparkSession
+    per = docs.select("lang", "text").mapInArrow(lean(_count), "lang string, chunk string, docs long").groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
+    # one row a chunk: a language each in `at`
+    once = per.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("at")) \
+        .withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0)).filter(F.size("terms") > 0)
+    of = land(once.select("chunk", "terms", F.explode("at").alias("at")).select("at.lang", "chunk", "at.docs", "terms"), "chunk-terms")
+    bounds = of.select("lang", "docs", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
+    bounds = land(bounds.filter(F.col("high") >= min_docs).select("lang", "term", (F.col("low") >= min_docs).alias("sure")), "term-bounds")
+    # the chunks of those terms, each term with its number in the chunk
+    wanted = lookup_join(of.select("lang", "chunk", F.explode("terms").alias("term")), bounds, ["lang", "term"], "inner")
+    wanted = land(wanted.groupBy("lang", "chunk", "term", "sure").agg(F.count(F.lit(1)).alias("m")), "wanted-chunks")
+    hashed = F.xxhash64("chunk")
+    filters = spark.sparkContext.broadcast((bitmap(wanted.filter("sure"), hashed, FILTER_BITS), bitmap(wanted.filter("not sure"), hashed, FILTER_BITS)))
+    seen = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_look(filters), "row long, lang string, source string, chunk string, n long")
+    summed = F.sum(F.col("n") * F.col("m")).alias("n")
+    found = land(lookup_join(seen, wanted, ["lang", "chunk"], "inner").groupBy("lang", "source", "term", "sure", F.when(~F.col("sure"), F.col("row")).alias("row")).agg(summed), "term-counts")
+    total = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    kept = found.filter("not sure").select("lang", "term", "row").distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs)
+    sure = bounds.filter("sure").select("lang", "term")
+    return lookup_join(total, sure.unionByName(kept.select("lang", "term")), ["lang", "term"], "left_semi")
 
 
 def _share(n: str, total: str, terms: str) -> F.Column:
@@ -165,21 +192,11 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block:
     """
     spark = docs.sparkSession
     texts = spread(docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]))
-    counted = land(texts.mapInArrow(lean(_count), "lang string, source string, chunk string, n long, docs long")
-                   .groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "chunk-counts")
-    terms = land(counted.select("chunk").distinct().withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0))
-                 .filter(F.size("terms") > 0), "chunk-terms")
-    keep = land(_kept(texts, counted, terms, min_docs), "kept-terms")
-
-    used = counted.join(terms, "chunk").select("lang", "source", "n", F.explode("terms").alias("term")) \
-        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    used = lookup_join(used, keep, ["lang", "term"], "left_semi")
-    used = land(used.withColumn("n_lang", F.sum("n").over(Window.partitionBy("lang", "term"))), "term-counts")
+    used = land(_occurrences(texts, min_docs).withColumn("n_lang", F.sum("n").over(Window.partitionBy("lang", "term"))), "kept-terms")
 
     # one row a language, one a (lang, source)
-    langs = keep.groupBy("lang").agg(F.count(F.lit(1)).alias("v")).join(
-        used.groupBy("lang").agg(F.sum("n").alias("t_lang"), F.count(F.lit(1)).alias("rows")), "lang", "left")
-    groups = counted.select("lang", "source").distinct() \
+    langs = used.groupBy("lang").agg(F.count_distinct("term").alias("v"), F.sum("n").alias("t_lang"), F.count(F.lit(1)).alias("rows"))
+    groups = texts.select("lang", "source").distinct() \
         .join(used.groupBy("lang", "source").agg(F.sum("n").alias("t")), ["lang", "source"], "left") \
         .join(langs, "lang", "left").fillna(0, ["t", "t_lang", "v", "rows"])
     order = Window.partitionBy("lang").orderBy("source")

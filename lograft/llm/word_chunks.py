@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import spaced
+
 # The normaliser's steps and the splitting pattern of the supported
 # tokenizer files. They drop white space, never reach across it, and split
 # letters from signs.
@@ -44,26 +46,33 @@ LETTERS_AND_SIGN = f"^({LETTERS})([.,;:!?])$"
 PLAIN_LETTERS = re.compile(LETTERS)
 
 
-def chunk_ids(texts: pa.Array, held: Callable[[list[str]], list[bytes]], kind: str, signs: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def chunk_ids(texts: pa.Array, held: Callable[[list[str]], list[bytes]], kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, number of ids of each text) for a tokenizer
-    that drops white space, never reaches across it and splits letters from
-    signs. Chunks are found and numbered by Arrow, and a sign after plain letters
-    becomes a chunk of its own; `held` gives the ids of distinct ones, of type
-    `kind`."""
-    for sign in ("\n", "\t", "\r"):
-        texts = pc.replace_substring(texts, sign, " ")
-    rows = pc.split_pattern(texts, " ")
+    that drops white space, never reaches across it, splits letters from signs
+    and takes no heed of case. Arrow finds and numbers chunks, puts ASCII ones in
+    lower case (which could make a special string of "<|...|>") and a sign after
+    plain letters apart; `held` gives the ids of distinct results, of type `kind`."""
+    rows = pc.split_pattern(spaced(texts, b"\n\t\r"), " ")
     words = rows.flatten().dictionary_encode()
+    chunks = words.dictionary
+    plain = pc.and_(pc.string_is_ascii(chunks), pc.invert(pc.match_substring(chunks, "<|")))
+    chunks = pc.if_else(plain, pc.ascii_lower(chunks), chunks)
+    pieces = pc.split_pattern(pc.replace_substring_regex(chunks, LETTERS_AND_SIGN, r"\1 \2"), " ")
+    found = pieces.flatten().dictionary_encode()
+    got = held(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+    flat = np.frombuffer(b"".join(got), kind)
+    size = np.fromiter(map(len, got), np.int64, len(got)) // np.dtype(kind).itemsize
+    return _gather(*_gather(flat, size, found, pieces), words, rows)
+
+
+def _gather(flat: np.ndarray, size: np.ndarray, words: pa.DictionaryArray, rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of `flat`, `size` long each, picked by the number of every word, and
+    how many values the words of each row bring."""
     code = words.indices.to_numpy(zero_copy_only=False)
-    if signs:
-        flat, size = chunk_ids(pc.replace_substring_regex(words.dictionary, LETTERS_AND_SIGN, r"\1 \2"), held, kind, False)
-    else:
-        got = held(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(got), kind)
-        size = np.fromiter(map(len, got), np.int64, len(got)) // np.dtype(kind).itemsize
-    at = np.cumsum(size) - size
     n = size[code]
     end = np.cumsum(n)
-    ids = flat[np.repeat(at[code] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+    small = np.int32 if len(flat) + (end[-1] if len(end) else 0) < 1 << 31 else np.int64
+    at = (np.cumsum(size) - size)[code] - (end - n)
+    out = flat[np.repeat(at.astype(small), n) + np.arange(end[-1] if len(end) else 0, dtype=small)]
     ends = np.r_[0, end][np.cumsum(pc.list_value_length(rows).to_numpy(zero_copy_only=False))]
-    return ids, np.diff(np.r_[0, ends])
+    return out, np.diff(np.r_[0, ends])
