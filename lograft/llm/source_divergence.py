@@ -86,30 +86,34 @@ def _held(slots: np.ndarray, member: tuple[int, np.ndarray]) -> np.ndarray:
 
 
 def _look(filters):
-    """(row, lang, source, chunk, n) of the chunks that may be in one of two
-    filters: those of the first summed over the slice's documents (row null),
-    those of the second for each document."""
+    """(row, lang, chunk, at: source and n of each source) of the chunks that may
+    be in one of two filters: those of the first summed over the slice's documents
+    (row null), those of the second for each document."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "lang", "source", "chunk", "n"]
         for b in byte_slices(batches, "text", SLICE):
             row, code, chunks = _chunks(b.column("text"))
             (lang, langs), (source, sources) = _codes(b.column("lang")), _codes(b.column("source"))
             slots = _slots(chunks)
             sure, open_ = (_held(slots, f) for f in filters.value)
-            group = lang * len(sources) + source
             some = sure[code] & ~open_[code]
-            keys, n = np.unique(group[row[some]] * len(chunks) + code[some], return_counts=True)
-            at, c = np.divmod(keys, len(chunks))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), langs.take(pa.array(at // len(sources))), sources.take(pa.array(at % len(sources))),
-                                              chunks.take(pa.array(c)), pa.array(n)], names)
+            keys, n = np.unique((lang[row[some]] * len(chunks) + code[some]) * len(sources) + source[row[some]], return_counts=True)
+            keys, s = np.divmod(keys, max(1, len(sources)))
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else keys
+            at, c = np.divmod(keys[first], max(1, len(chunks)))
+            yield _hits(pa.nulls(len(first), pa.int64()), langs.take(pa.array(at)), chunks.take(pa.array(c)), np.r_[first, len(keys)], sources.take(pa.array(s)), n)
             some = open_[code]
             keys, n = np.unique(row[some] * len(chunks) + code[some], return_counts=True)
-            at, c = np.divmod(keys, len(chunks))
+            at, c = np.divmod(keys, max(1, len(chunks)))
             at, c = pa.array(at), pa.array(c)
-            yield pa.RecordBatch.from_arrays([b.column("row").take(at), b.column("lang").take(at), b.column("source").take(at), chunks.take(c), pa.array(n)], names)
+            yield _hits(b.column("row").take(at), b.column("lang").take(at), chunks.take(c), np.arange(len(n) + 1), b.column("source").take(at), n)
     return lean(run)
 
 
+def _hits(row: pa.Array, lang: pa.Array, chunk: pa.Array, ends: np.ndarray, source: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    at = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays([source, pa.array(n.astype(np.int64))], ["source", "n"]))
+    return pa.RecordBatch.from_arrays([row, lang, chunk, at], ["row", "lang", "chunk", "at"])
+
+
 def _occurrences(docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, source, term, n) of the terms in at least `min_docs` documents of
     the language."""
@@ -126,18 +130,21 @@ def _occurrences(docs: DataFrame, min_docs: int) -> DataFrame:
     wanted = land(wanted.groupBy("lang", "chunk", "term", "sure").agg(F.count(F.lit(1)).alias("m")), "wanted-chunks")
     hashed = F.xxhash64("chunk")
     filters = spark.sparkContext.broadcast((bitmap(wanted.filter("sure"), hashed, FILTER_BITS), bitmap(wanted.filter("not sure"), hashed, FILTER_BITS)))
-    seen = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_look(filters), "row long, lang string, source string, chunk string, n long")
-    summed = F.sum(F.col("n") * F.col("m")).alias("n")
-    found = land(lookup_join(seen, wanted, ["lang", "chunk"], "inner").groupBy("lang", "source", "term", "sure", F.when(~F.col("sure"), F.col("row")).alias("row")).agg(summed), "term-counts")
-    total = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    seen = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_look(filters), "row long, lang string, chunk string, at array<struct<source string, n long>>")
+    hits = lookup_join(seen, wanted, ["lang", "chunk"], "inner").select("lang", "term", "sure", F.when(~F.col("sure"), F.col("row")).alias("row"), "m", F.inline("at"))
+    found = land(hits.groupBy("lang", "source", "term", "sure", "row").agg(F.sum(F.col("n") * F.col("m")).alias("n")), "term-counts")
+    # by (lang, term), which the window of the caller needs too
+    total = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     kept = found.filter("not sure").select("lang", "term", "row").distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs)
     sure = bounds.filter("sure").select("lang", "term")
     return lookup_join(total, sure.unionByName(kept.select("lang", "term")), ["lang", "term"], "left_semi")
 
 
 def _share(n: str, total: str, terms: str) -> F.Column:
-    """1 + floor(10^9 (n + 2) / (total + 2 terms)), exact for any long."""
-    return F.expr(f"1 + (cast(1000000000 as decimal(10,0)) * cast({n} + 2 as decimal(19,0))) div cast({total} + 2 * {terms} as decimal(20,0))")
+    """1 + floor(10^9 (n + 2) / (total + 2 terms)), exact for any long: in longs
+    while the product fits one, else in decimals."""
+    return F.expr(f"1 + if({n} < 9000000000, (1000000000 * ({n} + 2)) div ({total} + 2 * {terms}), "
+                  f"(cast(1000000000 as decimal(10,0)) * cast({n} + 2 as decimal(19,0))) div cast({total} + 2 * {terms} as decimal(20,0)))")
 
 
 def _gap(p: str, q: str) -> F.Column:
@@ -203,7 +210,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block:
     groups = groups.withColumn("idx", F.row_number().over(order).cast("long") - 1) \
         .withColumn("p0", F.when(F.col("v") > 0, _share("0L", "t", "v"))) \
         .withColumn("blocks", F.expr(f"(max(idx) over (partition by lang)) div {block} + 1")) \
-        .withColumn("buckets", F.expr(f"cast(rows div {bucket} + 1 as int)"))
+        .withColumn("buckets", F.expr(f"cast(rows div {bucket} + 1 as int)")).withColumn("meets", F.expr(_meets(block)))
     groups = land(groups, "source-groups")
 
     rated = lookup_join(used, groups, ["lang", "source"], "inner") \
@@ -217,14 +224,18 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block:
     return ranked.unionByName(words)
 
 
+def _meets(block: int) -> str:
+    """A source of block k takes part in the block pairs (i, j), i <= j, one of
+    which is k; side 1 is j's."""
+    mine = f"idx div {block}"
+    return f"transform(sequence(0L, blocks - 1), x -> struct(least(x, {mine}) as i, greatest(x, {mine}) as j, if(x < {mine}, 1, 0) as side))"
+
+
 def _pairs(rated: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     """(lang, source, part, item, value) of all ordered pairs of sources."""
-    # a source of block k takes part in the block pairs (i, j), i <= j, one of which is k
-    meets = F.expr(f"transform(sequence(0L, blocks - 1), x -> struct(least(x, idx div {block}) as i, greatest(x, idx div {block}) as j, "
-                   f"if(x < idx div {block}, 1, 0) as side))")
     cols = ["lang", "idx", "term", "p", "bucket", "m.i", "m.j", "m.side"]
-    some = groups.filter("v > 0 and blocks > 0").withColumn("m", F.explode(meets))
-    present = rated.withColumn("bucket", F.expr("pmod(xxhash64(term), buckets)")).withColumn("m", F.explode(meets)).select(*cols)
+    some = groups.filter("v > 0").withColumn("m", F.explode("meets"))
+    present = rated.withColumn("bucket", F.expr("pmod(xxhash64(term), buckets)")).withColumn("m", F.explode("meets")).select(*cols)
     absent = some.withColumn("bucket", F.explode(F.expr("sequence(0L, buckets - 1L)"))).select("lang", "idx", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), *cols[4:])
     sums = present.unionByName(absent).groupBy("lang", "i", "j", "bucket").applyInArrow(_pair_sums, "lang string, a long, b long, more long") \
         .groupBy("lang", "a", "b").agg(F.sum("more").alias("more"))
