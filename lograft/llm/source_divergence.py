@@ -40,7 +40,7 @@ TOP = 10             # terms reported per source
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = b"\t\n\x0b\x0c\r"
-SLICE = 8 << 20      # bytes of text whose chunks are counted together
+SLICE = 24 << 20     # bytes of text whose chunks are counted together, about
 BLOCK = 128          # sources compared in one matrix
 BUCKET = 200_000     # rows of a bucket of terms, about
 TERMS = 2_000        # terms of a matrix
@@ -56,6 +56,19 @@ def _chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.repeat(np.arange(len(texts)), per), words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined, or cut, to about SLICE bytes of text."""
+    held, size = [], 0
+    for b in byte_slices(batches, "text", SLICE):
+        held.append(b)
+        size += b.column("text").nbytes
+        if size >= SLICE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Number of each row's value, and the distinct values."""
     d = column.dictionary_encode()
@@ -64,7 +77,7 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, chunk, docs) of each slice."""
-    for b in byte_slices(batches, "text", SLICE):
+    for b in _slices(batches):
         row, code, chunks = _chunks(b.column("text"))
         lang, langs = _codes(b.column("lang"))
         row, code = np.divmod(np.unique(row * len(chunks) + code), len(chunks))
@@ -90,7 +103,7 @@ def _look(filters):
     be in one of two filters: those of the first summed over the slice's documents
     (row null), those of the second for each document."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, "text", SLICE):
+        for b in _slices(batches):
             row, code, chunks = _chunks(b.column("text"))
             (lang, langs), (source, sources) = _codes(b.column("lang")), _codes(b.column("source"))
             slots = _slots(chunks)
@@ -118,8 +131,9 @@ def _occurrences(docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, source, term, n) of the terms in at least `min_docs` documents of
     the language."""
     spark = docs.sparkSession
-    per = docs.select("lang", "text").mapInArrow(lean(_count), "lang string, chunk string, docs long").groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
-    # one row a chunk: a language each in `at`
+    # slices are summed already, so a hot chunk has a row a slice and language; one exchange serves both sums
+    per = docs.select("lang", "text").mapInArrow(lean(_count), "lang string, chunk string, docs long") \
+        .repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
     once = per.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("at")) \
         .withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0)).filter(F.size("terms") > 0)
     of = land(once.select("chunk", "terms", F.explode("at").alias("at")).select("at.lang", "chunk", "at.docs", "terms"), "chunk-terms")
