@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import times
+from ..functions.ip import IPV4_REGEX, let
 from ..functions.paths import destination_name
 from .joins import Lookup, prepare_lookup
 
@@ -195,14 +196,26 @@ def decoded(routed: DataFrame, keep_source: bool = False) -> DataFrame:
             .withColumn("end_time", times.parse_timestamp(F.col("ping_info.end_time"))))
 
 
-ADDRESS_MEMBER = r'"ip_address"\s*:\s*"([^"]*)'
+ADDRESS_MEMBER = r'("ip_address"\s*:\s*")((?:[^"\\]|\\.)*)'
+# an address in a text: not inside a longer number or address
+V4_BORDERS = r"(?<![0-9])(?<![0-9]\.)", r"(?![0-9])(?!\.[0-9])"
+V6_BORDERS = r"(?<![0-9A-Fa-f.])(?<![0-9A-Fa-f]:)(?<![0-9A-Fa-f]::)", r"(?![0-9A-Fa-f:.])"
+V6_TEXT = r"^[0-9A-Fa-f:]*:[0-9A-Fa-f:]*(\.?[0-9]+){0,4}$"
 
 
 def scrub_text(text, raw, address) -> Column:
-    """`text` without the row's address. In rows whose envelope could not be
-    read, the address is found in the source line by its member name."""
-    known = F.coalesce(F.nullif(address, F.lit("")), F.regexp_extract(raw, ADDRESS_MEMBER, 1))
-    return F.when(F.coalesce(known, F.lit("")) != "", F.replace(text, known, F.lit(""))).otherwise(text)
+    """`text` without the row's address, which in rows whose envelope could
+    not be read is found in the source line by its member name. The member is
+    blanked; elsewhere only a value that is an address goes, and only where it
+    stands by itself."""
+    def on_known(known):
+        quoted = F.concat(F.lit("\\Q"), known, F.lit("\\E"))
+        pattern = F.when(known.rlike(IPV4_REGEX), F.concat(F.lit(V4_BORDERS[0]), quoted, F.lit(V4_BORDERS[1]))) \
+            .when(known.rlike(V6_TEXT), F.concat(F.lit(V6_BORDERS[0]), quoted, F.lit(V6_BORDERS[1])))
+        return F.when(pattern.isNotNull(), F.regexp_replace(blanked, pattern, F.lit(""))).otherwise(blanked)
+
+    blanked = F.regexp_replace(text, ADDRESS_MEMBER, "$1")
+    return let(F.coalesce(F.nullif(address, F.lit("")), F.regexp_extract(raw, ADDRESS_MEMBER, 2), F.lit("")), on_known)
 
 
 def errors(routed: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each regex format is a pattern plus the group number of every named field. A
 line is matched once: the match is rewritten to its fields, separated, and split
-(an absent optional group is empty, hence NULL). All formats return one struct
+(an absent optional group is empty, hence NULL). The separator is escaped in the
+line first, so no content can shift a field. All formats return one struct
 type (the union of their fields), so a per-record choice of parser picks the
 pattern, not the struct. Unmatched lines are kept, with NULL fields.
 """
@@ -44,13 +45,24 @@ def _c(c) -> Column:
 
 
 # A matched line is rewritten once to its fields in FIELDS order, each after a
-# separator; an unmatched one comes back as it is and lacks the marker.
-_SEP, _MARK = "\x01", "\x02\x03\x02"
+# separator; an unmatched one comes back as it is and lacks the marker. In the
+# line, separator and escape sign become two signs; no pattern names any of them,
+# and no escaped line holds the separator or the marker.
+_SEP, _ESC, _MARK = "\x01", "\x02", "\x02\x03\x02"
+_AS_ESC, _AS_SEP = "\x02\x03", "\x02\x04"
+
+
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_ESC), F.lit(_AS_ESC)), F.lit(_SEP), F.lit(_AS_SEP))
+
+
+def _plain(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_AS_SEP), F.lit(_SEP)), F.lit(_AS_ESC), F.lit(_ESC))
 
 
 def _rewritten(line: Column, fmt: str) -> Column:
     pattern, groups = FORMATS[fmt]
-    return F.regexp_replace(line, F.lit(pattern), F.lit(_MARK + "".join(_SEP + (f"${groups[n]}" if n in groups else "") for n in FIELDS)))
+    return F.regexp_replace(_escaped(line), F.lit(pattern), F.lit(_MARK + "".join(_SEP + (f"${groups[n]}" if n in groups else "") for n in FIELDS)))
 
 
 def _json_object(line: Column) -> Column:
@@ -63,7 +75,7 @@ def _fields(rewritten: Column, fmt: Column, year: Column | None, record: Column)
     bound once."""
     def on_parts(p):
         ok = F.element_at(p, 1) == _MARK
-        value = {n: F.when(ok, F.nullif(F.get(p, F.lit(i)), F.lit(""))) for i, n in enumerate(FIELDS, 1)}
+        value = {n: F.when(ok, F.nullif(_plain(F.get(p, F.lit(i))), F.lit(""))) for i, n in enumerate(FIELDS, 1)}
         t = value["time"]
         ts = F.when(fmt.isin(*sorted(CLF_TIME_FORMATS)), times.parse_clf_time(t))
         if year is not None:
@@ -84,7 +96,7 @@ def parse_by_format(line, fmt_col, year=None, formats=tuple(FORMATS) + ("json",)
         if f == "json":
             at = FIELDS.index("time")
             t = F.try_variant_get(obj, "$.time", "string")
-            new = F.when(t.isNotNull(), F.concat(F.lit(_MARK + _SEP * (at + 1)), t, F.lit(_SEP * (len(FIELDS) - at - 1)))).otherwise(F.lit(""))
+            new = F.when(t.isNotNull(), F.concat(F.lit(_MARK + _SEP * (at + 1)), _escaped(t), F.lit(_SEP * (len(FIELDS) - at - 1)))).otherwise(F.lit(""))
         else:
             new = _rewritten(line, f)
         out = out.when(fmt == f, new)

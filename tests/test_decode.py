@@ -117,3 +117,22 @@ def test_encode_decode_round_trip(spark):
     want = ev.select(F.col("user_id").cast("string").alias("uid"), F.col("event_type").alias("t"),
                      F.col("props").alias("p"), "ts")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_only_addresses_are_scrubbed(spark):
+    """A value that is no address is blanked where it stands as the member and
+    nowhere else; an address goes where it stands by itself."""
+    rows = [
+        ('{"Type":"glean","ip_address":"e","x":"eve"}', "e", '{"Type":"glean","ip_address":"","x":"eve"}'),
+        ('{"ip_address":"1.1.1.1","a":"11.1.1.1 1.1.1.11 1.1.1.1.1 1.1.1.1, 1.1.1.1:80 x1.1.1.1."}', "1.1.1.1",
+         '{"ip_address":"","a":"11.1.1.1 1.1.1.11 1.1.1.1.1 , :80 x."}'),
+        ('{"ip_address" : "::1","a":"fe80::1 [::1]:80 ::11 ::1"}', "::1", '{"ip_address" : "","a":"fe80::1 []:80 ::11 "}'),
+        ('{"ip_address":"2001:db8::7","a":"2001:db8::7 2001:db8::77 12001:db8::7"}', "2001:db8::7", '{"ip_address":"","a":" 2001:db8::77 12001:db8::7"}'),
+        ('{"ip_address":"a\\"b","c":"a"}', None, '{"ip_address":"","c":"a"}'),
+        ('{"ip_address":"9.9.9.9","c":"9.9.9.9"} broken', None, '{"ip_address":"","c":""} broken'),
+        ('{"a":"no member, \\\\E$1"}', "$1", '{"a":"no member, \\\\E$1"}'),
+        ('{"a":"7.7.7.7"}', "7.7.7.7", '{"a":""}'),
+        (None, "1.1.1.1", None),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "raw string, ip string").select(D.scrub_text(F.col("raw"), F.col("raw"), F.col("ip")).alias("t"))
+    assert [r.t for r in df.collect()] == [r[2] for r in rows]

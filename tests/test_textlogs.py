@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -34,3 +35,23 @@ def test_formats(spark):
     assert s.ts == datetime(2024, 1, 5, 12, 0, 1)
     assert rows[6].p.ts == datetime(2000, 10, 10, 20, 55, 36)
     assert rows[7].p.host is None and rows[7].p.ts is None
+
+
+def test_no_content_shifts_a_field(spark):
+    """Control characters anywhere: every field as the pattern itself gives it."""
+    signs = ["\x01", "\x02", "\x03", "\x04", "\x02\x03", "\x02\x04", "\x01\x03", "\x02\x03\x02", "\x02\x03\x02\x01", "\x00", "$1", "\\1", "\x07"]
+    rows = []
+    for s in signs:
+        rows += [("apache", f'h{s}h - u{s} [10/Oct/2000:13:55:36 -0700] "GET /a{s}b HTTP/1.0" 200 23{s} "r{s}r" "{s}A{s}"', s),
+                 ("nginx", f'r{s} h{s} u{s} [t{s}] "G{s} /{s}{s} x" {s}4 {s} "{s}" "a{s}"', s),
+                 ("apache_error", f"[Wed t{s}] [l{s}] [pid 1{s}] [client c{s}] m{s}{s}m", s),
+                 ("syslog", f"<34>Jan 5 {s}12 host{s} id{s}[42]: message{s}", s),
+                 ("apache", f"{s}no match{s}", s)]
+    got = spark.createDataFrame(rows, "format string, value string, s string") \
+        .select("format", "value", TL.parse_by_format(F.col("value"), F.col("format"), year=F.lit(2024)).alias("p")).collect()
+    for r in got:
+        pattern, groups = TL.FORMATS[r.format]
+        m = re.match(pattern.replace("(?<", "(?P<"), r.value, re.DOTALL)
+        for name in TL.FIELDS:
+            want = (m.group(groups[name]) or None) if m and name in groups else None
+            assert r.p[name] == want, (r.format, r.value, name)
