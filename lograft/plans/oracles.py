@@ -243,6 +243,11 @@ UNION ALL
 SELECT 'accounts_frontend_live.accounts_events_v1', strftime(ts, '%Y-%m-%d'), {DOC_ID} FROM events
 """
 
+ORACLES["compacted_live"] = """
+SELECT 'accounts_frontend_live.events_v1' AS destination, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, 1::BIGINT AS files
+FROM events WHERE event_id % 50 >= 7 GROUP BY 2
+"""
+
 ORACLES["live_day"] = f"""
 SELECT {DOC_ID} AS document_id, ts AS submission_timestamp
 FROM events WHERE event_id % 50 >= 7 AND CAST(ts AS DATE) = DATE '2024-01-15'

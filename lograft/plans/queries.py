@@ -342,14 +342,28 @@ def live_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.select("document_id", "submission_timestamp")
 
 
+def compacted_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings written as four batches of a stream, packed, and the live
+    table's rows and files per day and destination counted."""
+    lines = log_lines(spark, sf_dir).select("event_id", "value")
+    base = scratch_path(spark, "live")
+    out = f"{base}/decoded"
+    for k in range(4):
+        routed = D.decode(lines.filter(F.col("event_id") % 4 == k), S.registry(spark))
+        LV.write_routed(routed, out, f"{base}/error", batch=("stream", k))
+    LV.compact(spark, out, f"{base}/error")
+    live = LV.read_live(spark, out).withColumn("file", F.input_file_name())
+    return live.groupBy("destination", F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"))
+
+
 DECODER_INPUT_SINCE = "2024-01-15 00:00:00"
 
 
 def decoder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log table -> decoder input table."""
-    path = scratch_path(spark, "raw-log")
+    path = scratch_path(spark, "raw-log") + "/raw"
     LV.replace_table(B.raw_log_table(log_lines(spark, sf_dir), "received"), path)
-    inp = B.prepare_decoder_input(SRC.read_table(spark, path), DECODER_INPUT_SINCE, namespace_override=L.APP_ID)
+    inp = B.prepare_decoder_input(SRC.read_table(spark, path, "committed"), DECODER_INPUT_SINCE, namespace_override=L.APP_ID)
     text = F.decode(F.col("payload"), "UTF-8")
     return inp.select("submission_timestamp", "document_id", "document_namespace", "document_type",
                       "document_version", (F.octet_length("payload") > 0).alias("has_payload"),
@@ -358,14 +372,14 @@ def decoder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch decoder over the whole decoder input table: same routing as lines."""
-    routed = B.decode_input_table(SRC.read_decoder_input(spark, _decoder_input_table(spark, sf_dir)), S.registry(spark))
+    routed = B.decode_input_table(SRC.read_decoder_input(spark, _decoder_input_table(spark, sf_dir), fmt="committed"), S.registry(spark))
     return routed.select("document_id", "submission_timestamp", "error_type", "destination")
 
 
 def _decoder_input_table(spark: SparkSession, sf_dir: str) -> str:
     """The decoder input written as a day-partitioned table."""
     raw = B.raw_log_table(log_lines(spark, sf_dir), "received")
-    path = scratch_path(spark, "decoder-input")
+    path = scratch_path(spark, "decoder-input") + "/input"
     rows = B.prepare_decoder_input(raw, "1970-01-01 00:00:00")
     LV.replace_table(rows.withColumn("date", F.to_date("submission_timestamp")), path, ["date"])
     return path
@@ -374,7 +388,7 @@ def _decoder_input_table(spark: SparkSession, sf_dir: str) -> str:
 def decoder_input_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decoder input of a day range narrower than the table (partitions
     pruned at planning)."""
-    inp = SRC.read_decoder_input(spark, _decoder_input_table(spark, sf_dir), "2024-01-10", "2024-01-12")
+    inp = SRC.read_decoder_input(spark, _decoder_input_table(spark, sf_dir), "2024-01-10", "2024-01-12", "committed")
     return inp.select("submission_timestamp", "document_id", F.col("payload").isNotNull().alias("has_payload"))
 
 
@@ -495,11 +509,11 @@ def random_document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4, K5: an empty table with the schema of `events`, then filled."""
     ev = table(spark, sf_dir, "events")
-    path = scratch_path(spark, "events-like")
+    path = scratch_path(spark, "events-like") + "/events"
     empty = LV.create_table_like(spark, ev, path)
     before = empty.count()
-    ev.write.mode("append").parquet(path)
-    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users")) \
+    LV.append_table(ev, path)
+    return LV.read_table(spark, path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users")) \
         .withColumn("n_before", F.lit(before).cast("bigint"))
 
 
@@ -610,6 +624,7 @@ REGISTRY = {
     "pod_metadata": pod_metadata,
     "live_destination": live_destination,
     "live_day": live_day,
+    "compacted_live": compacted_live,
     "decoder_input": decoder_input,
     "batch_decode": batch_decode,
     "dedup_messages": dedup_messages,

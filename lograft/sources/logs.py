@@ -2,8 +2,8 @@
 
 Batch: `spark.read.text` over a glob, each line with its file path from the
 `_metadata` column. Streaming: the same with `readStream`; the file source
-takes each *file* once (appends to a seen file are not followed), so input
-is rotated / landed files, and offsets live in the checkpoint.
+takes each *file* once, so this is for rotated or landed files (`sources.growing`
+follows appends), and offsets live in the checkpoint.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
+from ..sinks.store import Store
 
 # Agent defaults of the tail input.
 MAX_LINE_BYTES = 10240 * 1024
@@ -38,15 +38,18 @@ def drop_long_lines(df: DataFrame, max_bytes: int = MAX_LINE_BYTES, col: str = "
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The raw log table."""
+    """The raw log table, in a Spark format or, as "committed", of a store."""
+    if fmt == "committed":
+        store, table = Store.of_table(spark, path)
+        return store.read(table)
     return spark.read.format(fmt).load(path)
 
 
 def read_decoder_input(spark: SparkSession, path: str, start_date: str | None = None,
-                       end_date: str | None = None) -> DataFrame:
+                       end_date: str | None = None, fmt: str = "parquet") -> DataFrame:
     """The decoder input table, optionally a day range (partition column
     `date` when the table is day-partitioned, else the timestamp)."""
-    df = spark.read.parquet(path)
+    df = read_table(spark, path, fmt)
     if start_date or end_date:
         day = F.col("date") if "date" in df.columns else F.to_date("submission_timestamp")
         if start_date:

@@ -1,10 +1,11 @@
 """Structured Streaming decoder.
 
 Each micro-batch runs the same `decode_pipeline` as the batch path inside
-`foreachBatch`; both outputs are written under the stream's and the batch's
-name (dynamic overwrite), so a batch replayed after a failure replaces its own
-output and the checkpoint commits only after both writes (acknowledge after
-processing). Lookup tables are prepared once per stream.
+`foreachBatch`; both outputs become visible in one commit that bears the stream's
+name and the batch's number, so a batch replayed after a failure adds nothing
+twice, and the checkpoint advances only after it (acknowledge after processing).
+Files are rebalanced on day and destination and, every so many batches, packed.
+Lookup tables are prepared once per stream.
 """
 
 from __future__ import annotations
@@ -35,14 +36,15 @@ def stream_name(checkpoint_location: str) -> str:
 def start_decoder(spark: SparkSession, source: str | DataFrame, out_base: str, checkpoint_location: str, *,
                   lookups: Lookups | None = None, trigger_interval: str | None = WINDOW,
                   available_now: bool = False, max_files_per_trigger: int | None = None,
-                  decoded_shards: int | None = LV.DECODED_SHARDS, error_shards: int | None = LV.ERROR_SHARDS,
+                  decoded_shards: int | None = None, error_shards: int | None = None, compact_every: int | None = None,
                   horizon: str = Q.HORIZON) -> StreamingQuery:
     """Decode a stream into live and error outputs, batch by batch.
 
     `source` is a glob of landed log files, or a stream of queue messages
     (message_id, publish_time, data, attributes), which are deduplicated within
     the watermark horizon and gunzipped. The receive time (file time or publish
-    time) becomes `submission_timestamp`.
+    time) becomes `submission_timestamp`. `compact_every`: pack the small files
+    of both outputs after every so many batches.
     """
     if isinstance(source, str):
         lines = SRC.read_logs(spark, source, streaming=True, max_files_per_trigger=max_files_per_trigger)
@@ -53,8 +55,10 @@ def start_decoder(spark: SparkSession, source: str | DataFrame, out_base: str, c
 
     def each(batch: DataFrame, batch_id: int) -> None:
         routed = decode_pipeline(batch, tables, received_col="received")
-        LV.write_routed(routed, f"{out_base}/decoded", f"{out_base}/error", batch=f"{name}-{batch_id}",
+        LV.write_routed(routed, f"{out_base}/decoded", f"{out_base}/error", batch=(name, batch_id),
                         decoded_shards=decoded_shards, error_shards=error_shards)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            LV.compact(spark, f"{out_base}/decoded", f"{out_base}/error")
 
     w = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     if available_now:

@@ -11,9 +11,9 @@ def test_table_helpers(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "b", "x")], "id int, s string, n string")
     LV.replace_table(df, f"{base}/t")                                   # K3
     LV.replace_table(df.filter("id = 1"), f"{base}/t")                  # replaced, not appended
-    assert spark.read.parquet(f"{base}/t").count() == 1
+    assert LV.read_table(spark, f"{base}/t").count() == 1
     empty = LV.create_table_like(spark, df, f"{base}/like")             # K4
-    assert empty.count() == 0 and empty.schema == spark.read.parquet(f"{base}/t").schema
+    assert empty.count() == 0 and empty.schema == LV.read_table(spark, f"{base}/t").schema
     recs = [json.loads(r.value) for r in LV.json_records(df).collect()]  # K7: NULLs left out
     assert recs == [{"id": 1, "s": "a"}, {"id": 2, "s": "b", "n": "x"}]
     LV.write_lines(LV.json_records(df), f"{base}/lines")                # K9
