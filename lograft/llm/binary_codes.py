@@ -7,27 +7,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import keyed_rows
+
 SAMPLE = 10_000      # vectors a rotation is learned from
 ROUNDS = 30
 SEED = 11
 
 
-def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *more: str) -> DataFrame:
-    """(vec_id, *more, v) of the vectors that take part: not null, not zero, all
-    components finite, with an id, and of the most common dimension. Of rows
-    that repeat an id the largest (by `more`, then vector) counts."""
-    kind = vectors.schema[vec_col].dataType.simpleString()
-    v = F.col(f"`{vec_col}`").cast("array<float>" if kind == "array<float>" else "array<double>")
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), *[F.col(f"`{c}`") for c in more], v.alias("v")).filter(
+def usable(vectors: DataFrame, *more: str) -> DataFrame:
+    """(k, vec_id, *more, v) of the rows of (k, vec_id, embedding, *more) that take
+    part: with an id, the vector not null, not zero, all components finite."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    v = F.col("embedding").cast("array<float>" if kind == "array<float>" else "array<double>")
+    return vectors.select("k", "vec_id", *more, v.alias("v")).filter(
         "vec_id is not null and v is not null and forall(v, x -> x is not null and abs(x) < double('infinity')) and exists(v, x -> x != 0)")
-    sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if not sizes:
-        return rows
-    rows = rows.filter(F.size("v") == sizes[0]["dim"])
-    n, ids = rows.agg(F.count(F.lit(1)), F.count_distinct("vec_id")).first()
-    if n == ids:
-        return rows
-    return rows.groupBy("vec_id").agg(F.max(F.struct(*more, "v")).alias("r")).select("vec_id", *[F.col(f"r.{c}").alias(c) for c in (*more, "v")])
+
+
+def keyed_vectors(vectors: DataFrame, *more: str) -> DataFrame:
+    """(k, vec_id, embedding, *more): `k` tells rows apart that repeat an id and
+    ascends with it (see keyed_rows); clean ids are their own keys."""
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", *more)
+    return keyed_rows(rows, "vec_id", "embedding").withColumnRenamed("__k", "k")
+
+
+def by_dimension(rows: DataFrame) -> list[tuple[int, DataFrame]]:
+    """`rows` by number of components: only vectors of one dimension have an
+    inner product. A model's output has one; each further one is a run of its own."""
+    dims = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    return [(d, rows.filter(F.size("v") == d) if len(dims) > 1 else rows) for d in dims]
 
 
 def matrix(col: pa.Array) -> np.ndarray:
@@ -38,7 +45,7 @@ def matrix(col: pa.Array) -> np.ndarray:
 
 def sample_matrix(rows: DataFrame, n: int = SAMPLE) -> np.ndarray:
     """At most `n` vectors (smallest id hash first)."""
-    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).toArrow()
+    got = rows.orderBy(F.xxhash64("k"), "k").limit(n).toArrow()
     return matrix(got.column("v").combine_chunks()) if got.num_rows else np.zeros((0, 1))
 
 

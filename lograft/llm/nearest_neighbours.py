@@ -18,6 +18,7 @@ cluster, and the same share of every block is reranked.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .binary_codes import Codes, matrix, sample_matrix, usable
+from .binary_codes import Codes, by_dimension, keyed_vectors, matrix, sample_matrix, usable
 from .common import land, table
 
 CODE_WORDS = 4           # 256 bits
@@ -35,13 +36,14 @@ SHARE = 16               # and one in so many of the block's rows
 NORM_STEP = 1.1
 NORM_CLASSES = 64        # the last takes all smaller norms
 QUERIES = 32             # queries probed together
+FOUND = ["own", "query_id", "k", "vec_id", "score"]     # row keys beside ids
 
 
 class Index:
     """One block: codes, and per 8-bit substring its keys and each row's key."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, codes: np.ndarray):
-        self.ids, self.x, self.codes = ids, x, codes
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, x: np.ndarray, codes: np.ndarray):
+        self.keys, self.ids, self.x, self.codes = keys, ids, x, codes
         self.subs = []
         for col in codes.view(np.uint8).reshape(len(ids), -1).T:
             keys, row_key = np.unique(col, return_inverse=True)
@@ -80,56 +82,62 @@ def _search(codes_b, k: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            block, kind, ids = (b.column(c).to_numpy() for c in ("block", "kind", "vec_id"))
+            block, kind, key, ids = (b.column(c).to_numpy() for c in ("block", "kind", "k", "vec_id"))
             x = matrix(b.column("v"))
             edges = np.r_[0, np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1, len(ids)]
             for lo, hi in zip(edges, edges[1:]):
                 if block[lo] != at:
                     at, index, held = block[lo], None, []
                 if kind[lo] == 0:
-                    held.append((ids[lo:hi], x[lo:hi]))
+                    held.append((key[lo:hi], ids[lo:hi], x[lo:hi]))
                     continue
                 if index is None:
                     if not held:
                         continue
-                    rows, own = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-                    index, held = Index(rows, own, codes.encode(_directions(own))), [(None, None)]
+                    keys, rows, own = (np.concatenate([h[i] for h in held]) for i in range(3))
+                    index, held = Index(keys, rows, own, codes.encode(_directions(own))), [(None, None, None)]
                 for s in range(lo, hi, QUERIES):
                     e = min(hi, s + QUERIES)
-                    yield _answers(index, ids[s:e], x[s:e], codes.encode(_directions(x[s:e])), k)
+                    yield _answers(index, key[s:e], ids[s:e], x[s:e], codes.encode(_directions(x[s:e])), k)
     return run
 
 
-def _answers(index: Index, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, k: int) -> pa.RecordBatch:
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def _answers(index: Index, keys: np.ndarray, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, k: int) -> pa.RecordBatch:
+    out: list[tuple[np.ndarray, ...]] = []
     need = max(LEAST, 4 * k, -(-len(index.ids) // SHARE))
-    for q, v, rows in zip(ids, x, index.balls(codes, need)):
-        rows = rows[index.ids[rows] != q]
+    for own, q, v, rows in zip(keys, ids, x, index.balls(codes, need)):
+        rows = rows[index.keys[rows] != own]
         score = index.x[rows] @ v
-        best = np.lexsort((index.ids[rows], -score))[:k]
-        out.append((np.full(len(best), q), index.ids[rows][best], score[best]))
-    cols = [np.concatenate([o[i] for o in out]) for i in range(3)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["query_id", "vec_id", "score"])
+        best = np.lexsort((index.keys[rows], index.ids[rows], -score))[:k]
+        out.append((np.full(len(best), own), np.full(len(best), q), index.keys[rows][best], index.ids[rows][best], score[best]))
+    cols = [np.concatenate([o[i] for o in out]) for i in range(5)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], FOUND)
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest found of every vector
     whose id is divisible by `every`, by inner product, ties to the smaller id.
 
-    Vectors that are null, zero, not finite, without id or of an odd dimension
-    take no part. Fewer candidates than `k` give fewer rows; extra columns are
-    ignored; an empty table gives an empty result.
+    Vectors that are null, zero, not finite or without id take no part; vectors of
+    another dimension are no candidates. Rows that repeat an id are rows of their
+    own, as candidates and as queries. Fewer candidates than `k` give fewer rows;
+    extra columns are ignored; an empty table gives an empty result.
     """
-    spark = vectors.sparkSession
-    rows = land(usable(vectors), "vectors")
-    schema = "query_id long, vec_id long, score double"
+    rows = land(usable(keyed_vectors(vectors)), "vectors")
+    found = [_nearest(part, k, every, block) for _, part in by_dimension(rows)]
+    if not found:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, k: int, every: int, block: int) -> DataFrame:
+    """:func:`nearest` over vectors of one dimension, of which there are some."""
+    spark = rows.sparkSession
     # scaled by the largest component first: squares of finite doubles may overflow
     most = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
     size = F.log(most) + 0.5 * F.log(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x.cast("double") / most) * (x.cast("double") / most)))
     rows = land(rows.withColumn("size", size), "norms")
     top = rows.agg(F.max("size")).first()[0]
-    if top is None:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     codes = spark.sparkContext.broadcast(Codes(_directions(sample_matrix(rows)), CODE_WORDS))
     rows = rows.withColumn("norm", F.least(F.lit(NORM_CLASSES - 1), F.floor((F.lit(top) - F.col("size")) / float(np.log(NORM_STEP)) + 1e-6)).cast("int"))
     dealt_to, blocks = [], 0       # by norm class: first block, number of blocks
@@ -139,12 +147,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, block: int = BLOCK
         dealt_to.append(F.struct(F.lit(blocks).alias("first"), F.lit(max(1, own)).alias("own")))
         blocks += own
     to = F.array(*dealt_to)[F.col("norm")]
-    data = rows.select((to["first"] + F.pmod(F.xxhash64("vec_id"), to["own"])).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
+    data = rows.select((to["first"] + F.pmod(F.xxhash64("k"), to["own"])).cast("int").alias("block"), F.lit(0).alias("kind"), "k", "vec_id", "v")
     queries = rows.filter(F.col("vec_id") % every == 0) \
-        .select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
+        .select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "k", "vec_id", "v")
     dealt = data.unionByName(queries).repartitionById(blocks, "block").sortWithinPartitions("block", "kind")
-    found = dealt.mapInArrow(_search(codes, k), schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = dealt.mapInArrow(_search(codes, k), "own long, query_id long, k long, vec_id long, score double")
+    order = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "k")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -22,6 +22,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from .binary_codes import SEED, Codes, leaders, matrix, sample_matrix, usable
+from .binary_codes import SEED, Codes, by_dimension, keyed_vectors, leaders, matrix, sample_matrix, usable
 from .common import connected_components, land, parts, table
 
 THRESHOLD = 0.98
@@ -283,34 +284,48 @@ def class_links(classes: DataFrame, codes: int, threshold: float = THRESHOLD, ra
 def vector_dedup(vectors: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS, crowd: int = CROWD, m: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    Only vectors of one label that is not null are compared. Vectors that are
-    null, zero, not finite, or of an odd dimension link with nothing; so do rows
-    without id, which are kept and have no component. Rows that repeat an id
-    share one answer. Extra columns are ignored; an empty table gives an empty
-    result.
+    Only vectors of one label that is not null and of one dimension are compared.
+    Vectors that are null, zero or not finite link with nothing; so do rows
+    without id, which are kept and have no component. Rows that repeat an id are
+    rows of their own: each links by its own label and vector, and all are kept if
+    the id is their component's smallest. Extra columns are ignored; an empty
+    table gives an empty result.
     """
-    spark = vectors.sparkSession
-    rows = land(usable(vectors, "vec_id", "embedding", "label").filter("label is not null"), "vectors")
-    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    alone = every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if rows.isEmpty():
-        return alone
+    keyed = keyed_vectors(vectors.withColumn("label", F.col("label").cast("long")), "label")
+    rows = land(usable(keyed, "label").filter("label is not null"), "vectors")
+    every = keyed.select("k", "vec_id")
+    parted = [_linked(part, threshold, radius, crowd, m) for _, part in by_dimension(rows)]
+    if parted:
+        own = every.join(functools.reduce(DataFrame.unionByName, parted), "k", "left")
+    else:
+        own = every.select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    return own.select(
+        "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
+        F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(True)).alias("kept"))
+
+
+def _linked(rows: DataFrame, threshold: float, radius: int, crowd: int, m: int | None) -> DataFrame:
+    """(k, n_links, component_id) of rows (k, vec_id, label, v) of one dimension."""
+    spark = rows.sparkSession
     x = sample_matrix(rows)
     fitted, enough = fit_codes(x / np.linalg.norm(x, axis=1, keepdims=True), threshold, radius)
     if m is None and not enough:
         m = 0
     codes = spark.sparkContext.broadcast(fitted)
-    classes = rows.withColumn("label", F.col("label").cast("long")).groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("size"))
-    classes = land(classes.select("id", "label", "size", "v").mapInArrow(_encode(codes), f"id long, label long, size long, v {classes.schema['v'].dataType.simpleString()}, code array<long>"), "codes")
-    found = land(class_links(classes, len(fitted), threshold, radius, crowd, m), "links")
+    # a class: equal vectors of a label; its least row has its least id, as keys ascend with ids
+    least = F.min(F.struct("k", "vec_id"))
+    classes = rows.groupBy("label", "v").agg(least.alias("least"), F.count(F.lit(1)).alias("size")) \
+        .select(F.col("least.k").alias("id"), F.col("least.vec_id").alias("vec_id"), "label", "size", "v")
+    classes = land(classes.select("id", "vec_id", "label", "size", "v").mapInArrow(
+        _encode(codes), f"id long, vec_id long, label long, size long, v {classes.schema['v'].dataType.simpleString()}, code array<long>"), "codes")
+    found = land(class_links(classes.drop("vec_id"), len(fitted), threshold, radius, crowd, m), "links")
     counts = found.filter("id is not null").groupBy("id").agg(F.sum("n").alias("n"))
     comps = connected_components(found.filter("a is not null").select("a", "b"))
-    result = classes.join(counts, "id", "left").join(comps, classes["id"] == comps["node"], "left") \
-        .select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    own = rows.withColumn("label", F.col("label").cast("long")).join(result, ["label", "v"]).select("vec_id", "n_links", "component_id")
-    return every.join(own, "vec_id", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(True)).alias("kept"))
+    # components are named by their least key: back to its id
+    named = comps.join(classes.select(F.col("id").alias("component"), F.col("vec_id").alias("component_id")), "component").select("node", "component_id")
+    result = classes.join(counts, "id", "left").join(named, classes["id"] == named["node"], "left") \
+        .select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return rows.join(result, ["label", "v"]).select("k", "n_links", "component_id")
 
 
 def op6_vector_dedup(spark, sf_dir: str) -> DataFrame:

@@ -44,7 +44,9 @@ def test_dedup_matches_brute_force(spark, m, crowd):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, n_links string").repartition(4)
     got = V.vector_dedup(df, crowd=crowd, m=m).collect()
     assert len(got) == len(rows)
-    links, comp = brute_links(x, label)
+    # the second row of id 3 is a vector of its own
+    links, comp = brute_links(np.concatenate([x, x[3:4]]), np.append(label, label[3]))
+    assert sum(r.vec_id == 3 for r in got) == 2
     by = {r.vec_id: r for r in got}
     assert links.max() > 40
     found = sum(by[i].n_links for i in range(len(x)))
@@ -88,7 +90,7 @@ def test_layout_follows_size():
 def test_nearest_recall_and_scores(spark):
     x, _ = vectors(1500, 2)
     x[7] *= 4
-    rows = [(i, v.tolist(), "n") for i, v in enumerate(x)] + [(i, v, "n") for i, v, _ in ODD] + [(20, x[20].tolist(), "n")]
+    rows = [(i, v.tolist(), "n") for i, v in enumerate(x)] + [(i, v, "n") for i, v, _ in ODD]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string").repartition(4)
     got = {}
     for r in N.nearest(df, block=400).collect():
@@ -122,6 +124,25 @@ def test_nearest_recall_with_skewed_norms(spark, n):
     assert len(got) == 100 and hit / 2000 >= 0.98
 
 
+def test_nearest_of_repeated_ids_and_mixed_dimensions(spark):
+    """Every row is a candidate, whatever its id or dimension; only its own query leaves it out."""
+    rows = [(1, [3.0, 0.0]), (1, [0.5, 0.0]), (20, [1.0, 0.0]), (20, [2.0, 0.0]), (40, [1.0, 0.0, 0.0]), (41, [4.0, 0.0, 0.0]), (60, [1.0] * 5)]
+    got = N.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = [(i, -s, v) for a, (i, q) in enumerate(rows) if i % 20 == 0
+            for s, v in sorted((-sum(x * y for x, y in zip(q, c)), j) for b, (j, c) in enumerate(rows) if a != b and len(c) == len(q))]
+    assert sorted((r.query_id, r.score, r.vec_id) for r in got) == sorted(want) and len(want) == 7
+    assert sorted(r["rank"] for r in got if r.query_id == 20) == [1, 1, 2, 2, 3, 3]
+
+
+def test_dedup_of_repeated_ids_and_mixed_dimensions(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 2), (3, [1.0, 0.01], 1), (20, [1.0, 0.02], 1), (30, [1.0, 0.0], 2),
+            (31, [0.0, 1.0, 0.0], 1), (32, [0.0, 1.0, 0.01], 1), (7, [0.0, 0.0, 0.0, 1.0], 1), (8, None, 1)]
+    got = V.vector_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    want = [(1, 2, 1, True), (1, 1, 1, True), (3, 2, 1, False), (20, 2, 1, False), (30, 1, 1, False),
+            (31, 1, 31, True), (32, 1, 31, False), (7, 0, 7, True), (8, 0, 8, True)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def test_nearest_small_and_empty(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 42)], "vec_id long, embedding array<double>")
     got = N.nearest(df).orderBy("query_id", "rank").collect()
