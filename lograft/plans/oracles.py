@@ -383,3 +383,23 @@ FROM events WHERE event_id % 50 >= 7 GROUP BY 1, 2
 ORACLES["pull_messages"] = """
 SELECT least(10, count(*)) AS n, least(10, count(*)) AS n_distinct, least(10, count(*)) AS n_known FROM events
 """
+
+ORACLES["schema_errors"] = """
+WITH d AS (
+  SELECT event_id, CASE WHEN event_id % 20 = 9 THEN '3' ELSE CAST(event_id // 20 % 2 + 1 AS VARCHAR) END AS version,
+         event_id % 20 AS r, event_id // 40 % 2 = 0 AS has_seq FROM events),
+f AS (
+  SELECT event_id, version, CASE
+    WHEN r = 8 THEN ['$ json']
+    WHEN r = 9 THEN ['$ schema']
+    ELSE list_sort(list_concat(
+      CASE WHEN version = '2' AND NOT has_seq THEN ['$.seq required'] ELSE [] END,
+      CASE r WHEN 0 THEN ['$.id type'] WHEN 1 THEN ['$.kind required'] WHEN 2 THEN ['$.kind pattern']
+             WHEN 3 THEN ['$.user minimum'] WHEN 4 THEN ['$ additionalProperties'] WHEN 5 THEN ['$.tags minItems']
+             WHEN 6 THEN ['$.tags maxItems'] WHEN 7 THEN ['$.tags[] type'] WHEN 10 THEN ['$.channel enum']
+             WHEN 11 THEN ['$.name minLength'] WHEN 12 THEN ['$.ratio exclusiveMaximum'] WHEN 13 THEN ['$.labels{} type']
+             WHEN 14 THEN ['$.kind required', '$.user minimum', '$.user type'] WHEN 15 THEN ['$.form const']
+             WHEN 17 THEN ['$.name maxLength'] ELSE [] END)) END AS failures
+  FROM d)
+SELECT event_id, version, CAST(len(failures) AS BIGINT) AS n_failures, array_to_string(failures, '; ') AS failures FROM f
+"""

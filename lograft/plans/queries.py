@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.docschema import failures_by_version
 from ..functions.mask import mask_text
 from ..functions import paths as PT
 from ..operators import decode as D
@@ -24,6 +25,7 @@ from . import event_lines as L
 from . import batch as B
 from . import container_lines as C
 from . import lookups as LK
+from . import schema_docs as SD
 from . import text_lines as T
 from ..functions import times
 from ..session import scratch_path
@@ -585,6 +587,15 @@ def timestamp_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
                         times.parse_date("day").alias("day_date"))
 
 
+def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of all events checked against the schema of their
+    version; one row each, failures as sorted `path rule`."""
+    docs = land(SD.events_to_documents(table(spark, sf_dir, "events", spread=True)), "schema-docs")
+    found = docs.select("event_id", "version", failures_by_version(F.col("text"), F.col("version"), SD.archive()).alias("f"))
+    names = F.array_sort(F.transform("f", lambda x: F.concat_ws(" ", x["path"], x["rule"])))
+    return found.select("event_id", "version", F.size("f").cast("bigint").alias("n_failures"), F.array_join(names, "; ").alias("failures"))
+
+
 def logger_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test logger's interval setting (integer text or a
     default of 2) and its header-prefixed line, masked."""
@@ -633,6 +644,7 @@ REGISTRY = {
     "minute_windows": minute_windows,
     "timestamp_forms": timestamp_forms,
     "logger_settings": logger_settings,
+    "schema_errors": schema_errors,
     "decode_enriched": decode_enriched,
     "decode_enriched_errors": decode_enriched_errors,
     "live_errors": live_errors,

@@ -1,3 +1,4 @@
+import os
 import tempfile
 from pathlib import Path
 
@@ -130,3 +131,17 @@ def test_recombine_stream(spark, flush_after, tail):
         rows = spark.createDataFrame([p[:3] for p in parts], "file string, n long, text string")
         want = sorted((r.file, r.message) for r in recombine_lines(rows, "file", "n", "text").collect() if r.message.endswith("\n"))
         assert got == want
+
+
+def test_recombine_streams_share_a_folder(spark):
+    """Two checkpoints on one folder keep their rows, equal fragments stay apart, and nothing landed is left behind."""
+    base = tempfile.mkdtemp(prefix="lograft-recombine-two-")
+    schema = "file_path string, n long, log string, received timestamp"
+    landed = lambda: [f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith(("fragments-", "tail-"))]
+    before = landed()
+    for name, rows in (("one", [("a", 1, "fir"), ("a", 2, "st\n"), ("b", 1, "x"), ("b", 1, "x"), ("b", 2, "\n")]), ("two", [("a", 1, "second\n")])):
+        spark.createDataFrame([(*r, None) for r in rows], schema).coalesce(1).withColumn("received", F.lit("2024-01-01").cast("timestamp")).write.json(f"{base}/{name}")
+        stream = spark.readStream.schema(schema).json(f"{base}/{name}")
+        start_recombine(stream, base, f"{base}/ck-{name}", available_now=True).awaitTermination(300)
+    assert sorted((r.file, r.message) for r in spark.read.parquet(f"{base}/messages").collect()) == [("a", "first\n"), ("a", "second\n"), ("b", "xx\n")]
+    assert sorted(landed()) == sorted(before)
