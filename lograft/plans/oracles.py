@@ -403,3 +403,9 @@ f AS (
   FROM d)
 SELECT event_id, version, CAST(len(failures) AS BIGINT) AS n_failures, array_to_string(failures, '; ') AS failures FROM f
 """
+
+ORACLES["redelivered"] = """
+SELECT event_id, md5(CAST(event_id AS VARCHAR)) AS message_id, CASE WHEN event_id % 3 = 0 THEN 'second' ELSE 'first' END AS stream,
+       CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS publish_time
+FROM events
+"""

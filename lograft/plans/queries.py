@@ -19,6 +19,7 @@ from ..operators import flatten as FL
 from ..operators import container as CT
 from ..operators import pipeline as PL
 from ..operators import recombine as RC
+from ..operators.seen_ids import SeenIds
 from ..sources import logs as SRC
 from ..sources import textlogs as TL
 from . import event_lines as L
@@ -587,6 +588,17 @@ def timestamp_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
                         times.parse_date("day").alias("day_date"))
 
 
+def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 beyond the horizon: two thirds of the events as messages, then all of
+    them a day later by another stream; what was taken, and by which."""
+    ev = table(spark, sf_dir, "events", spread=True)
+    messages = ev.select(F.md5(F.col("event_id").cast("string")).alias("message_id"), F.col("ts").alias("publish_time"), "event_id")
+    index = SeenIds(spark, scratch_path(spark, "seen"))
+    index.take(messages.filter("event_id % 3 != 0").withColumn("stream", F.lit("first")), ("first", 0))
+    index.take(messages.withColumn("publish_time", F.expr("publish_time + INTERVAL 1 DAY")).withColumn("stream", F.lit("second")), ("second", 0))
+    return index.read().select("event_id", "message_id", "stream", "publish_time")
+
+
 def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of all events checked against the schema of their
     version; one row each, failures as sorted `path rule`."""
@@ -645,6 +657,7 @@ REGISTRY = {
     "timestamp_forms": timestamp_forms,
     "logger_settings": logger_settings,
     "schema_errors": schema_errors,
+    "redelivered": redelivered,
     "decode_enriched": decode_enriched,
     "decode_enriched_errors": decode_enriched_errors,
     "live_errors": live_errors,
