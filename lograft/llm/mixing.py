@@ -9,6 +9,9 @@ order, and the prefix sum of their words stops at the rest of the target.
 The prefix sum never sorts a source in one task: keys fall into about the root
 of a source's documents buckets, buckets are summed (partial aggregates) and
 accumulated, and only the bucket in which the budget ends is sorted row by row.
+Buckets are cut where equal shares of the source's documents are expected, given
+how many of them have which quality, so a source of poor documents has no larger
+buckets than a source of good ones.
 Only narrow rows move; everything is DataFrame expressions.
 """
 
@@ -25,6 +28,7 @@ SIGNS = r"[$%&#*|@0-9]+"     # runs that lower a document's quality weight
 CAP = 3
 SEED = "mix-1"
 LEAST_WEIGHT = 0.05
+LEVELS = 20              # steps of quality that are counted per source
 
 
 def _sources(rows: DataFrame, cap: int) -> DataFrame:
@@ -59,6 +63,20 @@ def _sources(rows: DataFrame, cap: int) -> DataFrame:
     return got.withColumn("target", F.least(F.col("weight") * F.lit(float(share)), (cap * F.col("source_size")).cast("double")))
 
 
+def _level_counts(rows: DataFrame) -> DataFrame:
+    """(no_source, source, levels): per source at most LEVELS + 1 structs of a mean
+    quality and the documents that have about that."""
+    each = rows.groupBy("no_source", "source", F.ceil(F.col("quality") * LEVELS).alias("level")).agg(F.avg("quality").alias("q"), F.count(F.lit(1)).alias("n"))
+    return each.groupBy("no_source", "source").agg(F.sort_array(F.collect_list(F.struct("level", "q", "n"))).alias("levels"))
+
+
+def _bucket():
+    """Bucket of a key: the share of the source's documents expected before it
+    (a key of quality q is before x with 1 - exp(-qx)), which rises with the key."""
+    before = F.aggregate("levels", F.lit(0.0), lambda a, v: a + v["n"] * (1 - F.exp(-F.col("key") * v["q"])))
+    return F.floor(F.col("buckets") * (before / F.col("docs"))).cast("long")
+
+
 def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """(k, doc_id, size, source_size, target, taken) of every row.
 
@@ -66,7 +84,7 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED) -> DataFrame:
     `size` times the epochs, once more if the document is in the fractional
     part; the document on which the budget ends is taken if at least half of it
     fits. Documents without words are never taken. Null sources form one
-    source, last in order. Rows that repeat an id are documents of their own;
+    source, last in order. Rows without an id draw their key by their text. Rows that repeat an id are documents of their own;
     reruns agree. An empty table gives an empty mix.
     """
     rows = keyed_rows(docs, "doc_id", "text")
@@ -76,19 +94,21 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED) -> DataFrame:
 def mix_keyed(rows: DataFrame, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """:func:`mix` of rows that carry their key as `__k`."""
     src, text = F.col("source").cast("string"), F.col("text")
-    hexa = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("none")))), 1, 13)
+    no_id = F.concat(F.lit("none:"), F.coalesce(F.md5("text"), F.lit("")))
+    hexa = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("long").cast("string"), no_id))), 1, 13)
     narrow = land(spread(rows.select(
         F.col("__k").alias("k"), F.col("doc_id").cast("long").alias("doc_id"), src.isNull().alias("no_source"), F.coalesce(src, F.lit("")).alias("source"), "text", hexa.alias("hexa")))
         .select("k", "doc_id", "no_source", "source", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                 F.coalesce(F.regexp_count(text, F.lit(SIGNS)), F.lit(0)).alias("signs"), ((F.conv("hexa", 16, 10).cast("double") + 0.5) / float(1 << 52)).alias("u")), "mix-rows")
-    sources = land(_sources(narrow, cap), "targets")
+    quality = F.greatest(F.lit(LEAST_WEIGHT), 1 - F.col("signs") / F.greatest("size", F.lit(1)))
+    narrow = narrow.withColumn("quality", quality)
+    sources = land(lookup_join(_sources(narrow, cap), _level_counts(narrow), ["no_source", "source"]), "targets")
     plan = sources.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")) \
         .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")) \
         .withColumn("buckets", F.ceil(F.sqrt("docs")).cast("long"))
-    quality = F.greatest(F.lit(LEAST_WEIGHT), 1 - F.col("signs") / F.greatest("size", F.lit(1)))
     keyed = lookup_join(narrow, plan.drop("weight"), ["no_source", "source"]) \
-        .withColumn("key", -F.log("u") / quality) \
-        .withColumn("bucket", F.floor(F.col("buckets") * (1 - F.exp(-F.col("key")))).cast("long"))
+        .withColumn("key", -F.log("u") / F.col("quality")) \
+        .withColumn("bucket", _bucket()).drop("levels", "quality")
     sums = keyed.groupBy("no_source", "source", "bucket").agg(F.sum("size").alias("words"), F.first("budget").alias("budget"))
     before = Window.partitionBy("no_source", "source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     cuts = sums.withColumn("done", F.coalesce(F.sum("words").over(before), F.lit(0))).filter("done <= budget and done + words > budget") \

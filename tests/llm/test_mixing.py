@@ -1,7 +1,9 @@
 import random
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from lograft.llm import mixing as M
 
@@ -69,3 +71,20 @@ def test_edges(spark):
     assert out.columns == df.columns
     taken = sum(r.taken // r.size for r in M.mix(df).filter("size > 0").collect())
     assert out.count() == taken
+
+
+def test_buckets_of_poor_documents_are_small(spark):
+    r = random.Random(4)
+    text = {"poor": "12 34 $$ 56 78", "fair": "one 2 three 4", "good": "plain words only"}
+    rows = [(i, text[s] if s != "mixed" else r.choice(list(text.values())), s) for i in range(8_000) for s in [r.choice(["poor", "fair", "good", "mixed"])]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size, signs = F.regexp_count("text", F.lit(M.WORD)), F.regexp_count("text", F.lit(M.SIGNS))
+    x = df.withColumn("quality", F.greatest(F.lit(M.LEAST_WEIGHT), 1 - signs / size)).withColumn("no_source", F.lit(False)) \
+        .withColumn("key", -F.log((F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)) / F.col("quality"))
+    docs = x.groupBy("source").agg(F.count(F.lit(1)).alias("docs")).withColumn("buckets", F.ceil(F.sqrt("docs")).cast("long"))
+    got = x.join(M._level_counts(x), ["no_source", "source"]).join(docs, "source").withColumn("bucket", M._bucket()).select("source", "key", "bucket", "docs").collect()
+    counts = Counter((g.source, g.bucket) for g in got)
+    assert max(n / d for (s, _), n in counts.items() for d in {g.docs for g in got if g.source == s}) < 0.05
+    for s in text:
+        mine = sorted((g.key, g.bucket) for g in got if g.source == s)
+        assert [b for _, b in mine] == sorted(b for _, b in mine)      # buckets follow the key
