@@ -1,7 +1,10 @@
 """WARC archives of web pages, compressed record by record with a dictionary.
 
 An archive (.warc.zst) starts with a skippable frame that holds a Zstandard
-dictionary built from its own records; each record is a frame of its own.
+dictionary built from its own records; each record is a frame of its own. The
+dictionary is trained on pieces taken evenly from the records that a task reads
+ahead (AHEAD_BYTES; large records give several pieces); where these are too few or
+too alike to train on, the pieces themselves are the dictionary's content.
 Records with equal payloads of at least `min_bytes` are stored once: the one
 with the largest page id is the response, the others are revisits of it.
 
@@ -14,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -28,7 +32,9 @@ from .shared_files import committed, resolve
 
 MIN_BYTES = 1000
 DICT_BYTES = 32 << 10
-SAMPLE_BYTES = 1 << 20          # records that the dictionary is built from
+SAMPLE_BYTES = 1 << 20          # pieces that the dictionary is trained on
+PIECE_BYTES = 4 << 10
+AHEAD_BYTES = 16 << 20          # records that the pieces are taken from
 ARCHIVE_BYTES = 256 << 20       # payload after which a task starts a new archive
 LEVEL = 3
 DICT_MAGIC = 0x184D2A5D         # fixed value: skippable frame of a .warc.zst dictionary
@@ -54,26 +60,35 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def build_dictionary(samples: list[bytes], size: int = DICT_BYTES):
-    """A dictionary of the records, or None where there is too little to learn."""
+def dictionary_pieces(records: list[bytes]) -> list[bytes]:
+    """Pieces of the records, evenly spread, of about SAMPLE_BYTES together; the
+    first starts the first record."""
+    pieces = [r[i:i + PIECE_BYTES] for r in records for i in range(0, len(r), PIECE_BYTES)]
+    return pieces[::max(1, -(-sum(map(len, pieces)) // SAMPLE_BYTES))]
+
+
+def build_dictionary(pieces: list[bytes], size: int = DICT_BYTES):
+    """A dictionary trained on the pieces; of too little to train on (under 8
+    pieces or 8 KB, or pieces without repeats) their bytes."""
     import zstandard
 
-    total = sum(map(len, samples))
-    if len(samples) < 8 or total < 8 * 1024:
-        return None
-    try:
-        return zstandard.train_dictionary(min(size, total // 8), samples, k=256, d=8)
-    except zstandard.ZstdError:
-        return None
+    total = sum(map(len, pieces))
+    if len(pieces) >= 8 and total >= 8 * 1024:
+        try:
+            return zstandard.train_dictionary(min(size, total // 8), pieces, k=256, d=8)
+        except zstandard.ZstdError:
+            pass
+    return zstandard.ZstdCompressionDict(b"".join(pieces)[:size], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def write_archive(out, records: Iterable[bytes], samples: list[bytes]) -> None:
+def write_archive(out, records: Iterable[bytes], ahead: list[bytes]) -> None:
+    """Write an archive; `ahead` are records of it (at least one) to build the
+    dictionary from."""
     import zstandard
 
-    d = build_dictionary(samples)
-    if d is not None:
-        raw = d.as_bytes()
-        out.write(struct.pack("<II", DICT_MAGIC, len(raw)) + raw)
+    d = build_dictionary(dictionary_pieces(ahead))
+    raw = d.as_bytes()
+    out.write(struct.pack("<II", DICT_MAGIC, len(raw)) + raw)
     packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=True, write_content_size=True)
     for r in records:
         out.write(packer.compress(r))
@@ -125,18 +140,18 @@ def _write(folder: str):
         source = records()
         more = next(source, None)
         while more is not None:
-            first, size = [more], len(more)
+            first, size = deque([more]), len(more)
             for more in source:
                 first.append(more)
                 size += len(more)
-                if size >= SAMPLE_BYTES:
+                if size >= AHEAD_BYTES:
                     break
             total, n = 0, 0
 
             def some(first=first) -> Iterator[bytes]:
                 nonlocal total, n
                 while first:
-                    r = first.pop(0)
+                    r = first.popleft()
                     total, n = total + len(r), n + 1
                     yield r
                 for r in source:
@@ -146,7 +161,7 @@ def _write(folder: str):
                         return
 
             with committed(folder, f"pages-{part:06d}.warc.zst") as (out, name):
-                write_archive(out, some(), [x[:SAMPLE_BYTES] for x in first])
+                write_archive(out, some(), list(first))
             names.append(name)
             counts.append(n)
             more = next(source, None)
@@ -198,7 +213,8 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Write archives under `folder`; returns the manifest (name, n_records),
-    landed. Only archives it names count."""
+    landed. Only archives it names count. An empty table gives none; extra
+    columns are ignored."""
     return land(plan_records(pages, min_bytes).mapInArrow(_write(folder), "name string, n_records long"), "archives")
 
 

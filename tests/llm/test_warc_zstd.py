@@ -59,3 +59,33 @@ def test_archive_layout(monkeypatch):
     tiny = io.BytesIO()
     W.write_archive(tiny, iter(recs[:1]), recs[:1])
     assert len(list(W.read_archive(io.BytesIO(tiny.getvalue())))) == 1
+
+
+def test_large_and_few_pages_have_a_dictionary(spark, monkeypatch):
+    r = random.Random(9)
+    words = ["<div class='row'>", "</div>", "the", "of", "page", "é"] + [f"w{i}" for i in range(300)]
+    large = [(i, f"http://h.org/{i}", " ".join(r.choice(words) for _ in range(40_000))) for i in range(12)]
+    assert min(len(h) for _, _, h in large) > 150_000
+    monkeypatch.setattr(W, "ARCHIVE_BYTES", 400_000)       # roll over inside a task
+    for rows in (large, [(1, None, "x")], [(1, None, None)]):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+        folder = scratch_path(spark, "warc")
+        manifest = W.write_warc(df, folder)
+        names = [x["name"] for x in manifest.collect() if x["name"]]
+        assert len(names) >= (4 if len(rows) > 1 else 1)
+        for name in names:
+            with open(f"{folder.removeprefix('file:')}/{name}", "rb") as f:
+                data = f.read()
+            size = int.from_bytes(data[4:8], "little")
+            assert data[:4] == W.DICT_MAGIC.to_bytes(4, "little") and size > 0
+            if len(rows) > 1:
+                assert data[8:12] == b"\x37\xa4\x30\xec"       # trained, also of large pages
+        assert sorted((tuple(x) for x in W.read_warc(manifest, folder).collect()), key=str) == expected(rows)
+
+
+def test_pieces_come_from_all_records():
+    recs = [bytes([65 + i]) * 500_000 for i in range(20)]
+    pieces = W.dictionary_pieces(recs)
+    assert {p[:1] for p in pieces} == {r[:1] for r in recs} and sum(map(len, pieces)) <= W.SAMPLE_BYTES + W.PIECE_BYTES
+    noise = random.Random(2).randbytes(600)
+    assert W.build_dictionary([noise]).as_bytes() == noise
