@@ -15,7 +15,9 @@ Missing evidence says nothing. An extra class `und` explains bytes evenly, so
 texts of no known language, or without letters, are rejected.
 
 The trigram tables are fitted on at most TRAIN_ROWS labelled rows a language,
-so that a rare language has its table however large the corpus is.
+so that a rare language has its table however large the corpus is. A label is a
+language if it has a code's form (two or three letters) and MIN_SUPPORT labelled
+rows, so that the model stays small on labels with slips.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from ..operators.joins import lookup_join
 from .common import byte_rows, land, lean, pick_rows, row_key, spread, table
 
 TRAIN_ROWS = 8_000       # of each language
+MIN_SUPPORT = 5          # labelled rows that make a label a language
 SLOTS = 1 << 16
 TEMPER = 0.2
 SHRINK = 20.0            # rows that a parent level weighs
@@ -101,8 +104,8 @@ class TextModel:
 
 def _sample(rows: DataFrame, n: int) -> DataFrame:
     """(id, lang) of at most `n` ids a language, those with the smallest hash."""
-    counts = {r["lang"]: r["count"] for r in rows.filter("id is not null").groupBy("lang").count().collect()}
-    own = rows.filter("id is not null").select("id", "lang", F.xxhash64("id").alias("h"))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().filter(F.col("count") >= MIN_SUPPORT).collect()}
+    own = rows.filter(F.col("lang").isin(list(counts))).select("id", "lang", F.xxhash64("id").alias("h"))
     # twice as many as needed by hash alone, so that little is ranked
     large = {lang: int(-2.0**63 + 2.0**64 * 2 * n / c) for lang, c in counts.items() if c > 4 * n + 1000}
     if large:
@@ -114,10 +117,11 @@ def _sample(rows: DataFrame, n: int) -> DataFrame:
 
 def fit_text_model(docs: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> TextModel:
     """Trigram tables from a bounded sample of each language's labelled rows. Languages are the
-    primary subtags of the labels; rows without label or text take no part."""
-    code = F.lower(F.regexp_extract(F.col(f"`{lang_col}`"), r"^\s*([A-Za-z]{2,8})", 1))
+    primary subtags of the labels, of two or three letters and with MIN_SUPPORT rows; rows
+    without id, label or text take no part."""
+    code = F.lower(F.regexp_extract(F.col(f"`{lang_col}`"), r"^\s*([A-Za-z]{2,3})(?![A-Za-z])", 1))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), code.alias("lang"), F.col(f"`{text_col}`").cast("binary").alias("body")) \
-        .filter(f"lang != '' and lang != '{UND}' and body is not null")
+        .filter(f"id is not null and lang != '' and lang != '{UND}' and body is not null")
     some = land(_sample(rows, train_rows), "chosen")
     got = lookup_join(rows, some, ["id", "lang"]).filter("chosen").select("lang", "body").mapInArrow(_counts, "lang string, slot int, n long") \
         .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()      # at most SLOTS rows a language
@@ -152,6 +156,14 @@ def _sums(rows: DataFrame, key: list[str], name: str, n: int) -> DataFrame:
         .agg(F.array(*[F.sum(F.col("p")[i]) for i in range(n)]).alias(name))
 
 
+def _join_sums(rows: DataFrame, sums: DataFrame, key: str) -> DataFrame:
+    """`rows` with the sums of their key. Where the sums outgrow a broadcast, rows
+    without a key go to as many partitions as the others, not to one."""
+    spread_out = F.concat(F.lit("none:"), F.pmod(F.xxhash64("ll"), F.lit(4096)).cast("string"))
+    tagged = rows.withColumn("__key", F.coalesce(F.concat(F.lit("key:"), F.col(key)), spread_out))
+    return lookup_join(tagged, sums.select(F.concat(F.lit("key:"), F.col(key)).alias("__key"), *[c for c in sums.columns if c != key]), "__key").drop("__key")
+
+
 def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     """Evidence rows (any columns plus body binary, declared, suffix, host, site)
     -> the other columns plus language, posterior, text_language, accepted."""
@@ -161,20 +173,20 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in evidence.schema}
     schema = ", ".join([f"`{c}` {types[c]}" for c in own] + ["letters boolean", "ll array<double>", "p array<double>"])
     held = spark.sparkContext.broadcast(model)
-    rows = land(spread(evidence).mapInArrow(_likelihoods(held), schema), "likelihoods")
+    rows = landed = land(spread(evidence).mapInArrow(_likelihoods(held), schema), "likelihoods")
     total = rows.agg(*[F.sum(F.col("p")[i]) for i in range(n)]).first()
     total = np.array([x or 0.0 for x in total])
     overall = F.array(*[F.lit(float(x)) for x in (total + 1) / (total.sum() + n)])
     langs_n = F.array(*[F.lit(float(x)) for x in total])
     shrink = F.lit(SHRINK)
     for key, name in (("declared", "d"), ("suffix", "s")):
-        rows = lookup_join(rows, _sums(rows, [key], name, n), key)
+        rows = _join_sums(rows, land(_sums(landed, [key], name, n), "sums"), key)
         share = F.aggregate(name, F.lit(0.0), lambda a, x: a + x) / float(max(total.sum(), 1e-9))
         # p(value | l), shrunk towards the value's overall share
         like = F.transform(name, lambda x, i: F.log((x + shrink * share + 1e-9) / (langs_n[i] + shrink)))
         rows = rows.withColumn(name, like)
-    rows = lookup_join(rows, _sums(rows, ["site"], "w", n), "site")
-    rows = lookup_join(rows, _sums(rows, ["host"], "h", n), "host")
+    rows = _join_sums(rows, land(_sums(landed, ["site"], "w", n), "sums"), "site")
+    rows = _join_sums(rows, land(_sums(landed, ["host"], "h", n), "sums"), "host")
 
     def level(name, parent):
         """Counts without the row itself, shrunk towards the level above."""

@@ -73,3 +73,65 @@ def test_fusion_lets_host_and_markup_decide_short_texts(spark):
     assert got[901].language == "es"
     assert not got[902].accepted and not got[903].accepted
     assert all(got[i].language == ["de", "en", "es"][i % 3] for i in range(90))
+
+
+def test_slips_in_labels_add_no_language(spark):
+    r = random.Random(8)
+    rows = [(i, text(r, ["en", "es"][i % 2], 20), ["en", "es"][i % 2]) for i in range(60)]
+    rows += [(100, text(r, "en", 9), "xx"), (101, text(r, "en", 9), "english"), (102, text(r, "en", 9), "eng lish")]
+    rows += [(110 + i, text(r, "en", 9), "unknown") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert L.fit_text_model(df).langs == ["en", "es", "und"]
+    assert L.fit_text_model(df.limit(0)).langs == ["und"]
+
+
+def test_fusion_matches_plain_version(spark):
+    """Every step of the evidence fusion, recomputed row by row."""
+    r = random.Random(21)
+    langs = list(SYL)
+    train = [(i, text(r, langs[i % len(langs)], 30), langs[i % len(langs)]) for i in range(60)]
+    model = L.fit_text_model(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    rows = []
+    for i in range(80):
+        lang = r.choice(langs)
+        rows.append((i, text(r, lang, r.randint(0, 6)) if i % 9 else "123 ...", r.choice([None, lang, lang, "zz"]), r.choice([None, "org", lang]),
+                     r.choice([None, f"a.{lang}.org", "b.x.org"]), r.choice([None, f"{lang}.org", "x.org"])))
+    df = spark.createDataFrame([(i, bytearray((t or "").encode()), d, s, h, w) for i, t, d, s, h, w in rows],
+                               "id long, body binary, declared string, suffix string, host string, site string")
+    got = {x.id: x for x in L.fuse(df, model).collect()}
+
+    n = len(model.langs)
+    prior = np.log([1 - L.UND_PRIOR] * (n - 1) + [L.UND_PRIOR])
+    ll = [L.TEMPER * sum((model.table[s].astype(float) for s in L.trigram_slots(b" " + t.encode() + b" ")), np.zeros(n)) for _, t, *_ in rows]
+    p = [np.exp(x + prior - x.max()) for x in ll]
+    p = [x / x.sum() for x in p]
+    total = sum(p)
+    overall = (total + 1) / (total.sum() + n)
+
+    def sums(at):
+        out = {}
+        for row, q in zip(rows, p):
+            if row[at] is not None:
+                out[row[at]] = out.get(row[at], 0) + q
+        return out
+
+    by = {at: sums(at) for at in (2, 3, 4, 5)}
+    for row, x, q in zip(rows, ll, p):
+        score = x.copy()
+        for at in (2, 3):
+            if row[at] is not None:
+                c = by[at][row[at]]
+                score += np.log((c + L.SHRINK * c.sum() / total.sum() + 1e-9) / (total + L.SHRINK))
+        level = overall
+        for at in (5, 4):
+            if row[at] is not None:
+                less = np.maximum(by[at][row[at]] - q, 0)
+                level = (less + L.SHRINK * level) / (less.sum() + L.SHRINK)
+        score += np.log(level + 1e-12)
+        post = 1 / np.exp(score - score.max()).sum()
+        letters = any(c.isalpha() for c in row[1])
+        g = got[row[0]]
+        assert g.language == (model.langs[int(score.argmax())] if letters else "und")
+        assert abs(g.posterior - post) < 1e-4
+        assert g.text_language == (model.langs[int(q.argmax())] if letters else "und")
+        assert g.accepted == (g.language != "und" and g.posterior >= L.ACCEPT)
