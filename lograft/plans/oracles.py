@@ -215,9 +215,16 @@ LEFT JOIN region r6 ON e.kind = 'v6' AND r6.r_regionkey = e.user_id % 7
 LEFT JOIN region rw ON e.kind = 'wide' AND rw.r_regionkey = (e.user_id % 12) // 2
 """
 
-ORACLES["isp"] = """
-SELECT e.event_id, s.s_name AS isp_name, 'org-' || s.s_nationkey AS isp_organization
-FROM events e LEFT JOIN supplier s ON s.s_suppkey < 480 AND s.s_suppkey % 30 = e.user_id % 30 AND s.s_suppkey // 30 = ((e.event_id // 256) % 256) // 16
+# the /20 network of an address, then the /28 inside it
+_ISP = """LEFT JOIN supplier s ON s.s_suppkey < 480 AND s.s_suppkey % 30 = e.user_id % 30 AND s.s_suppkey // 30 = ((e.event_id // 256) % 256) // 16
+LEFT JOIN supplier t ON t.s_suppkey >= 480 AND t.s_suppkey < 480 + 480 * 256 AND (t.s_suppkey % 480) % 30 = e.user_id % 30
+     AND (t.s_suppkey % 480) // 30 = ((e.event_id // 256) % 256) // 16
+     AND (((t.s_suppkey - 480) // 480) * 37) % 256 = (((e.event_id // 256) % 256) % 16) * 16 + (e.event_id % 256) // 16"""
+_ISP_NAME = "coalesce(t.s_name, s.s_name) AS isp_name, 'org-' || coalesce(t.s_nationkey, s.s_nationkey) AS isp_organization"
+
+ORACLES["isp"] = f"""
+SELECT e.event_id, {_ISP_NAME}
+FROM events e {_ISP}
 """
 
 ORACLES["user_agent"] = f"""
@@ -305,13 +312,13 @@ SELECT event_id,
 FROM events
 """
 
-_ENRICHED = """n.n_name AS geo_country, CASE WHEN n.n_nationkey % 2 = 0 THEN n.n_name || ' CITY' END AS geo_city, r.r_name AS geo_subdivision1,
-       s.s_name AS isp_name, 'org-' || s.s_nationkey AS isp_organization,
+_ENRICHED = f"""n.n_name AS geo_country, CASE WHEN n.n_nationkey % 2 = 0 THEN n.n_name || ' CITY' END AS geo_city, r.r_name AS geo_subdivision1,
+       {_ISP_NAME},
        (['Edge', NULL, 'Firefox', 'Safari'][user_id % 4 + 1]) AS user_agent_browser,
        (['Windows', NULL, 'Linux', 'Macintosh'][user_id % 4 + 1]) AS user_agent_os,
        (['115.0.1901.188', NULL, '115.0', '16.5'][user_id % 4 + 1]) AS user_agent_version"""
-_ENRICHMENT = """LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30 LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
-LEFT JOIN supplier s ON s.s_suppkey < 480 AND s.s_suppkey % 30 = e.user_id % 30 AND s.s_suppkey // 30 = ((e.event_id // 256) % 256) // 16"""
+_ENRICHMENT = f"""LEFT JOIN nation n ON n.n_nationkey = e.user_id % 30 LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+{_ISP}"""
 
 _COUNTRY = "coalesce(n.n_name, 'TEN') AS geo_country"
 
@@ -360,6 +367,8 @@ SELECT doc_id AS pod, 'ns-' || (doc_id % 5) AS namespace, {_masked("replace(text
        CAST(NULL AS VARCHAR) AS mail, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS nation_label, 'custom-fluentbit' AS k8s_cluster_name
 FROM documents
 UNION ALL
+SELECT doc_id, 'ns-' || (doc_id % 5), {_masked("'no record ' || doc_id")}, NULL, NULL, NULL, 'custom-fluentbit' FROM documents WHERE doc_id % 10 = 0
+UNION ALL
 SELECT user_id % 30, 'default', '{{"id":' || event_id || ',"mail":"{EMAIL_MASK}"}}' || chr(10), '{EMAIL_MASK}', event_id, n.n_name, 'custom-fluentbit'
 FROM events LEFT JOIN nation n ON n.n_nationkey = user_id % 30
 """
