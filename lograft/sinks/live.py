@@ -4,8 +4,8 @@ Decoded rows go to one table partitioned by `date` and `destination` (one live
 table per document type, day partitions, clustered by `submission_timestamp`
 inside files); error rows go to the 45-column error table partitioned by `date`.
 Routing is evaluated once for the two writes: the routed rows are landed as a
-table under `spark.checkpoint.dir` (durable, survives executor loss) and removed
-after both writes.
+table under `spark.checkpoint.dir` (durable, survives executor loss), by the
+pipeline or else here, and removed after both writes.
 
 Both tables belong to one store (`sinks.store`) and become visible in one commit.
 A write that fails leaves the old contents, and its landed input for another try;
@@ -58,16 +58,21 @@ def write_routed(routed: DataFrame, decoded_path: str, error_path: str, *,
     if store.base != other.base:
         raise ValueError("both outputs must be tables of one store (folders beside each other)")
     if not (batch and store.done(*batch)):
-        path = scratch_path(spark, "routed")
-        routed.write.parquet(path)
+        # landed already, and each row is in one of the outputs: what was made of it since is computed once
+        path = None if hasattr(routed, "_made_from") else scratch_path(spark, "routed")
+        if path:
+            # good rows leave without their source text, error rows keep theirs in `raw`
+            source = F.when(F.col("error_type").isNotNull(), F.col("raw"))
+            routed.withColumn("raw", source).drop("payload").write.parquet(path)
         try:
-            rows = spark.read.parquet(path)
+            rows = spark.read.parquet(path) if path else routed
             dec, err = with_day(D.decoded(rows)), with_day(D.errors(rows))
             dec = shard(dec, decoded_shards, *LIVE_PARTS).sortWithinPartitions(*LIVE_PARTS, TIME)
             err = shard(err, error_shards, *ERROR_PARTS).sortWithinPartitions(*ERROR_PARTS, TIME)
             store.put({decoded: (dec, LIVE_PARTS), error: (err, ERROR_PARTS)}, stream=batch)
         finally:
-            remove(spark, path)
+            if path:
+                remove(spark, path)
     for made in getattr(routed, "_made_from", []):      # a failed write keeps its input
         remove(spark, made._landed)
 
