@@ -28,6 +28,6 @@ def variant_field(v: Column, path: str, type_: str = "string") -> Column:
 
 
 def json_object_or_null(text) -> Column:
-    """VARIANT of the text only when it is a JSON object (J2 keeps objects)."""
-    v = as_variant(text)
-    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+    """VARIANT of the text only when it is a JSON object (J2 keeps objects): text
+    that opens none is not parsed."""
+    return F.when(F.ltrim(_c(text), F.lit(" \t\r\n")).startswith("{"), as_variant(text))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.mask import mask_columns
+from ..sinks.files import land
 from ..sources import logs as SRC
 from ..sources import textlogs as TL
 from . import enrich as EN
@@ -23,7 +24,9 @@ def container_logs(lines: DataFrame, pods: DataFrame | Lookup, *, tag_glob: str
     not parsed as JSON."""
     x = SRC.drop_long_lines(lines.select("value", "file_path"), max_bytes)
     x = EN.route_by_tag(x.withColumn("tag", EN.tag_of("file_path")), tag_glob).drop("tag")
-    x = recombine_lines(TL.parse_docker(x), "file_path", "n", "log").withColumnRenamed("message", "log")
+    # recombining reads them three times
+    x = land(TL.parse_docker(x).select("file_path", "n", "log"), "container-records")
+    x = recombine_lines(x, "file_path", "n", "log").withColumnRenamed("message", "log")
     x = mask_columns(x, ["log"])
     x = EN.merge_log(x, "log")
     x = EN.enrich_pods(x, pods).withColumn("tag", EN.tag_of("file_path"))

@@ -9,10 +9,10 @@ by `tie_cols`, then by text. Lines without an order value (their time did not
 parse) cannot take part: each is passed on as a message of its own.
 
 To keep one very large file from landing in one task, the order axis is cut
-into chunks. Inside a chunk, fragments are numbered and a running window from
-the end finds each one's next terminator (linear). Fragments whose message ends
-in a later chunk take the first terminator of the following chunks from a table
-of one row per chunk, made from the same windowed rows (no second scan).
+into chunks. Inside a chunk, fragments are numbered and the terminators before
+each one counted, in one order (linear). Fragments whose message ends in a later
+chunk take the first message of the next chunk with a terminator from a table of
+one row per chunk, which is an aggregate of its own: land what is dear to parse.
 Concatenation runs per (message, chunk, run of MAX_PARTS fragments), then joins
 runs up to MAX_BYTES: a file that never ends a line comes out as several pieces
 (`piece` 0, 1, ...), with every fragment in one of them.
@@ -37,22 +37,24 @@ def _order_as_long(df: DataFrame, order_col: str):
 
 
 def _with_end(df: DataFrame, file_col: str, order_col: str, text_col: str, tie_cols, chunk_width: int, *keep: str) -> DataFrame:
-    """Ordered fragments with `_pos` in their chunk and `_end`, the (chunk, pos)
-    of their message's last fragment (NULL: unterminated)."""
+    """Ordered fragments with `_pos` in their chunk and `_end`, the chunk in which
+    their message ends and its number there (NULL: unterminated)."""
     x = df.select(F.col(file_col).alias("_file"), F.col(order_col).alias("_order"), _order_as_long(df, order_col).alias("_n"),
                   F.col(text_col).alias("_text"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_cols)], *keep).filter("_n is not null")
     x = x.withColumn("_chunk", F.floor(F.col("_n") / F.lit(chunk_width)))
     order = ["_n", *[f"_tie{i}" for i in range(len(tie_cols))], "_text"]
     part = Window.partitionBy("_file", "_chunk")
-    x = x.withColumn("_pos", F.row_number().over(part.orderBy(*order)))
-    mark = F.when(F.col("_text").endswith("\n"), F.col("_pos"))
-    from_end = part.orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("_here", F.last(mark, ignorenulls=True).over(from_end))
-    chunks = x.groupBy("_file", "_chunk").agg(F.min(mark).alias("_first"))
+    is_end = F.coalesce(F.col("_text").endswith("\n"), F.lit(False)).cast("int")
+    # a message is named by how many terminators of its chunk come before it, so the first one is 0
+    # in every chunk, and chunks are summed up without their windows
+    chunks = x.groupBy("_file", "_chunk").agg(F.max(is_end).alias("_ends"))
     later = Window.partitionBy("_file").orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.select("_file", "_chunk", F.last(F.when(F.col("_first").isNotNull(), F.struct(F.col("_chunk").alias("c"), F.col("_first").alias("p"))),
-                                                     ignorenulls=True).over(later).alias("_later"))
-    here = F.when(F.col("_here").isNotNull(), F.struct(F.col("_chunk").alias("c"), F.col("_here").alias("p")))
+    chunks = chunks.select("_file", "_chunk", F.last(F.when(F.col("_ends") == 1, F.col("_chunk")), ignorenulls=True).over(later).alias("_next")) \
+        .filter("_next is not null").select("_file", "_chunk", F.struct(F.col("_next").alias("c"), F.lit(0).cast("bigint").alias("p")).alias("_later"))
+    before = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumns({"_pos": F.row_number().over(part.orderBy(*order)), "_before": F.coalesce(F.sum(is_end).over(before), F.lit(0).cast("bigint")),
+                       "_all": F.sum(is_end).over(part)})
+    here = F.when(F.col("_before") < F.col("_all"), F.struct(F.col("_chunk").alias("c"), F.col("_before").alias("p")))
     return x.join(chunks, ["_file", "_chunk"], "left").withColumn("_end", F.coalesce(here, "_later"))
 
 
