@@ -59,6 +59,32 @@ def test_each_text_is_parsed_once(spark):
     assert p.count("from_json(") == 2          # envelope and payload
 
 
+def test_routing_steps_are_generated_code(spark):
+    p = plan(D.decode(events_to_log_lines(events(spark)).localCheckpoint(), S.registry(spark)))
+    # each would copy the row, source text included; the one lambda left is the registry's
+    assert "Generate" not in p and p.count("lambdafunction(") == 1
+
+
+def test_null_among_required_paths_is_no_path(spark):
+    rows = [("accounts-frontend", "events", "1", ["client_info", None, "ping_info"])]
+    out = D.decode(events_to_log_lines(events(spark, 50)), S.registry(spark, rows))
+    assert {(r.error_type, r.error_message, r["count"]) for r in out.filter("error_type is null or error_type = 'missing_field'").groupBy("error_type", "error_message").count().collect()} \
+        == {(None, None, 43), ("missing_field", "missing required field: client_info", 1)}
+
+
+def test_pipeline_lands_good_rows_without_source(spark):
+    lines = events_to_log_lines(events(spark))
+    # a good row without an address has it in no column, but its source text may
+    lines = lines.unionByName(lines.filter("event_id = 8").selectExpr("event_id", "replace(value, '\"ip_address\":', '\"no_address\":') as value"))
+    lookups = PL.prepare(S.registry(spark))
+    whole, slim = PL.decode_pipeline(lines, lookups), PL.decode_pipeline(lines, lookups, good_source=False)
+    good = [spark.read.parquet(x._made_from[0]._landed).filter("error_type is null and raw is not null").count() for x in (whole, slim)]
+    assert good == [D.decoded(whole).count(), 1] and good[0] > 80
+    for part in (D.decoded, D.errors):
+        a, b = [sorted(str(r) for r in part(x).collect()) for x in (whole, slim)]
+        assert a == b and a
+
+
 def test_scrubbing_cases(spark):
     rows = [('{"ip_address" : "10.1.2.3", "t": "at 10.1.2.3, 110.1.2.3 and 10.1.2.3.4"}', "10.1.2.3", '{"ip_address" : "", "t": "at , 110.1.2.3 and 10.1.2.3.4"}'),
             ('{"ip_address":"a\\"b\\\\","x":"a"}', "a", '{"ip_address":"","x":"a"}'),
